@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seatloom.llm import licenses, pieces, token_counts, token_store
+from seatloom.llm import decontaminate, licenses, near_dedup, pieces, token_counts, token_store
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -34,5 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_licenses": op2_licenses,
     "op3_pieces": op3_pieces,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_near_dedup": op6_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
