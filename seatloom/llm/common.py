@@ -107,6 +107,7 @@ class Words:
     """Words of consecutive texts: bytes (lower-cased), start and end of each, row of each, first word of each row."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+        self.raw, self.offsets = data, offsets
         self.bytes = table[data]
         word = self.bytes != 0x20
         begins, ends = word.copy(), word.copy()

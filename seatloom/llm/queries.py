@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seatloom.llm import decontaminate, licenses, near_dedup, pieces, token_counts, token_store
+from seatloom.llm import decontaminate, licenses, line_dedup, near_dedup, pieces, token_counts, token_store
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -44,5 +48,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces": op3_pieces,
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dedup": op6_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
