@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatloom.llm import decontaminate, licenses, line_dedup, near_dedup, pieces, quality, token_counts, token_store, topk
+from seatloom.llm import decontaminate, licenses, line_dedup, near_dedup, pieces, private_data, quality, token_counts, token_store, topk
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.private_spans(read(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_licenses": op2_licenses,
     "op3_pieces": op3_pieces,
+    "op4_private_data": op4_private_data,
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dedup": op6_near_dedup,
     "op7_line_dedup": op7_line_dedup,
