@@ -16,6 +16,7 @@ both kinds the score is the share of label 1 (0.5 without any). Repeated rows gi
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -234,6 +235,14 @@ def score(docs: DataFrame, net: Network | Constant) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}, score double")
 
 
+def keep_good(docs: DataFrame, net: Network | Constant) -> DataFrame:
+    """The documents whose score reaches THRESHOLD, with all their columns."""
+    name = f"_score_{uuid.uuid4().hex[:8]}"
+    named = docs.withColumnRenamed("score", name) if "score" in docs.columns else docs
+    kept = score(named, net).where(F.col("score") >= THRESHOLD).drop("score")
+    return kept.withColumnRenamed(name, "score").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from THRESHOLD on)."""
     scored = score(fields(docs, "doc_id", "text"), fit(docs, labels))
