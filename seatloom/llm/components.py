@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from seatloom.llm.common import cut
 
+#: Edges that one task contracts at a time.
+EDGES = 200_000
+
 
 def forest(edges: list[tuple[int, int]]) -> dict[int, int]:
     """Union-find with path halving: each node's root, the smallest node of its tree."""
@@ -29,33 +32,42 @@ def forest(edges: list[tuple[int, int]]) -> dict[int, int]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a batch as stars: every node to the root of its tree."""
+    """A partition's edges as stars: every node to the root of its tree."""
+    edges: list[tuple[int, int]] = []
     for batch in batches:
-        roots = [(x, r) for x, r in forest(list(zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True))).items() if x != r]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in roots], pa.int64()), pa.array([r for _, r in roots], pa.int64())], ["u", "v"])
+        edges += zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True)
+        if len(edges) > EDGES:
+            edges = [(x, r) for x, r in forest(edges).items() if x != r]
+    roots = [(x, r) for x, r in forest(edges).items() if x != r]
+    for i in range(0, len(roots), 10_000):
+        part = roots[i : i + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in part], pa.int64()), pa.array([r for _, r in part], pa.int64())], ["u", "v"])
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, component): each node of edges (u, v) with the smallest node it reaches.
+    """(node, component): each node of edges (u, v), a materialised table, with the smallest node it reaches.
 
-    Rounds of large-star and small-star (each node hands its neighbours to its smallest neighbour) until no edge
-    changes; minima are pre-aggregated before they are shuffled, and a node with very many neighbours is only
-    ever the many-row side of a join that adaptive execution may split.
+    Partitions of about EDGES edges are contracted by union-find first. If there are several, rounds of large-star
+    and small-star (each node hands its neighbours to its smallest neighbour) follow until no edge changes;
+    minima are pre-aggregated before they are shuffled, and a node with very many neighbours is only ever the
+    many-row side of a join that adaptive execution may split.
     """
-    stars = cut(edges.where("u <> v").mapInArrow(_contract, "u long, v long").distinct())
+    parts = -(-edges.count() // EDGES)
+    stars = cut(edges.where("u <> v").coalesce(max(1, parts)).mapInArrow(_contract, "u long, v long"))
     before = None
-    for _ in range(most_rounds):
+    for _ in range(most_rounds if parts > 1 else 0):
         both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.where("u > v")
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        stars = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct().coalesce(parts))
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     else:
-        raise RuntimeError("components did not settle")
-    return cut(stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select("v", "v")).distinct())
+        if parts > 1:
+            raise RuntimeError("components did not settle")
+    return cut(stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select("v", "v")).distinct().coalesce(max(1, parts)))

@@ -6,12 +6,11 @@
    a digest of the set; copies are counted by a pre-aggregated group, never paired.
 2. The signature's 128 ranks make 32 bands of 4. At a similarity of 0.75 a pair agrees in at least one band
    with probability 1 - 5e-6.
-3. Candidates are verified on full sets, a bucket's members first against its smallest (a star, linear in the
-   bucket); links are united; then only buckets that still hold several components are looked at again.
-4. In those, all pairs between different components are verified if the bucket has at most PAIRED members.
-   Larger ones go through prefix filtering, which is exact: of n shingles ordered by how few of these documents
-   hold them, two similar documents share one of the first n - ceil(0.75 n) + 1; what they share is rare unless
-   they are copies, so the buckets that arise are small or already united.
+3. Candidates are verified on full sets, a bucket's members first against its most crowded one (a star,
+   linear in the bucket); links are united; then only buckets that still hold several components are looked at again.
+4. In those, all pairs between different components are verified if the bucket has at most PAIRED members. The
+   documents of larger ones go through an exact filter: only shingles that another component holds too can be in
+   an overlap, which rules most documents out; what is left meets by prefix filtering, fewest holders first.
 
 Texts are read twice (signatures; sets of candidates only, told by a bit set of fixed size) and never shuffled. All
 joins have a side with one row a key, so adaptive execution can split hot keys.
@@ -39,6 +38,8 @@ WORDS = 5
 BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
 PAIRED = 24
+#: 64-bit words of the bit maps that bound an overlap.
+MARKS = 16
 #: Shingles that are permuted at a time.
 ELEMENTS = 1 << 17
 PERCENT = 75
@@ -190,25 +191,47 @@ class Links:
 
 def across(rows: DataFrame) -> DataFrame:
     """Pairs of one bucket's rows from different components and of sizes that allow a link."""
-    a, b = rows.select("key", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("part").alias("pu")), rows.select("key", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("part").alias("pv"))
-    return a.join(b, "key").where((F.col("u") < F.col("v")) & (F.col("pu") != F.col("pv")) & _alike(F.col("nu"), F.col("nv"))).select("u", "v")
+    a, b = (rows.select("key", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("part").alias(f"p{x}")) for x in "uv")
+    fits = (F.col("u") < F.col("v")) & (F.col("pu") != F.col("pv")) & _alike(F.col("nu"), F.col("nv"))
+    return a.join(b, (a["key"] == b["key"]) & fits).select("u", "v").distinct()
 
 
 def star(rows: DataFrame) -> DataFrame:
-    """Each row's node with the smallest of its bucket (u), where sizes allow a link."""
-    head = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("members")).where("members > 1").select("key", "head")
-    return rows.join(head, "key").where((F.col("head.node") < F.col("node")) & _alike(F.col("head.n"), F.col("n"))).select(F.col("head.node").alias("u"), F.col("node").alias("v"))
-
-
-def rare_prefixes(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """(key, node, n) with a shingle as key: of each node the shingles of which a similar one must hold one,
-    least frequent among these nodes first, as far as another of them holds it too."""
-    held = sets.join(rows.select("node").distinct(), "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
-    counts = held.groupBy("key").agg(F.count("*").alias("holders"))
+    """Each row's node with the most crowded of its bucket (u), where sizes allow a link.
+
+    A node's crowd is how many rows share its buckets: the text that a family of copies was made from is near all of
+    them, so it has the largest and heads the buckets of its family."""
+    head = rows.groupBy("key").agg(F.max(F.struct("crowd", "node", "n")).alias("head"))
+    return rows.join(head, "key").where((F.col("head.node") != F.col("node")) & _alike(F.col("head.n"), F.col("n"))).select(F.col("head.node").alias("u"), F.col("node").alias("v"))
+
+
+def prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs from different components among the nodes of rows that may be similar, by exact filters.
+
+    Two sets of sizes m <= n need an overlap of PERCENT / (100 + PERCENT) * (m + n): at least 6/7 of m and 3/4 of n. Only
+    shingles that some node of another component holds can be in it. They are ordered, fewest holders first; if the
+    overlap is large enough, one of the first (theirs - 6/7 m + 1) of the smaller set is among the first
+    (theirs - 3/4 n + 1) of the larger. Pairs that meet so must also pass a bound: each set marks its shingles in a small
+    bit map, and a mark that the other set lacks is a shingle that it lacks. Copies of one text with edits of their
+    own all meet at its shingles, but the bound comes so near the overlap that few wrong pairs pass.
+    """
+    nodes = rows.select("node", "part").distinct()
+    held = sets.join(nodes, "node").select("node", "part", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("key"))
+    counts = held.groupBy("key").agg(F.count("*").alias("holders"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key", "holders")
+    outside = cut(held.join(counts, "key"))
+    bit, word = F.expr("shiftleft(1L, cast(key & 63 as int))"), F.expr(f"cast(shiftrightunsigned(key, 6) % {MARKS} as int)")
+    masks = [f"m{i}" for i in range(MARKS)]
+    sums = outside.groupBy("node").agg(F.count("*").alias("theirs"), *[F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(m) for i, m in enumerate(masks)])
     place = F.row_number().over(Window.partitionBy("node").orderBy("holders", "key"))
-    # the least overlap with a set of n is ceil(n * PERCENT / 100)
-    prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    return held.join(counts, "key").withColumn("place", place).where((F.col("place") <= prefix) & (F.col("holders") > 1)).select("key", "node", F.col("n").cast("long").alias("n"))
+    ranked = outside.withColumn("place", place).join(sums, "node")
+    least = lambda num, den: F.col("theirs") - F.ceil(F.col("n") * num / den) + 1
+    ranked = cut(ranked.where(F.col("place") <= least(PERCENT, 100)).withColumn("small", F.col("place") <= least(2 * PERCENT, 100 + PERCENT)))
+    a, b = (ranked.select("key", F.col("node").alias(x), *[F.col(c).alias(c + x) for c in ("n", "part", "theirs", *masks)], "small") for x in "uv")
+    missing = lambda x, y: sum(F.bit_count(F.col(m + x).bitwiseAND(F.bitwise_not(m + y))) for m in masks)
+    bound = F.least(F.col("theirsu") - missing("u", "v"), F.col("theirsv") - missing("v", "u"))
+    fits = (F.col("partu") != F.col("partv")) & _alike(F.col("nu"), F.col("nv")) & ((F.col("nu") < F.col("nv")) | (F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
+    fits &= bound * (100 + PERCENT) >= (F.col("nu") + F.col("nv")) * PERCENT
+    return a.where("small").drop("small").join(b.drop("small"), (a["key"] == b["key"]) & fits).select("u", "v").distinct()
 
 
 def linked_components(docs: DataFrame, base: DataFrame) -> DataFrame | None:
@@ -218,24 +241,24 @@ def linked_components(docs: DataFrame, base: DataFrame) -> DataFrame | None:
     heads = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id")).select("d1", "doc_id")
     rows = known.select("doc_id", "d1", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).join(heads, ["doc_id", "d1"])
     rows = rows.select("key", F.col("d1").alias("node"), "n", "doc_id")
-    crowded = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    crowded = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     rows = cut(rows.join(crowded, "key"))
-    bits = spark.sparkContext.broadcast(bit_set(_id_hashes(rows.select("doc_id").distinct())))
+    crowd = rows.groupBy("node").agg(F.sum("members").alias("crowd"), F.first("doc_id").alias("doc_id"))
+    bits = spark.sparkContext.broadcast(bit_set(_id_hashes(crowd.select("doc_id"))))
     links = Links(cut(candidate_sets(docs, bits)))
-    pairs = cut(star(rows).groupBy("u", "v").agg(F.count("*").alias("bands")))
+    rows = rows.select("key", "node", "n")
+    pairs = cut(star(rows.join(crowd.select("node", "crowd"), "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
     # of each node the bucket head it shares most bands with comes first: that settles nearly all
-    nearest = pairs.groupBy("v").agg(F.max_by("u", F.struct("bands", -F.col("u"))).alias("u")).select("u", "v")
-    links.verify(nearest)
+    links.verify(pairs.groupBy("v").agg(F.max_by("u", F.struct("bands", "u")).alias("u")).select("u", "v"))
     links.verify(pairs.select("u", "v"))
     left = links.unsettled(rows)
     if left.isEmpty():
         return links.parts
     links.verify(across(left.where(F.col("members") <= PAIRED)))
-    large = left.where(F.col("members") > PAIRED)
+    large = left.where(F.col("members") > PAIRED).drop("part")
     if not large.isEmpty():
-        prefixes = cut(rare_prefixes(large, links.sets))
-        links.verify(star(prefixes))
-        links.verify(across(links.unsettled(prefixes)))
+        large = links.unsettled(large.select("key", "node", "n"))
+        links.verify(prefix_pairs(large, links.sets))
     return links.parts
 
 
