@@ -1,3 +1,57 @@
-"""DuckDB SQL for the training-data queries that SQL can express."""
+"""DuckDB SQL for the training-data queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+Operators 1, 3 and 10 need the tokenizer libraries, 2 an expression parser, 4 and 8 trained models: those, and the
+pipeline, are held against brute force in tests/llm.
+"""
+
+from __future__ import annotations
+
+from seatloom.llm.line_dedup import MIN_WORDS
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_NONSPACE = "regexp_extract_all(" + _LOWER + r", '[^\x20\x09-\x0D]+')"
+
+OP5 = f"""
+WITH d AS (SELECT doc_id, {_ALNUM.format("coalesce(text, '')")} AS w FROM documents),
+i AS (SELECT item_id, {_ALNUM.format("coalesce(text, '')")} AS w FROM benchmark),
+iwin AS (SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS g FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM (SELECT *, least(len(w), 13) AS n FROM i WHERE len(w) > 0))),
+dwin AS (SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iwin))),
+hit AS (SELECT doc_id, p, n, item_id FROM dwin JOIN iwin USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+OP6 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_NONSPACE.format("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b USING (g) JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id WHERE a.doc_id <> b.doc_id GROUP BY u, v, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM n UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v),
+least AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id, coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+# every run of up to MIN_WORDS lines with words that holds MIN_WORDS words: its lines go if it occurs earlier
+OP7 = f"""
+WITH l AS (SELECT doc_id, no, array_to_string(w, ' ') AS line, len(w) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS place FROM (
+  SELECT doc_id, no, {_NONSPACE.format("lines[no + 1]")} AS w FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS no FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))) WHERE len(w) > 0),
+runs AS ({" UNION ALL ".join(f"SELECT doc_id, place, {m} AS m, " + " || chr(10) || ".join(f"lead(line, {i}) OVER o" for i in range(m)) + " AS g, " + " + ".join(f"lead(n, {i}) OVER o" for i in range(m)) + " AS words FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY place)" for m in range(1, MIN_WORDS + 1))}),
+firsts AS (SELECT *, min((doc_id, place)) OVER (PARTITION BY g, m) AS first FROM runs WHERE g IS NOT NULL AND words >= {MIN_WORDS}),
+gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + m)) AS place FROM firsts WHERE first < (doc_id, place)),
+dropped AS (SELECT doc_id, list(no) AS nos FROM gone JOIN l USING (doc_id, place) GROUP BY doc_id),
+d AS (SELECT doc_id, string_split(text, chr(10)) AS lines, text, coalesce(nos, []) AS nos FROM documents LEFT JOIN dropped USING (doc_id)),
+k AS (SELECT *, list_filter(lines, lambda x, i: NOT list_contains(nos, i - 1)) AS kept FROM d)
+SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, len(nos)::BIGINT AS n_deleted, len(nos) > 0 AND regexp_full_match(array_to_string(kept, ' '), '[\\x20\\x09-\\x0D]*') AS emptied, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text FROM k
+"""
+
+OP9 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+SELECT * FROM (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM p) WHERE rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_line_dedup": OP7, "op9_topk": OP9}
