@@ -22,14 +22,12 @@ BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is made only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: the session's checkpoint folder. A local one is made only where
+    none is set, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.conf.get("spark.seatloom.local.scratch", None)
-        if not root:
-            root = "file://" + tempfile.mkdtemp(prefix="seatloom-")
-            spark.conf.set("spark.seatloom.local.scratch", root)
-            spark.sparkContext.setCheckpointDir(root)
+        root = "file://" + tempfile.mkdtemp(prefix="seatloom-")
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
