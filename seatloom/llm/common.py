@@ -6,6 +6,7 @@ number of rows in a batch nor one very long text decides how much memory a task
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,6 +48,22 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def tidy(run):
+    """The same function over batches, which gives freed memory back when its task ends: Python workers are used again by
+    later tasks, and what each keeps counts against its executor."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 def partitions_for(df: DataFrame, target_bytes: int) -> int:
     """Partitions of about target_bytes each by Spark's own size estimate, at least the session's shuffle count."""
     spark = df.sparkSession

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import cut
+from seatloom.llm.common import cut, tidy
 
 #: Edges that one task contracts at a time.
 EDGES = 200_000
@@ -53,7 +53,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     many-row side of a join that adaptive execution may split.
     """
     parts = -(-edges.count() // EDGES)
-    stars = cut(edges.where("u <> v").coalesce(max(1, parts)).mapInArrow(_contract, "u long, v long"))
+    stars = cut(edges.where("u <> v").coalesce(max(1, parts)).mapInArrow(tidy(_contract), "u long, v long"))
     before = None
     for _ in range(most_rounds if parts > 1 else 0):
         both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))

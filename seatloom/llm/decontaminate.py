@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import ALNUM, bound_batches, cut, fields, slices, windows
+from seatloom.llm.common import ALNUM, bound_batches, cut, fields, slices, tidy, windows
 
 WINDOW, GRAM = 13, 5
 SIDE = WINDOW - GRAM  # words that a hit carries to each side
@@ -85,7 +85,7 @@ def item_marks(items: DataFrame) -> DataFrame:
                 )
 
     kind = rows.schema["item_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"h long, item_id {kind}, gram int, left int, words string, need int")
+    return rows.mapInArrow(tidy(run), f"h long, item_id {kind}, gram int, left int, words string, need int")
 
 
 def bit_set(hashes: DataFrame) -> np.ndarray:
@@ -133,7 +133,7 @@ def document_hits(docs: DataFrame, bits, short: list[int]) -> DataFrame:
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, doc_id {kind}, n_words long, hits array<struct<h:bigint,place:int,left:int,words:string>>")
+    return rows.mapInArrow(tidy(run), f"row long, doc_id {kind}, n_words long, hits array<struct<h:bigint,place:int,left:int,words:string>>")
 
 
 def extended(a: list[str], i: int, b: list[str], j: int, gram: int) -> tuple[int, int]:
@@ -176,7 +176,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sown = marks.withColumnsRenamed({"left": "item_left", "words": "item_words"}).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = hits.join(sown, ["h", "salt"]).select("row", "place", "left", "words", "item_id", "item_left", "item_words", "gram", "need")
     kind = marks.schema["item_id"].dataType.simpleString()
-    runs = joined.mapInArrow(_extend, f"row long, item_id {kind}, begin int, end int")
+    runs = joined.mapInArrow(tidy(_extend), f"row long, item_id {kind}, begin int, end int")
     # words under a union of runs: the runs of one document, in order, each adding what the ones before don't reach
     union = F.aggregate(
         F.array_sort("runs"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("reach")),

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from seatloom.llm.common import ALNUM, bound_batches, fields
+from seatloom.llm.common import ALNUM, bound_batches, fields, tidy
 
 # The phrases that the contract counts, with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -190,4 +190,4 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *[n for n, _, _ in _SCHEMA]])
 
     out = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{n} {t}" for n, t, _ in _SCHEMA)
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(tidy(run), out)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices
+from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, tidy
 
 MIN_WORDS = 5
 
@@ -66,7 +66,7 @@ def line_ids(docs: DataFrame) -> DataFrame:
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), lines)], ["doc_id", "text_key", "lines"])
 
-    made = rows.mapInArrow(run, "doc_id long, text_key long, lines array<struct<line:int,words:int,h1:bigint,h2:bigint>>")
+    made = rows.mapInArrow(tidy(run), "doc_id long, text_key long, lines array<struct<line:int,words:int,h1:bigint,h2:bigint>>")
     return made.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", F.posexplode("lines").alias("at", "x")).select("doc_id", "text_key", "at", "x.*")
 
 
@@ -165,7 +165,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(cuts, pa.int64()), pa.array(empty, pa.bool_())], [*names, "n_lines", "n_deleted", "emptied"])
 
     kinds = ", ".join(f"`{n}` {'string' if n == 'text' else rows.schema[n].dataType.simpleString()}" for n in names)
-    return rows.mapInArrow(run, f"{kinds}, n_lines long, n_deleted long, emptied boolean")
+    return rows.mapInArrow(tidy(run), f"{kinds}, n_lines long, n_deleted long, emptied boolean")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

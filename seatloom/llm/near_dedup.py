@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, windows
+from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, tidy, windows
 from seatloom.llm.components import components
 from seatloom.llm.decontaminate import bit_set, may_hold
 
@@ -114,7 +114,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum((n > 0) * BANDS)], pa.int32()), pa.array(keys))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(n), *map(pa.array, digests(sets)), lists], ["doc_id", "n_shingles", "d1", "d2", "bands"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def candidate_sets(docs: DataFrame, bits) -> DataFrame:
@@ -131,7 +131,7 @@ def candidate_sets(docs: DataFrame, bits) -> DataFrame:
                 values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(digests(sets)[0]), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))], ["node", "shingles"])
 
-    return rows.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    return rows.mapInArrow(tidy(run), "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def _hash_ids(ids: pa.Array) -> np.ndarray:
@@ -143,7 +143,7 @@ def _id_hashes(ids: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(_hash_ids(batch.column("doc_id")).view(np.int64))], ["h"])
 
-    return ids.mapInArrow(run, "h long")
+    return ids.mapInArrow(tidy(run), "h long")
 
 
 def _alike(a: Column, b: Column) -> Column:

@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from seatloom.llm.automaton import AhoCorasick, PrefixBpe
-from seatloom.llm.common import TwoGenerations, bound_batches, fields
+from seatloom.llm.common import TwoGenerations, bound_batches, fields, tidy
 
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
 UNIGRAM, BPE = 1, 2  # model types
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 
 class Pieces:
@@ -213,7 +213,7 @@ def encode(docs: DataFrame, model: str, *, keep: tuple[str, ...] = (), kind: int
                 same = pa.array([pieces.decode(x) == t for x, t in zip(ids, texts, strict=True)])
                 yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(sizes), lists, same], [*[f.name for f in kept], "n_ids", "ids", "round_trip"])
 
-    return rows.mapInArrow(run, out_schema)
+    return rows.mapInArrow(tidy(run), out_schema)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -227,4 +227,4 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     rows = fields(encoded, "doc_id", "ids")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import bound_batches, fields, raw_bytes
+from seatloom.llm.common import bound_batches, fields, raw_bytes, tidy
 
 WIDTH, STEP, BLOCK = 8, 4, 128
 LEAD = WIDTH - STEP
@@ -213,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | C
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(cut, pa.binary())], ["doc_id", "quality", "bytes"])
 
     kind = joined.schema["doc_id"].dataType.simpleString()
-    got = joined.select("doc_id", "quality", "text").mapInArrow(run, f"doc_id {kind}, quality int, bytes binary").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    got = joined.select("doc_id", "quality", "text").mapInArrow(tidy(run), f"doc_id {kind}, quality int, bytes binary").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     return train([bytes(b) for b in got["bytes"]], got["quality"].to_numpy(np.float32))
 
 
@@ -232,7 +232,7 @@ def score(docs: DataFrame, net: Network | Constant) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts), pa.float64())], [*names, "score"])
 
     kinds = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    return rows.mapInArrow(tidy(run), f"{kinds}, score double")
 
 
 def keep_good(docs: DataFrame, net: Network | Constant) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from seatloom.llm.automaton import PrefixBpe
-from seatloom.llm.common import TwoGenerations, bound_batches, fields
+from seatloom.llm.common import TwoGenerations, bound_batches, fields, tidy
 from seatloom.llm.token_store import load_tokenizer
 
 CACHE_WORDS = 400_000
@@ -214,7 +214,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
                 })
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, kept_bytes long")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, kept_bytes long")
 
 
 def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -229,4 +229,4 @@ def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
                 one = batch.slice(i, 1)
                 yield pa.RecordBatch.from_pydict({"doc_id": one.column("doc_id"), "counts": pa.array([bpe.prefix_counts(one.column("text")[0].as_py() or "")], pa.list_(pa.int32()))})
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, counts array<int>")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, counts array<int>")

@@ -31,13 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import TwoGenerations, bound_batches, cut, fields, mix, partitions_for, scratch_path
+from seatloom.llm.common import TwoGenerations, bound_batches, cut, fields, mix, partitions_for, scratch_path, tidy
 
 MAGIC = b"SLTOKEN1"
 #: index offset, index length, records, distinct keys, null-key records, tokens, first key, last key, shard, id bytes
 FOOTER = struct.Struct("<QQQQQQqqII8s")
 SHARD_TEXT_BYTES = 48 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 # ---------------------------------------------------------------- encoding
 
@@ -243,7 +243,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
     order = ["k", F.xxhash64("text"), F.monotonically_increasing_id()]
     n = partitions_for(rows, SHARD_TEXT_BYTES)
     ranged = rows.repartitionByRange(n, *order).sortWithinPartitions("k", F.xxhash64("text"))
-    (ranged.mapInArrow(run, "row binary").select(F.col("row").cast("string").alias("value"))
+    (ranged.mapInArrow(tidy(run), "row binary").select(F.col("row").cast("string").alias("value"))
         .write.option("lineSep", "\0" * width).option("compression", "none").text(path))
 
 
@@ -280,7 +280,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
                         "last_id": pa.array([int(x[-1]) for x in ids], pa.int64()),
                     })
 
-    return _files(spark, path).mapInArrow(run, "key long, shard int, before long, n_tokens long, ids_crc32 long, first_id long, last_id long")
+    return _files(spark, path).mapInArrow(tidy(run), "key long, shard int, before long, n_tokens long, ids_crc32 long, first_id long, last_id long")
 
 
 def lookup(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -313,10 +313,10 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id")
         return pa.table({"key": pa.array(out_key, pa.int64()), "ids": pa.array(out_ids, pa.list_(pa.int64()))})
 
     files = _files(spark, path)
-    span = files.mapInArrow(ranges, "shard int, low long, high long")
+    span = files.mapInArrow(tidy(ranges), "shard int, low long, high long")
     wanted = fields(keys, key).select(F.col(f"`{key}`").cast("long").alias("key")).where("key is not null").distinct()
     routed = wanted.join(span, (wanted.key >= span.low) & (wanted.key <= span.high)).select("shard", "key")
-    return (files.mapInArrow(numbered, "shard int, content binary").groupBy("shard")
+    return (files.mapInArrow(tidy(numbered), "shard int, content binary").groupBy("shard")
             .cogroup(routed.groupBy("shard")).applyInArrow(answer, "key long, ids array<long>"))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from seatloom.llm.common import bound_batches, cut, fields
+from seatloom.llm.common import bound_batches, cut, fields, tidy
 
 SCALE, SHEET, BLOCK = 256, 2048, 64
 
@@ -79,7 +79,7 @@ def sheets(vectors: DataFrame) -> DataFrame:
         if ids:
             yield flush()
 
-    made = cut(ranged.mapInArrow(run, "first long, payload binary"))
+    made = cut(ranged.mapInArrow(tidy(run), "first long, payload binary"))
     # one row a sheet: a bounded share of the table, numbered in one window
     order = made.select("first", (F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("sheet"))
     return made.join(order, "first").select("sheet", "payload")
@@ -163,6 +163,6 @@ def top_k(vectors: DataFrame, query: Column, k: int = 5, vector: str = "embeddin
                 owner = np.repeat(ids, [len(i) for i, _ in found])
                 yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))], ["query_id", "vec_id", "score"])
 
-    best = pairs.select("queries", "candidates").mapInArrow(run, "query_id long, vec_id long, score long")
+    best = pairs.select("queries", "candidates").mapInArrow(tidy(run), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
