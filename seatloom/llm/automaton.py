@@ -40,23 +40,34 @@ class AhoCorasick:
                 back = self.go[back].get(c, 0)
                 self.fail[child] = back
                 self.link[child] = back if own[back] else self.link[back]
-        self._outputs: dict[int, tuple] = {}
+        self.shortcuts = 0
+        self.found: list[tuple | None] = [None] * len(self.go)
+
+    #: Transitions over failures that are remembered, beside the trie's own.
+    MOST_SHORTCUTS = 1_000_000
 
     def step(self, node: int, c) -> int:
-        while c not in self.go[node]:
-            if not node:
-                return 0
-            node = self.fail[node]
-        return self.go[node][c]
+        """The node after c, remembered for the next time."""
+        go = self.go
+        if c in go[node]:
+            return go[node][c]
+        at = node
+        while at and c not in go[at]:
+            at = self.fail[at]
+        target = go[at].get(c, 0)
+        if self.shortcuts < self.MOST_SHORTCUTS:
+            self.shortcuts += 1
+            go[node][c] = target
+        return target
 
     def outputs(self, node: int) -> tuple:
-        got = self._outputs.get(node)
+        got = self.found[node]
         if got is None:
             found, at = [], node if self.own[node] else self.link[node]
             while at:
                 found.append(self.own[at])
                 at = self.link[at]
-            got = self._outputs[node] = tuple(found)
+            got = self.found[node] = tuple(found)
         return got
 
 
@@ -72,11 +83,14 @@ class PrefixBpe:
     def __init__(self, pieces: Sequence[tuple[Sequence, int]], merge: Callable[[Sequence], list]):
         self.automaton, self.merge = AhoCorasick(pieces), merge
         self.piece = {i: p for p, i in pieces}
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.size = {i: len(p) for p, i in pieces} | {-1: 1}
+        #: by token, then by the one before it (None: the word's beginning): whether they stay apart
+        self.apart: dict[int, dict] = {i: {} for _, i in pieces}
+        self.pairs = 0
 
-    def fits(self, left: int, right: int) -> bool:
+    def fits(self, left: int | None, right: int) -> bool:
         """Whether right can follow left (None: begin the word)."""
-        got = self.apart.get((left, right))
+        got = self.apart[right].get(left)
         if got is None:
             b = self.piece[right]
             if left is None or left == -1:
@@ -84,39 +98,52 @@ class PrefixBpe:
             else:
                 a = self.piece[left]
                 got = self.merge(a + b) == [a, b]
-            if len(self.apart) >= self.MOST_PAIRS:
-                self.apart.clear()
-            self.apart[left, right] = got
+            if self.pairs >= self.MOST_PAIRS:
+                for known in self.apart.values():
+                    known.clear()
+                self.pairs = 0
+            self.pairs += 1
+            self.apart[right][left] = got
         return got
 
-    def run(self, word: Sequence) -> tuple[list[int], list[int]]:
-        """last[e] and count[e] for the prefixes of length 0 to len(word)."""
-        go, fail, outputs, fits = self.automaton.go, self.automaton.fail, self.automaton._outputs, self.apart
+    def last_tokens(self, word: Sequence) -> list:
+        """last[e]: the last token of the prefix of length e (None for the empty one)."""
+        go, step, found, outputs, apart, fits = self.automaton.go, self.automaton.step, self.automaton.found, self.automaton.outputs, self.apart, self.fits
         last: list = [None]
-        count = [0]
         node = 0
         for e, c in enumerate(word, 1):
-            while c not in go[node]:
-                if not node:
-                    break
-                node = fail[node]
-            node = go[node].get(c, 0)
-            for length, token in outputs.get(node) or self.automaton.outputs(node):
+            to = go[node].get(c)
+            node = step(node, c) if to is None else to
+            for length, token in found[node] or outputs(node):
                 before = last[e - length]
-                ok = fits.get((before, token))
-                if ok or ok is None and self.fits(before, token):
+                ok = apart[token].get(before)
+                if ok or ok is None and fits(before, token):
                     last.append(token)
-                    count.append(count[e - length] + 1)
                     break
             else:
                 last.append(-1)
-                count.append(count[e - 1] + 1)
+        return last
+
+    def run(self, word: Sequence) -> tuple[list, list[int]]:
+        """last[e] and count[e] for the prefixes of length 0 to len(word): one token more than where the last begins."""
+        last, size = self.last_tokens(word), self.size
+        count = [0]
+        for e in range(1, len(last)):
+            count.append(count[e - size[last[e]]] + 1)
         return last, count
 
+    def count(self, word: Sequence) -> int:
+        """Tokens of the whole word."""
+        last, size, e, n = self.last_tokens(word), self.size, len(word), 0
+        while e:
+            e -= size[last[e]]
+            n += 1
+        return n
+
     def tokens(self, word: Sequence) -> list[int]:
-        last, _ = self.run(word)
+        last, size = self.last_tokens(word), self.size
         out, e = [], len(word)
         while e:
             out.append(last[e])
-            e -= len(self.piece[last[e]]) if last[e] != -1 else 1
+            e -= size[last[e]]
         return out[::-1]

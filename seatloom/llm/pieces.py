@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,7 +61,7 @@ class Pieces:
         self.hidden = {i for i, p in enumerate(model.pieces) if p.type == CONTROL}
         self.score = {i: p.score for i, p in enumerate(model.pieces) if p.type == NORMAL}
         own = [(p.piece, i) for i, p in enumerate(model.pieces) if p.type == NORMAL]
-        self.joined = {p[i : i + 2] for p, _ in own for i in range(len(p) - 1)}
+        self.joined = {pair for p, _ in own for pair in zip(p, p[1:], strict=False)}
         if any(j[1] == BLANK and j[0] != BLANK for j in self.joined):
             raise ValueError("a piece has a blank after another character")
         self.rank = {p: self.score[i] for p, i in own}
@@ -107,10 +108,13 @@ class Pieces:
     def _stretch(self, text: str) -> bytes:
         ids: list[int] = []
         if self.kind == UNIGRAM:
-            found = [(s, p) for s, p in self._viterbi(text)]
+            found = self._viterbi(text)
         else:
+            tokens = self.bpe.tokens(text)
+            if -1 not in tokens:
+                return array("i", tokens).tobytes()
             found, at = [], 0
-            for p in self.bpe.tokens(text):
+            for p in tokens:
                 found.append((at, p))
                 at += len(self.surface[p]) if p != -1 else 1
         unknown_run = False
@@ -129,8 +133,8 @@ class Pieces:
         if not self.byte_ids:
             return [word]  # neighbours outside the vocabulary must stay together
         out, at, joined = [], 0, self.joined
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in joined:
+        for i, pair in enumerate(zip(word, word[1:], strict=False), 1):
+            if pair not in joined:
                 out.append(word[at:i])
                 at = i
         out.append(word[at:])

@@ -114,7 +114,7 @@ class ByteBpe:
     def pretoken_count(self, pretoken: str) -> int:
         got = self.pretokens.new.get(pretoken)
         if got is None:
-            got = self.pretokens.new[pretoken] = self.bpe.run(pretoken.encode())[1][-1]
+            got = self.pretokens.new[pretoken] = self.bpe.count(pretoken.encode())
         return got
 
     def part_counts(self, lists: list[list[str]]) -> list[list[int]]:
