@@ -55,19 +55,22 @@ class WordEncoder:
     def __init__(self, path: str, dtype: np.dtype):
         self.tok, self.dtype = load_tokenizer(path), dtype
         self.by_word = drops_white_space(self.tok)
+        self.added = [t.content.lower() for t in self.tok.get_added_tokens_decoder().values()]
         self.cache = TwoGenerations(CACHE_WORDS)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if not (self.by_word and _LETTERWISE.fullmatch(t))]
+        # added strings are found before letters are lowered, so texts that may hold one aren't parted
+        lower = [t.lower() for t in texts]
+        whole = [i for i, t in enumerate(texts) if not (self.by_word and _LETTERWISE.fullmatch(t)) or any(a in lower[i] for a in self.added)]
         out: list[bytes] = [b""] * len(texts)
         for i in range(0, len(whole), 64):
             for k, ids in zip(whole[i : i + 64], self._library([texts[k] for k in whole[i : i + 64]]), strict=True):
                 out[k] = ids
         rest = set(range(len(texts))) - set(whole)
-        lists = {i: texts[i].lower().split() for i in rest}
+        lists = {i: lower[i].split() for i in rest}
         known, missing = self.cache.take(set().union(*lists.values()))
         if missing:
             fresh = dict(zip(missing, self._library(missing), strict=True))

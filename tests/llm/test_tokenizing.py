@@ -14,7 +14,7 @@ WORD_BPE, BYTE_BPE, PIECES = (public_tokenizers.path(n) for n in ("word_bpe_49k.
 TEXTS = [
     "", "  ", "a", "Hello, World! it's 12,345 o'clock", "tabs\tand\n\nnewlines \n mixed   runs ", "ÉTÉ über straße Ñandú ½ ² ª", "日本語のテキスト and العربية", "é combining İstanbul ΟΔΥΣΣΕΥΣ",
     "x<|endoftext|>y  <|endoftext|>", "<s> </s> <unk> ▁ under_score", "\x00\x1c\x85\xa0 controls", "emoji 👩‍👩‍👧 🤖", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "'re we'll they've 're're !!'s", "no" * 400, "a b " * 900,
-    "spaces   before  words", "trailing newline\n", "\n leading", "end <|endof", "http://x.y/z?q=1&r=%20 ##### *** --- ===",
+    "spaces   before  words", "trailing newline\n", "\n leading", "end <|endof", "loud <|ENDOFTEXT|> and <|startOfText|>x", "http://x.y/z?q=1&r=%20 ##### *** --- ===",
 ]
 ODD = [(1, None), (2, ""), (3, "same same"), (3, "same same"), (None, "no key"), (4, "naïve Text")]
 
