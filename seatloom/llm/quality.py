@@ -31,7 +31,7 @@ WIDTH, STEP, BLOCK = 8, 4, 128
 LEAD = WIDTH - STEP
 EMBED, FILTERS, HIDDEN = 8, 32, 24
 SAMPLE, SAMPLE_BYTES, FOLDS = 4000, 8192, 5
-EPOCHS, BATCH, RATE, DECAY = 6, 32, 3e-3, 1e-4
+EPOCHS, BATCH, RATE, DECAY = 10, 32, 3e-3, 1e-4
 THRESHOLD = 0.3
 SLICE = 1 << 18
 
