@@ -12,8 +12,8 @@
    documents of larger ones go through an exact filter: only shingles that another component holds too can be in
    an overlap, which rules most documents out; what is left meets by prefix filtering, fewest holders first.
 
-Texts are read twice (signatures; sets of candidates only, told by a bit set of fixed size) and never shuffled. All
-joins have a side with one row a key, so adaptive execution can split hot keys.
+Texts are read twice (signatures; sets of candidates only, told by a bit set of fixed size) and never shuffled. Joins with
+many rows a key have a materialised side with one row a key, so adaptive execution can split hot keys.
 
 Defined cases: null or empty text has no shingles and is linked with nothing; one to four words are one shingle.
 Rows that share a doc_id are documents of their own. A null doc_id links nothing, has a null component
@@ -186,6 +186,7 @@ class Links:
         """Of bucket rows (key, node, n): those of buckets that hold several components, with part and the bucket's size."""
         rows = self.labelled(rows, "node", "part")
         keys = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members")).where("low <> high").select("key", "members")
+        keys = cut(keys)
         return cut(rows.join(keys, "key"))
 
 
@@ -201,7 +202,7 @@ def star(rows: DataFrame) -> DataFrame:
 
     A node's crowd is how many rows share its buckets: the text that a family of copies was made from is near all of
     them, so it has the largest and heads the buckets of its family."""
-    head = rows.groupBy("key").agg(F.max(F.struct("crowd", "node", "n")).alias("head"))
+    head = cut(rows.groupBy("key").agg(F.max(F.struct("crowd", "node", "n")).alias("head")))
     return rows.join(head, "key").where((F.col("head.node") != F.col("node")) & _alike(F.col("head.n"), F.col("n"))).select(F.col("head.node").alias("u"), F.col("node").alias("v"))
 
 
@@ -217,7 +218,7 @@ def prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """
     nodes = rows.select("node", "part").distinct()
     held = sets.join(nodes, "node").select("node", "part", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("key"))
-    counts = held.groupBy("key").agg(F.count("*").alias("holders"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key", "holders")
+    counts = cut(held.groupBy("key").agg(F.count("*").alias("holders"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key", "holders"))
     outside = cut(held.join(counts, "key"))
     bit, word = F.expr("shiftleft(1L, cast(key & 63 as int))"), F.expr(f"cast(shiftrightunsigned(key, 6) % {MARKS} as int)")
     masks = [f"m{i}" for i in range(MARKS)]
@@ -241,7 +242,7 @@ def linked_components(docs: DataFrame, base: DataFrame) -> DataFrame | None:
     heads = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id")).select("d1", "doc_id")
     rows = known.select("doc_id", "d1", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).join(heads, ["doc_id", "d1"])
     rows = rows.select("key", F.col("d1").alias("node"), "n", "doc_id")
-    crowded = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    crowded = cut(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
     rows = cut(rows.join(crowded, "key"))
     crowd = rows.groupBy("node").agg(F.sum("members").alias("crowd"), F.first("doc_id").alias("doc_id"))
     bits = spark.sparkContext.broadcast(bit_set(_id_hashes(crowd.select("doc_id"))))
@@ -270,7 +271,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = base.select("doc_id", "n_shingles", F.col("d1").alias("node"))
     full = rows.where("n_shingles > 0")
     full = full.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")) if parts is not None else full.withColumn("component", F.col("node"))
-    least = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = cut(full.groupBy("component").agg(F.min("doc_id").alias("component_id")))
     full = full.join(least, "component").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
     rows = full.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
