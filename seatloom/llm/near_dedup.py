@@ -10,7 +10,7 @@
    linear in the bucket); links are united; then only buckets that still hold several components are looked at again.
 4. In those, all pairs between different components are verified if the bucket has at most PAIRED members. The
    documents of larger ones go through an exact filter: only shingles that another component holds too can be in
-   an overlap, which rules most documents out; what is left meets by prefix filtering, fewest holders first.
+   an overlap, which rules most documents out; what is left meets by prefix filtering, rare shingles first.
 
 Texts are read twice (signatures; sets of candidates only, told by a bit set of fixed size) and never shuffled. Joins with
 many rows a key have a materialised side with one row a key, so adaptive execution can split hot keys.
@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, tidy, windows
 from seatloom.llm.components import components
@@ -40,6 +39,8 @@ SLOTS = BANDS * ROWS
 PAIRED = 24
 #: 64-bit words of the bit maps that bound an overlap.
 MARKS = 16
+#: A shingle of more nodes than this comes last in the order of prefixes.
+COMMON = 16
 #: Shingles that are permuted at a time.
 ELEMENTS = 1 << 17
 PERCENT = 75
@@ -206,27 +207,59 @@ def star(rows: DataFrame) -> DataFrame:
     return rows.join(head, "key").where((F.col("head.node") != F.col("node")) & _alike(F.col("head.n"), F.col("n"))).select(F.col("head.node").alias("u"), F.col("node").alias("v"))
 
 
+def _ceil(a: int, b: int) -> int:
+    return -(-a // b)
+
+
+def prefix_rows(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, node, n, part, theirs, small, m0...): of each node the shingles by which it may meet a similar one of
+    another component; no rows for a node that has none.
+
+    Which shingles several components hold, and which of them many nodes hold, reaches the tasks as two bit sets of
+    fixed size. A shingle that a bit set holds by chance only weakens the filter; the order is the same for all.
+    """
+    spark = rows.sparkSession
+    held = sets.join(rows.select("node", "part").distinct(), "node")
+    each = held.select("part", F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("holders"), F.min("part").alias("low"), F.max("part").alias("high"))
+    each = cut(each.where("low <> high").select("h", "holders"))
+    bits = spark.sparkContext.broadcast((bit_set(each.select("h")), bit_set(each.where(F.col("holders") > COMMON).select("h"))))
+    masks = [f"m{i}" for i in range(MARKS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outside, common = bits.value
+        for batch in batches:
+            columns = {name: [] for name in ("key", "node", "n", "part", "theirs", "small", *masks)}
+            for node, part, shingles in zip(batch.column("node").to_pylist(), batch.column("part").to_pylist(), batch.column("shingles"), strict=True):
+                whole = shingles.values.to_numpy().view(np.uint64)
+                theirs, n = whole[may_hold(outside, whole)], len(whole)
+                first, nearer = len(theirs) - _ceil(n * PERCENT, 100) + 1, len(theirs) - _ceil(2 * n * PERCENT, 100 + PERCENT) + 1
+                if first <= 0:
+                    continue
+                marks = np.zeros(MARKS, np.uint64)
+                np.bitwise_or.at(marks, ((theirs >> np.uint64(6)) % np.uint64(MARKS)).astype(np.int64), np.uint64(1) << (theirs & np.uint64(63)))
+                picked = theirs[np.lexsort((theirs, may_hold(common, theirs)))[:first]]
+                columns["key"].append(picked.view(np.int64))
+                columns["small"].append(np.arange(first) < nearer)
+                for name, v in (("node", node), ("n", n), ("part", part), ("theirs", len(theirs)), *zip(masks, marks.view(np.int64), strict=True)):
+                    columns[name].append(np.full(first, v, np.int64))
+            flat = [np.concatenate(v) if v else np.zeros(0, bool if name == "small" else np.int64) for name, v in columns.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in flat], list(columns))
+
+    return held.select("node", "part", "shingles").mapInArrow(tidy(run), "key long, node long, n long, part long, theirs long, small boolean, " + ", ".join(f"{m} long" for m in masks))
+
+
 def prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs from different components among the nodes of rows that may be similar, by exact filters.
 
     Two sets of sizes m <= n need an overlap of PERCENT / (100 + PERCENT) * (m + n): at least 6/7 of m and 3/4 of n. Only
-    shingles that some node of another component holds can be in it. They are ordered, fewest holders first; if the
+    shingles that some node of another component holds can be in it. They are ordered, those of many nodes last; if the
     overlap is large enough, one of the first (theirs - 6/7 m + 1) of the smaller set is among the first
     (theirs - 3/4 n + 1) of the larger. Pairs that meet so must also pass a bound: each set marks its shingles in a small
     bit map, and a mark that the other set lacks is a shingle that it lacks. Copies of one text with edits of their
     own all meet at its shingles, but the bound comes so near the overlap that few wrong pairs pass.
     """
-    nodes = rows.select("node", "part").distinct()
-    held = sets.join(nodes, "node").select("node", "part", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("key"))
-    counts = cut(held.groupBy("key").agg(F.count("*").alias("holders"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key", "holders"))
-    outside = cut(held.join(counts, "key"))
-    bit, word = F.expr("shiftleft(1L, cast(key & 63 as int))"), F.expr(f"cast(shiftrightunsigned(key, 6) % {MARKS} as int)")
     masks = [f"m{i}" for i in range(MARKS)]
-    sums = outside.groupBy("node").agg(F.count("*").alias("theirs"), *[F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(m) for i, m in enumerate(masks)])
-    place = F.row_number().over(Window.partitionBy("node").orderBy("holders", "key"))
-    ranked = outside.withColumn("place", place).join(sums, "node")
-    least = lambda num, den: F.col("theirs") - F.ceil(F.col("n") * num / den) + 1
-    ranked = cut(ranked.where(F.col("place") <= least(PERCENT, 100)).withColumn("small", F.col("place") <= least(2 * PERCENT, 100 + PERCENT)))
+    ranked = cut(prefix_rows(rows, sets))
     a, b = (ranked.select("key", F.col("node").alias(x), *[F.col(c).alias(c + x) for c in ("n", "part", "theirs", *masks)], "small") for x in "uv")
     missing = lambda x, y: sum(F.bit_count(F.col(m + x).bitwiseAND(F.bitwise_not(m + y))) for m in masks)
     bound = F.least(F.col("theirsu") - missing("u", "v"), F.col("theirsv") - missing("v", "u"))
