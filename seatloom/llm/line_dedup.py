@@ -75,8 +75,11 @@ def _position() -> Column:
 
 
 def _named(rows: DataFrame, *keys: str) -> DataFrame:
-    """rows with cls, the earliest position of the rows that share keys, as far as two or more do."""
-    names = rows.groupBy(*keys).agg(F.min(_position()).alias("cls"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    """rows with cls, the earliest position of the rows that share keys, as far as two or more do.
+
+    The names are materialised, so that they and the rows meet in a plain join, of which adaptive execution can split
+    a key that very many rows share."""
+    names = cut(rows.groupBy(*keys).agg(F.min(_position()).alias("cls"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
     return rows.join(names, list(keys))
 
 
