@@ -77,6 +77,11 @@ def fields(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def text_digest(name: str = "text") -> Column:
+    """A digest that tells texts apart; null for null."""
+    return F.sha2(F.col(f"`{name}`").cast("string").cast("binary"), 256)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias("text")
 

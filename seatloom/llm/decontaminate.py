@@ -20,6 +20,7 @@ once; repeated documents give equal rows. Extra columns are not read. With no it
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import ALNUM, bound_batches, cut, fields, slices, tidy, windows
+from seatloom.llm.common import ALNUM, bound_batches, cut, fields, slices, text_digest, tidy, windows
 
 WINDOW, GRAM = 13, 5
 SIDE = WINDOW - GRAM  # words that a hit carries to each side
@@ -194,6 +195,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that aren't contaminated; of rows that share a doc_id (or have none), all go if one is."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """The documents that aren't contaminated. Each row is judged by its own text, whether or not others share its
+    doc_id or have none; rows of equal doc_id and text are judged alike."""
+    key = f"_key_{uuid.uuid4().hex[:8]}"
+    named = docs.select(F.struct(F.col("doc_id"), text_digest().alias("digest")).alias("doc_id"), "text")
+    bad = cut(contamination(named, benchmark).where("contaminated").select(F.col("doc_id.doc_id").alias(f"{key}_d"), F.col("doc_id.digest").alias(f"{key}_t")).distinct())
+    rows = docs.withColumn(key, text_digest())
+    return rows.join(bad, rows["doc_id"].eqNullSafe(bad[f"{key}_d"]) & (rows[key] == bad[f"{key}_t"]), "left_anti").drop(key)

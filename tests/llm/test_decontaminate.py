@@ -69,3 +69,13 @@ def test_drop(spark):
     docs = spark.createDataFrame([(1, item), (2, "clean words"), (None, None), (3, item + " x" * 500)], "doc_id long, text string")
     kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3]
+
+
+def test_drop_judges_each_row(spark):
+    """Clean documents stay though a contaminated one shares their doc_id or has none either."""
+    item = " ".join(f"q{i}" for i in range(20))
+    rows = [(None, item, 1), (None, "clean words", 2), (None, "other words", 3), (None, None, 4), (5, item, 5), (5, "clean words", 6), (5, "clean words", 7), (6, item, 8), (6, item, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest int").repartition(3)
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted(r.digest for r in kept.collect()) == [2, 3, 4, 6, 7]
