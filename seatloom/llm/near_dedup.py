@@ -16,12 +16,14 @@ Texts are read twice (signatures; sets of candidates only, told by a bit set of
 many rows a key have a materialised side with one row a key, so adaptive execution can split hot keys.
 
 Defined cases: null or empty text has no shingles and is linked with nothing; one to four words are one shingle.
-Rows that share a doc_id are documents of their own. A null doc_id links nothing, has a null component
-and is kept. Extra columns are not read. An empty table gives no rows.
+Rows that share a doc_id are documents of their own. In ``near_duplicates`` a null doc_id links nothing, has a null
+component and is kept; ``keep_one`` links rows without doc_id like others. Extra columns are not read. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, tidy, windows
+from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, text_digest, tidy, windows
 from seatloom.llm.components import components
 from seatloom.llm.decontaminate import bit_set, may_hold
 
@@ -101,9 +103,9 @@ def digests(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [np.array([mix(s ^ np.uint64(c)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for c in (0x243F6A8885A308D3, 0x13198A2E03707344)]
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two digests of the set, and the band keys."""
-    rows = fields(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+def signatures(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, n_shingles, two digests of the set, and the band keys; the columns named come along."""
+    rows = fields(docs, "doc_id", "text", *carried).withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,9 +115,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                 keys = band_keys(super_minhash(sets)).view(np.int64)
                 keys = keys[n > 0].reshape(-1)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum((n > 0) * BANDS)], pa.int32()), pa.array(keys))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(n), *map(pa.array, digests(sets)), lists], ["doc_id", "n_shingles", "d1", "d2", "bands"])
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), *map(pa.array, digests(sets)), lists, *map(part.column, carried)], ["doc_id", "n_shingles", "d1", "d2", "bands", *carried])
 
-    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>" + "".join(f", {k} {rows.schema[k].dataType.simpleString()}" for k in carried))
 
 
 def candidate_sets(docs: DataFrame, bits) -> DataFrame:
@@ -311,6 +314,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    """One row of each group of near duplicates stays, that with the smallest doc_id (of equal ones, by a digest of the
+    text; rows without doc_id come last). Rows are told apart by doc_id and text; of rows equal in both one stays."""
+    bound_batches(docs.sparkSession)
+    # what rows without doc_id are linked by is a number made from their text
+    number = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
+    named = docs.select(number.alias("doc_id"), "text", F.col("doc_id").cast("long").alias("own_id"), text_digest().alias("digest"))
+    base = cut(signatures(named, "own_id", "digest"))
+    parts = linked_components(named, base.dropDuplicates(["doc_id", "d1"]))
+    rows = base.where("n_shingles > 0").select(F.col("d1").alias("node"), F.struct(F.col("own_id").isNull().alias("none"), "own_id", "digest").alias("name"))
+    # a row for each (doc_id, text) before the join, so that no number of equal rows weighs there
+    rows = rows.groupBy("node", "name").agg(F.count("*").alias("copies"))
+    rows = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")) if parts is not None else rows.withColumn("component", F.col("node"))
+    rows = cut(rows.select("component", "name", "copies"))
+    least = cut(rows.groupBy("component").agg(F.min("name").alias("first")))
+    judged = cut(rows.join(least, "component").select("name", "copies", (F.col("name") == F.col("first")).alias("kept")).where("not kept or copies > 1"))
+
+    key = f"_key_{uuid.uuid4().hex[:8]}"
+    texts = docs.withColumn(key, text_digest())
+    named_so = lambda found: texts["doc_id"].cast("long").eqNullSafe(found[f"{key}_d"]) & (texts[key] == found[f"{key}_t"])
+    found = judged.select(F.col("name.own_id").alias(f"{key}_d"), F.col("name.digest").alias(f"{key}_t"), "kept")
+    out = texts.join(found, named_so(found), "left_anti").drop(key)
+    repeated = found.where("kept").drop("kept")
+    if repeated.isEmpty():
+        return out
+    return out.union(texts.join(repeated, named_so(repeated), "left_semi").dropDuplicates(["doc_id", key]).drop(key))

@@ -86,3 +86,21 @@ def test_components(spark):
     frame = spark.createDataFrame(edges, "u long, v long").repartition(7)
     want = {x: c for x, c in forest([e for e in edges if e[0] != e[1]]).items()}
     assert {x.node: x.component for x in components(frame).collect()} == want
+
+
+def test_keep_one_judges_each_row(spark):
+    """Of each group one row stays; texts of their own stay whatever their doc_id; copies without doc_id go."""
+    base = [f"w{i}" for i in range(60)]
+    a, near, b, c = " ".join(base), " ".join([*base[:-1], "z"]), "a text that is like no other one", "some words without any id at all"
+    rows = [
+        (3, a, 0), (7, near, 1), (7, b, 2), (3, near, 3), (3, a, 4),  # one of a, near; b
+        (None, c, 5), (None, c, 6), (None, c + " more", 7), (None, near, 8),  # one of the first three; near goes
+        (None, None, 9), (None, None, 10), (4, "", 11), (4, "", 12), (None, "alone and without an id here", 13),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node int").repartition(3)
+    out = near_dedup.keep_one(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    kept = {r.node for r in got}
+    assert len(got) == len(kept) == 8 and {2, 9, 10, 11, 12, 13} < kept
+    assert len(kept & {0, 3, 4}) == 1 and not kept & {1, 8} and len(kept & {5, 6, 7}) == 1
