@@ -20,7 +20,8 @@ from __future__ import annotations
 import functools
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -111,12 +112,17 @@ class ByteBpe:
 
     # -- counts
 
-    def pretoken_count(self, pretoken: str) -> int:
+    def pretoken_counts(self, pretoken: str) -> Sequence[int]:
+        """The stored counts at the byte prefixes of a pretoken, from the empty one on."""
         got = self.pretokens.new.get(pretoken)
         if got is None:
-            got = self.pretokens.new[pretoken] = self.bpe.count(pretoken.encode())
+            counts = self.bpe.run(pretoken.encode())[1]
+            got = self.pretokens.new[pretoken] = bytes(counts) if max(counts) < 256 else array("q", counts)
         return got
 
+    def pretoken_count(self, pretoken: str) -> int:
+        return self.pretoken_counts(pretoken)[-1]
+
     def part_counts(self, lists: list[list[str]]) -> list[list[int]]:
         """Token counts of the parts of each text."""
         known, missing = self.words.take(set().union(*lists))
@@ -139,9 +145,9 @@ class ByteBpe:
         before: the pretoken before it, if that is white space: the two are one run while only white space follows.
         """
         if pretoken in _SHORT:
-            tail = self.bpe.run(pretoken[1:-1].encode())[1][-1]
+            tail = self.pretoken_count(pretoken[1:-1])
             return [1, 1 + tail, self.pretoken_count(pretoken)]
-        counts = self.bpe.run(pretoken.encode())[1]
+        counts = self.pretoken_counts(pretoken)
         ends = np.cumsum([len(c.encode()) for c in pretoken])
         out = [counts[e] for e in ends]
         if before:

@@ -114,3 +114,16 @@ def test_counts_at_every_prefix(spark):
         assert own.prefix_counts(t) == want, t
     row = token_counts.prefix_counts(table(spark, [(1, "ab c")]), BYTE_BPE).collect()[0]
     assert row.counts == own.prefix_counts("ab c") and len(row.counts) == 5
+
+
+def test_cuts_read_the_stored_prefix_counts(monkeypatch):
+    """Once the parts of a text are counted, where it is cut is read from the table without running BPE again."""
+    bpe = token_counts.ByteBpe(BYTE_BPE)
+    text = "antidisestablishmentarianism of " + "zqx" * 200 + " straightforwardly"
+    parts = bpe.parts(text)
+    counts = bpe.part_counts([parts])[0]
+    want = bpe.prefix_counts(text)
+    monkeypatch.setattr(bpe.bpe, "last_tokens", lambda word: pytest.fail("BPE was run again"))
+    for limit in range(sum(counts)):
+        kept = bpe.cut(parts, counts, limit)
+        assert want[kept] <= limit
