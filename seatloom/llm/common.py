@@ -77,6 +77,12 @@ def fields(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def small_side(df: DataFrame, most: int = 1 << 17) -> DataFrame:
+    """A materialised table of ids or digests, with the hint to broadcast it if it has at most `most` rows (some MB):
+    the other side, which carries texts, then isn't shuffled. A larger table is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def text_digest(name: str = "text") -> Column:
     """A digest that tells texts apart; null for null."""
     return F.sha2(F.col(f"`{name}`").cast("string").cast("binary"), 256)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import ALNUM, bound_batches, cut, fields, slices, text_digest, tidy, windows
+from seatloom.llm.common import ALNUM, bound_batches, cut, fields, slices, small_side, text_digest, tidy, windows
 
 WINDOW, GRAM = 13, 5
 SIDE = WINDOW - GRAM  # words that a hit carries to each side
@@ -200,5 +200,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = f"_key_{uuid.uuid4().hex[:8]}"
     named = docs.select(F.struct(F.col("doc_id"), text_digest().alias("digest")).alias("doc_id"), "text")
     bad = cut(contamination(named, benchmark).where("contaminated").select(F.col("doc_id.doc_id").alias(f"{key}_d"), F.col("doc_id.digest").alias(f"{key}_t")).distinct())
-    rows = docs.withColumn(key, text_digest())
+    rows, bad = docs.withColumn(key, text_digest()), small_side(bad)
     return rows.join(bad, rows["doc_id"].eqNullSafe(bad[f"{key}_d"]) & (rows[key] == bad[f"{key}_t"]), "left_anti").drop(key)

@@ -2,8 +2,8 @@
 
 1. Each text becomes its set of distinct five-word shingles (64-bit hashes) and a SuperMinHash signature: per element
    a random permutation of the slots, one step at a time, its j-th step offering j + a fraction to the slot drawn;
-   a text stops as soon as no slot can improve. Texts of equal sets are one node from here on, named by
-   a digest of the set; copies are counted by a pre-aggregated group, never paired.
+   a text stops as soon as no slot can improve. Texts of equal sets (by 128 bits of digest) are one node from here on;
+   copies are brought together by a pre-aggregated group, never paired.
 2. The signature's 128 ranks make 32 bands of 4. At a similarity of 0.75 a pair agrees in at least one band
    with probability 1 - 5e-6.
 3. Candidates are verified on full sets, a bucket's members first against its most crowded one (a star,
@@ -15,6 +15,9 @@
 Texts are read twice (signatures; sets of candidates only, told by a bit set of fixed size) and never shuffled. Joins with
 many rows a key have a materialised side with one row a key, so adaptive execution can split hot keys.
 
+A document may be known by a second text (``keep_one``'s `also`): the text it had before lines were cut out of it.
+It is linked by both, so copies that the cut has made unlike each other are still found.
+
 Defined cases: null or empty text has no shingles and is linked with nothing; one to four words are one shingle.
 Rows that share a doc_id are documents of their own. In ``near_duplicates`` a null doc_id links nothing, has a null
 component and is kept; ``keep_one`` links rows without doc_id like others. Extra columns are not read. An empty table
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, text_digest, tidy, windows
+from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, small_side, text_digest, tidy, windows
 from seatloom.llm.components import components
 from seatloom.llm.decontaminate import bit_set, may_hold
 
@@ -103,12 +106,15 @@ def digests(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [np.array([mix(s ^ np.uint64(c)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for c in (0x243F6A8885A308D3, 0x13198A2E03707344)]
 
 
-def signatures(docs: DataFrame, *carried: str) -> DataFrame:
-    """doc_id, n_shingles, two digests of the set, and the band keys; the columns named come along."""
+def signatures(docs: DataFrame, *carried: str, bits=None) -> DataFrame:
+    """doc_id, n_shingles, two digests of the set, and the band keys; the columns named come along. With bits, only the
+    rows whose id the bit set may hold."""
     rows = fields(docs, "doc_id", "text", *carried).withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if bits is not None:
+                batch = batch.filter(pa.array(may_hold(bits.value, _hash_ids(batch.column("doc_id")))))
             for i, j, words in slices(batch, "text", NONSPACE):
                 sets = shingle_sets(words)
                 n = np.array([len(s) for s in sets], np.int64)
@@ -121,8 +127,8 @@ def signatures(docs: DataFrame, *carried: str) -> DataFrame:
     return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>" + "".join(f", {k} {rows.schema[k].dataType.simpleString()}" for k in carried))
 
 
-def candidate_sets(docs: DataFrame, bits) -> DataFrame:
-    """(node, shingles) of the documents whose id the bit set may hold; a set's first digest is its node."""
+def candidate_sets(docs: DataFrame, bits, heads: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes of heads, read from the documents whose id the bit set may hold."""
     rows = fields(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +139,10 @@ def candidate_sets(docs: DataFrame, bits) -> DataFrame:
                 sets = [s for s in shingle_sets(words) if len(s)]
                 at = np.r_[0, np.cumsum([len(s) for s in sets], dtype=np.int64)]
                 values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(digests(sets)[0]), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, digests(sets)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))], ["d1", "d2", "shingles"])
 
-    return rows.mapInArrow(tidy(run), "node long, shingles array<long>").dropDuplicates(["node"])
+    sets = rows.mapInArrow(tidy(run), "d1 long, d2 long, shingles array<long>").dropDuplicates(["d1", "d2"])
+    return sets.join(heads.select("d1", "d2", "node"), ["d1", "d2"]).select("node", "shingles")
 
 
 def _hash_ids(ids: pa.Array) -> np.ndarray:
@@ -180,7 +187,10 @@ class Links:
         pairs = pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if self.parts is not None:
             pairs = self.labelled(self.labelled(pairs, "u", "pu"), "v", "pv").where("pu <> pv").select("u", "v")
-        found = cut(verified(pairs, self.sets))
+        self.unite(cut(verified(pairs, self.sets)))
+
+    def unite(self, found: DataFrame) -> None:
+        """Add links (u, v), a materialised table."""
         if found.isEmpty():
             return
         self.edges = found if self.parts is None else self.parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).union(found)
@@ -271,32 +281,48 @@ def prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return a.where("small").drop("small").join(b.drop("small"), (a["key"] == b["key"]) & fits).select("u", "v").distinct()
 
 
-def linked_components(docs: DataFrame, base: DataFrame) -> DataFrame | None:
-    """(node, component) of the classes that are linked with others (None: no links); base: signatures(), materialised."""
+def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None = None) -> DataFrame | None:
+    """(d1, d2, c1, c2): of each set that is linked with others, the least digests of its component (None: no links).
+
+    base: signatures() of docs, materialised. ties: pairs of sets (a1, a2, b1, b2) that belong together anyway."""
     spark = docs.sparkSession
     known = base.where("n_shingles > 0 and doc_id is not null")
-    heads = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id")).select("d1", "doc_id")
-    rows = known.select("doc_id", "d1", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).join(heads, ["doc_id", "d1"])
-    rows = rows.select("key", F.col("d1").alias("node"), "n", "doc_id")
+    heads = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    heads = cut(heads.withColumn("node", F.monotonically_increasing_id()))
+    rows = heads.select(F.explode("bands").alias("key"), "node", "n")
     crowded = cut(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
     rows = cut(rows.join(crowded, "key"))
-    crowd = rows.groupBy("node").agg(F.sum("members").alias("crowd"), F.first("doc_id").alias("doc_id"))
-    bits = spark.sparkContext.broadcast(bit_set(_id_hashes(crowd.select("doc_id"))))
-    links = Links(cut(candidate_sets(docs, bits)))
+    crowd = cut(rows.groupBy("node").agg(F.sum("members").alias("crowd")))
+    alike = cut(heads.join(crowd, "node").select("node", "d1", "d2", "doc_id"))
+    bits = spark.sparkContext.broadcast(bit_set(_id_hashes(alike.select("doc_id"))))
+    links = Links(cut(candidate_sets(docs, bits, alike)))
     rows = rows.select("key", "node", "n")
-    pairs = cut(star(rows.join(crowd.select("node", "crowd"), "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
+    pairs = cut(star(rows.join(crowd, "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
     # of each node the bucket head it shares most bands with comes first: that settles nearly all
     links.verify(pairs.groupBy("v").agg(F.max_by("u", F.struct("bands", "u")).alias("u")).select("u", "v"))
     links.verify(pairs.select("u", "v"))
     left = links.unsettled(rows)
-    if left.isEmpty():
-        return links.parts
-    links.verify(across(left.where(F.col("members") <= PAIRED)))
-    large = left.where(F.col("members") > PAIRED).drop("part")
-    if not large.isEmpty():
-        large = links.unsettled(large.select("key", "node", "n"))
-        links.verify(prefix_pairs(large, links.sets))
-    return links.parts
+    if not left.isEmpty():
+        links.verify(across(left.where(F.col("members") <= PAIRED)))
+        large = left.where(F.col("members") > PAIRED).drop("part")
+        if not large.isEmpty():
+            large = links.unsettled(large.select("key", "node", "n"))
+            links.verify(prefix_pairs(large, links.sets))
+    if ties is not None:
+        named = lambda x, y: heads.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("node").alias(y))
+        links.unite(cut(ties.join(named("a", "u"), ["a1", "a2"]).join(named("b", "v"), ["b1", "b2"]).select("u", "v").distinct()))
+    if links.parts is None:
+        return None
+    members = cut(links.parts.join(heads.select("node", "d1", "d2"), "node").select("component", "d1", "d2"))
+    least = cut(members.groupBy("component").agg(F.min(F.struct("d1", "d2")).alias("c")))
+    return cut(members.join(least, "component").select("d1", "d2", F.col("c.d1").alias("c1"), F.col("c.d2").alias("c2")))
+
+
+def _in_components(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """rows with c1, c2: the component of their set, itself if it has no links."""
+    if parts is None:
+        return rows.withColumns({"c1": F.col("d1"), "c2": F.col("d2")})
+    return rows.join(parts, ["d1", "d2"], "left").withColumns({"c1": F.coalesce("c1", "d1"), "c2": F.coalesce("c2", "d2")})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -304,38 +330,58 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession)
     base = cut(signatures(docs))
     parts = linked_components(docs, base)
-    rows = base.select("doc_id", "n_shingles", F.col("d1").alias("node"))
-    full = rows.where("n_shingles > 0")
-    full = full.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")) if parts is not None else full.withColumn("component", F.col("node"))
-    least = cut(full.groupBy("component").agg(F.min("doc_id").alias("component_id")))
-    full = full.join(least, "component").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    rows = base.select("doc_id", "n_shingles", "d1", "d2")
+    full = _in_components(rows.where("n_shingles > 0"), parts)
+    least = cut(full.groupBy("c1", "c2").agg(F.min("doc_id").alias("component_id")))
+    full = full.join(least, ["c1", "c2"]).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
     rows = full.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def _other_texts(named: DataFrame, also: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) of also that some document with another text has, and a row of signatures() for each.
+
+    A doc_id that several rows of either table have, and a missing one, says nothing about whose text it is."""
+    spark = named.sparkSession
+    alone = lambda rows, x: rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("digest").alias(x)).where("n = 1").drop("n")
+    other = fields(also, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    mine = named.where("own_id is not null").select(F.col("own_id").alias("doc_id"), "digest")
+    ids = cut(alone(mine, "a").join(alone(other.select("doc_id", text_digest().alias("digest")), "b"), "doc_id").where("a <> b").select("doc_id"))
+    bits = spark.sparkContext.broadcast(bit_set(_id_hashes(ids)))
+    return other.join(ids, "doc_id", "left_semi"), cut(signatures(other, bits=bits).join(ids, "doc_id", "left_semi").where("n_shingles > 0"))
+
+
+def keep_one(docs: DataFrame, also: DataFrame | None = None) -> DataFrame:
     """One row of each group of near duplicates stays, that with the smallest doc_id (of equal ones, by a digest of the
-    text; rows without doc_id come last). Rows are told apart by doc_id and text; of rows equal in both one stays."""
+    text; rows without doc_id come last). Rows are told apart by doc_id and text; of rows equal in both one stays.
+
+    also: (doc_id, text), second texts of the documents whose doc_id one row here and one row there have."""
     bound_batches(docs.sparkSession)
     # what rows without doc_id are linked by is a number made from their text
     number = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
-    named = docs.select(number.alias("doc_id"), "text", F.col("doc_id").cast("long").alias("own_id"), text_digest().alias("digest"))
+    named = docs.select(number.alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("own_id"), text_digest().alias("digest"))
     base = cut(signatures(named, "own_id", "digest"))
-    parts = linked_components(named, base.dropDuplicates(["doc_id", "d1"]))
-    rows = base.where("n_shingles > 0").select(F.col("d1").alias("node"), F.struct(F.col("own_id").isNull().alias("none"), "own_id", "digest").alias("name"))
+    texts, known, ties = named.select("doc_id", "text"), base.drop("own_id", "digest"), None
+    if also is not None:
+        other, seen = _other_texts(named, also)
+        own = base.where("own_id is not null and n_shingles > 0").select(F.col("own_id").alias("doc_id"), F.col("d1").alias("a1"), F.col("d2").alias("a2"))
+        ties = own.join(seen.select("doc_id", F.col("d1").alias("b1"), F.col("d2").alias("b2")), "doc_id").select("a1", "a2", "b1", "b2")
+        texts, known = texts.union(other), known.union(seen)
+    parts = linked_components(texts, known, ties)
+    rows = base.where("n_shingles > 0").select("d1", "d2", F.struct(F.col("own_id").isNull().alias("none"), "own_id", "digest").alias("name"))
     # a row for each (doc_id, text) before the join, so that no number of equal rows weighs there
-    rows = rows.groupBy("node", "name").agg(F.count("*").alias("copies"))
-    rows = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")) if parts is not None else rows.withColumn("component", F.col("node"))
-    rows = cut(rows.select("component", "name", "copies"))
-    least = cut(rows.groupBy("component").agg(F.min("name").alias("first")))
-    judged = cut(rows.join(least, "component").select("name", "copies", (F.col("name") == F.col("first")).alias("kept")).where("not kept or copies > 1"))
+    rows = rows.groupBy("d1", "d2", "name").agg(F.count("*").alias("copies"))
+    rows = cut(_in_components(rows, parts).select("c1", "c2", "name", "copies"))
+    least = cut(rows.groupBy("c1", "c2").agg(F.min("name").alias("first")))
+    judged = cut(rows.join(least, ["c1", "c2"]).select("name", "copies", (F.col("name") == F.col("first")).alias("kept")).where("not kept or copies > 1"))
 
     key = f"_key_{uuid.uuid4().hex[:8]}"
-    texts = docs.withColumn(key, text_digest())
-    named_so = lambda found: texts["doc_id"].cast("long").eqNullSafe(found[f"{key}_d"]) & (texts[key] == found[f"{key}_t"])
+    whole = docs.withColumn(key, text_digest())
+    named_so = lambda found: whole["doc_id"].cast("long").eqNullSafe(found[f"{key}_d"]) & (whole[key] == found[f"{key}_t"])
     found = judged.select(F.col("name.own_id").alias(f"{key}_d"), F.col("name.digest").alias(f"{key}_t"), "kept")
-    out = texts.join(found, named_so(found), "left_anti").drop(key)
+    gone = small_side(found)
+    out = whole.join(gone, named_so(gone), "left_anti").drop(key)
     repeated = found.where("kept").drop("kept")
     if repeated.isEmpty():
         return out
-    return out.union(texts.join(repeated, named_so(repeated), "left_semi").dropDuplicates(["doc_id", key]).drop(key))
+    return out.union(whole.join(repeated, named_so(repeated), "left_semi").dropDuplicates(["doc_id", key]).drop(key))

@@ -104,3 +104,15 @@ def test_keep_one_judges_each_row(spark):
     kept = {r.node for r in got}
     assert len(got) == len(kept) == 8 and {2, 9, 10, 11, 12, 13} < kept
     assert len(kept & {0, 3, 4}) == 1 and not kept & {1, 8} and len(kept & {5, 6, 7}) == 1
+
+
+def test_second_texts(spark):
+    """Documents whose texts were cut are linked by what they were, too; a doc_id that isn't alone has no second text."""
+    base = [f"w{i}" for i in range(80)]
+    a, near = " ".join(base), " ".join([*base[:-1], "z"])
+    rows = [(1, "w1 w2 w3 w4 w5 w6", 0), (2, "z", 1), (3, "a rest of its own in here", 2), (3, "another rest of its own here", 3), (4, a + " x", 4), (5, "unlike all others it stays whole", 5), (None, "z y x w v u t s", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node int").repartition(3)
+    also = spark.createDataFrame([(1, a), (2, near), (3, near), (5, "unlike all others it stays whole"), (6, near), (None, near), (4, a + " x")], "doc_id long, text string")
+    assert {r.node for r in near_dedup.keep_one(docs).collect()} == {0, 1, 2, 3, 4, 5, 6}
+    assert {r.node for r in near_dedup.keep_one(docs, also).collect()} == {0, 2, 3, 5, 6}
+    assert near_dedup.keep_one(docs.limit(0), also).count() == 0 and near_dedup.keep_one(docs, also.limit(0)).count() == 7

@@ -6,7 +6,8 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from seatloom.llm import quality
+from seatloom.llm import near_dedup, quality
+from seatloom.llm.components import forest
 from tests.llm import test_decontaminate, test_line_dedup, test_near_dedup
 
 
@@ -35,6 +36,13 @@ def corpus(spark, tmp_path_factory):
     return str(path), docs, items
 
 
+def one_of_each(left, before):
+    """Of the documents linked by their texts or by those before lines were cut, the smallest doc_id stays."""
+    groups = [test_near_dedup.brute(sorted(texts)) for texts in (left, [(d, before[d]) for d, _ in left])]
+    root = forest([(d, c) for group in groups for d, _, c in group])
+    return [(d, t) for d, t in left if root[d] == d]
+
+
 def test_run(spark, corpus):
     import sentencepiece
 
@@ -46,7 +54,7 @@ def test_run(spark, corpus):
     assert not any(130 <= d < 170 for d, _ in left) and sum(d < 120 for d, _ in left) > 100
     cut = test_line_dedup.brute(left, 5)
     left = [(d, cut[d, t]) for d, t in left if not (t and t != cut[d, t] and not (cut[d, t] or "").strip())]
-    left = [(d, t) for (d, t), (_, _, c) in zip(sorted(left), test_near_dedup.brute(sorted(left)), strict=True) if d == c]
+    left = one_of_each(left, dict(docs))
     left = [(d, t) for d, t in left if not test_decontaminate.brute(t, items)[4]]
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     rows = corpus_pipeline.run(spark, path).collect()
@@ -55,6 +63,18 @@ def test_run(spark, corpus):
     assert {200, 201, 202} & {r.doc_id for r in rows} == {d for d, _ in left if d >= 200}
 
 
+def test_no_copy_outlives_its_cut(spark, tmp_path):
+    """Of each group that near_dedup finds in what the quality stage keeps, one document at most is left at the end."""
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        stage(spark, docs, d).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    groups = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.read.parquet(f"{tmp_path}/quality")).collect()}
+    left = [groups[r.doc_id] for r in docs.select("doc_id").collect()]
+    assert len(left) == len(set(left)) and len(set(groups.values())) < len(groups) - 50
+
+
 def test_stages_on_empty_tables(spark, corpus, tmp_path):
     path, _, _ = corpus
     for name in ("documents", "labels", "benchmark"):
