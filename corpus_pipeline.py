@@ -4,7 +4,9 @@ quality          documents that the classifier rejects go (score below quality.T
                  labels of the documents given
 line_dedup       later copies of repeated line runs are cut out of the texts; a document that loses all of
                  its lines goes; n_chars follows the text
-near_dedup       one document of each group of near duplicates stays, the one with the smallest doc_id
+near_dedup       one document of each group of near duplicates stays, the one with the smallest doc_id; documents are
+                 linked by their texts as they come and by those they had before lines were cut, as cut copies
+                 of one text may have little in common left
 decontaminate    documents that the contract's rule calls contaminated by benchmark items go
 sentencepiece    the columns of documents, with n_ids, ids and round_trip
 
@@ -38,7 +40,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, also=spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
