@@ -1,17 +1,21 @@
 """Quality classifier: a byte-level convolutional network in numpy (operator 8).
 
-A text's UTF-8 bytes are embedded; learned filters, WIDTH bytes wide and moved by STEP, run over all of it. Their outputs
-are max-pooled over chunks of two blocks each, neighbouring chunks overlapping by one block, so the chunks cover the
+A text's UTF-8 bytes are embedded, each together with how far back the four bytes that end there stood last (within REACH
+bytes), so that filters see words said over and over. Learned filters, WIDTH bytes wide and moved by STEP, run over all
+of it. Their outputs are max-pooled over chunks of two blocks each, neighbouring chunks overlapping by one block, so the chunks cover the
 whole document. A hidden layer reads each chunk; its units are pooled over all chunks (maximum and mean) and combined
 by a logistic unit into one probability. The text is the only input.
 
-Training runs on a bounded sample of labelled rows: at most SAMPLE documents, those of the smallest hashes, and of a
-longer document evenly spread stretches of at most SAMPLE_BYTES in all. Rows whose crc32(doc_id as text) leaves 0
-modulo FOLDS are held out. Scoring reads whole texts, a bounded slice at a time.
+Training runs on a bounded sample of labelled rows: at most SAMPLE documents, those whose ids hash lowest, taken in that
+order while they hold at most SAMPLE_BYTES together; each is read whole. A document of more than LONGEST bytes isn't
+picked. Rows whose crc32(doc_id as text) leaves 0 modulo FOLDS are held out. Two networks learn, each from three quarters
+of the sample, with the two kinds of label weighing alike; their mean logit is scaled and shifted as fits the quarters that
+each hasn't seen. Every other time a text is met, a random stretch of it stands in for it. Scoring reads whole texts, a bounded slice at a time.
 
 Defined cases: null or empty text is scored as padding alone; its score is that of an empty text. Labels that are
-null or of unknown documents are not used; a doc_id labelled more than once counts once, by its largest label. Without labels of
-both kinds the score is the share of label 1 (0.5 without any). Repeated rows give equal rows; extra columns aren't read.
+null or of unknown documents are not used; a doc_id labelled more than once counts once, by its largest label, and one
+with several texts by that of the smallest hash. Without labels of both kinds the score is the share of label 1 (0.5
+without any). Repeated rows give equal rows; extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -24,18 +28,39 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from seatloom.llm.common import bound_batches, fields, raw_bytes, tidy
+from seatloom.llm.common import bound_batches, cut, fields, raw_bytes, tidy
 
 WIDTH, STEP, BLOCK = 8, 4, 128
-LEAD = WIDTH - STEP
+#: How far back a byte looks for its like; as many zeros stand before each text, so none looks into another.
+REACH = LEAD = 32
+#: Kinds of distance: none, then up to these.
+NEAR = (6, 12, REACH)
+KINDS = 1 + len(NEAR)
 EMBED, FILTERS, HIDDEN = 8, 32, 24
-SAMPLE, SAMPLE_BYTES, FOLDS = 4000, 8192, 5
-EPOCHS, BATCH, RATE, DECAY = 10, 32, 3e-3, 1e-4
+SAMPLE, SAMPLE_BYTES, LONGEST, FOLDS = 4000, 64 << 20, 4 << 20, 5
+STEPS, BATCH, RATE, DECAY = 1000, 32, 3e-3, 1e-4
 THRESHOLD = 0.3
 SLICE = 1 << 18
 
 
+def symbols(data: np.ndarray) -> np.ndarray:
+    """Each byte with its kind of distance to the last place of the four bytes that end there: byte + 256 * kind."""
+    out = data.astype(np.uint16)
+    if len(data) <= 4:
+        return out
+    four = data[3:].astype(np.uint32)
+    for i in (1, 2, 3):
+        four = four << np.uint32(8) | data[3 - i : -i]
+    kind = np.zeros(len(four), np.uint16)
+    for lag in range(REACH, 0, -1):  # the nearest is written last
+        np.putmask(kind[lag:], four[lag:] == four[:-lag], 1 + sum(lag > n for n in NEAR))
+    kind[four == 0] = 0
+    out[3:] += kind << 8
+    return out
+
+
 def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All bytes, each text after LEAD zeros and filled with zeros to whole blocks (two at least), and where each text's
     blocks begin. A filter that reaches past a text's last block sees only the zeros before the next one."""
@@ -44,7 +69,7 @@ def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data = np.zeros(at[-1] * BLOCK + WIDTH, np.uint8)
     for t, a in zip(texts, at[:-1], strict=True):
         data[a * BLOCK + LEAD : a * BLOCK + LEAD + len(t)] = np.frombuffer(t, np.uint8)
-    return data, at
+    return symbols(data), at
 
 
 class Network:
@@ -54,13 +79,13 @@ class Network:
         r = np.random.default_rng(seed)
         draw = lambda *shape, scale: (r.standard_normal(shape) * scale).astype(np.float32)
         self.p = {
-            "embed": draw(256, EMBED, scale=0.5), "w1": draw(WIDTH * EMBED, FILTERS, scale=(2 / (WIDTH * EMBED)) ** 0.5), "b1": np.zeros(FILTERS, np.float32),
+            "embed": draw(256, EMBED, scale=0.5), "near": draw(KINDS, EMBED, scale=0.5), "w1": draw(WIDTH * EMBED, FILTERS, scale=(2 / (WIDTH * EMBED)) ** 0.5), "b1": np.zeros(FILTERS, np.float32),
             "w2": draw(FILTERS, HIDDEN, scale=(2 / FILTERS) ** 0.5), "b2": np.zeros(HIDDEN, np.float32), "w3": draw(2 * HIDDEN, scale=0.1), "b3": np.zeros(1, np.float32),
         }
 
     def _windows(self, data: np.ndarray) -> np.ndarray:
         """Embedded bytes of every filter place: places x (WIDTH * EMBED)."""
-        x = self.p["embed"][data]
+        x = (self.p["near"][:, None] + self.p["embed"][None]).reshape(-1, EMBED)[data]
         n = (len(data) - WIDTH) // STEP
         s = x.strides
         return np.lib.stride_tricks.as_strided(x, (n, WIDTH, EMBED), (STEP * s[0], s[0], s[1])).reshape(n, WIDTH * EMBED)
@@ -86,12 +111,12 @@ class Network:
             return logit, (data, at, places, responses, best, block, left, chunk, hidden, count, top, pooled)
         return logit
 
-    def gradients(self, texts: list[bytes], labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean log loss and its gradients; a maximum hands its share to the place it came from."""
+    def gradients(self, texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Weighted mean log loss and its gradients; a maximum hands its share to the place it came from."""
         p = self.p
         logit, (data, at, places, responses, best, block, left, chunk, hidden, count, top, pooled) = self.forward(texts, True)
         prob = 1 / (1 + np.exp(-logit))
-        d = ((prob - labels) / len(labels)).astype(np.float32)
+        d = ((prob - labels) * weights / len(labels)).astype(np.float32)
         g = {"w3": pooled.T @ d, "b3": np.array([d.sum()], np.float32)}
         text = np.repeat(np.arange(len(count)), count)
         d_hidden = (d[:, None] * p["w3"][HIDDEN:] / count[:, None])[text]
@@ -107,17 +132,21 @@ class Network:
         np.add.at(d_block, left + 1, d_chunk * ~from_left)
         d_block *= best > 0
         g["b1"] = d_block.sum(0)
-        where = responses.argmax(1) + np.arange(len(best))[:, None] * (BLOCK // STEP)  # blocks x filters: place of the maximum
-        g["w1"] = np.einsum("bf,bfi->if", d_block, places[where], optimize=True)
-        d_places = d_block[:, :, None] * p["w1"].T[None]  # blocks x filters x (WIDTH * EMBED)
-        byte = data[(where * STEP)[:, :, None] + np.arange(WIDTH)]
-        flat = d_places.reshape(-1, EMBED)
-        g["embed"] = np.stack([np.bincount(byte.reshape(-1), flat[:, e], 256) for e in range(EMBED)], 1).astype(np.float32)
-        loss = float(np.mean(np.logaddexp(0, logit) - labels * logit))
+        # a filter's response is the sum of what each byte of its window adds: gradients of those, per place in the window
+        where = (responses.argmax(1) + np.arange(len(best))[:, None] * (BLOCK // STEP)) * STEP  # blocks x filters: first byte
+        live = np.flatnonzero(d_block)
+        first, share, number = where.reshape(-1)[live], d_block.reshape(-1)[live], live % FILTERS
+        adds = np.stack([np.bincount(data[first + o].astype(np.int64) * FILTERS + number, share, KINDS * 256 * FILTERS) for o in range(WIDTH)]).astype(np.float32)
+        adds = adds.reshape(WIDTH, KINDS, 256, FILTERS)
+        byte, near = adds.sum(1), adds.sum(2)
+        g["w1"] = (np.matmul(p["embed"].T, byte) + np.matmul(p["near"].T, near)).reshape(WIDTH * EMBED, FILTERS)
+        back = p["w1"].reshape(WIDTH, EMBED, FILTERS).transpose(0, 2, 1)
+        g["embed"], g["near"] = np.matmul(byte, back).sum(0), np.matmul(near, back).sum(0)
+        loss = float(np.mean(weights * (np.logaddexp(0, logit) - labels * logit)))
         return loss, g
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """Probabilities; a longer text alone is read stretch by stretch, with the same chunks as at once."""
+    def logits(self, texts: list[bytes]) -> np.ndarray:
+        """A longer text alone is read stretch by stretch, with the same chunks as at once."""
         out = np.empty(len(texts))
         i = 0
         while i < len(texts):
@@ -127,7 +156,7 @@ class Network:
                 j += 1
             out[i:j] = self.forward(texts[i:j]) if size <= 2 * SLICE else self._long(texts[i])
             i = j
-        return 1 / (1 + np.exp(-out))
+        return out
 
     def _long(self, text: bytes) -> float:
         p, tops, total, n, last = self.p, [], 0.0, 0, None
@@ -135,6 +164,7 @@ class Network:
         size = -(-(len(text) + LEAD) // BLOCK) * BLOCK
         whole = np.zeros(size + WIDTH, np.uint8)
         whole[LEAD : LEAD + len(text)] = np.frombuffer(text, np.uint8)
+        whole = symbols(whole)
         for a in range(0, size, step):
             part = whole[a : min(a + step, size) + WIDTH]
             block = np.maximum((self._windows(part) @ p["w1"] + p["b1"]).reshape(-1, BLOCK // STEP, FILTERS).max(1), 0)
@@ -148,6 +178,17 @@ class Network:
         return float(np.concatenate([np.max(tops, 0), total / n]) @ p["w3"] + p["b3"][0])
 
 
+class Pair:
+    """Networks with one scale and shift of their mean logit."""
+
+    def __init__(self, networks: list[Network], scale: float, shift: float):
+        self.networks, self.scale, self.shift = networks, scale, shift
+
+    def score(self, texts: list[bytes]) -> np.ndarray:
+        mean = np.mean([n.logits(texts) for n in self.networks], 0)
+        return 1 / (1 + np.exp(-np.clip(self.scale * mean + self.shift, -500, 500)))
+
+
 class Constant:
     """What stands in when there is nothing to tell apart."""
 
@@ -158,66 +199,97 @@ class Constant:
         return np.full(len(texts), self.share)
 
 
-def excerpt(text: bytes, most: int = SAMPLE_BYTES) -> bytes:
-    """The text, or evenly spread stretches of eight blocks, most bytes in all."""
-    if len(text) <= most:
-        return text
-    size = 8 * BLOCK
-    starts = np.linspace(0, len(text) - size, most // size).astype(int)
-    return b"".join(text[s : s + size] for s in starts)
+def _alike(labels: np.ndarray) -> np.ndarray:
+    """Weights by which both kinds of label count the same."""
+    return np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
 
 
-def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network | Constant:
-    if len(set(labels.tolist())) < 2:
-        return Constant(float(labels.mean()) if len(labels) else 0.5)
+def _part(text: bytes, r: np.random.Generator) -> bytes:
+    """The whole text, or every other time a stretch of it, so that few long documents also teach short ones."""
+    size = int(len(text) * r.uniform(0.05, 1)) if r.random() < 0.5 else len(text)
+    begin = int(r.integers(0, len(text) - size + 1))
+    return text[begin : begin + size]
+
+
+def _learn(texts: list[bytes], labels: np.ndarray, seed: int) -> Network:
+    """A network after STEPS steps of Adam on batches of whole texts."""
     net, r = Network(seed), np.random.default_rng(seed)
-    texts = [excerpt(t) for t in texts]
     labels = labels.astype(np.float32)
-    epochs = max(EPOCHS, -(-400 * BATCH // len(texts)))  # small samples need as many steps as larger ones
-    first, second, t = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
-    steps = epochs * -(-len(texts) // BATCH)
-    for _ in range(epochs):
-        order = r.permutation(len(texts))
-        for i in range(0, len(order), BATCH):
-            pick = order[i : i + BATCH]
-            _, g = net.gradients([texts[k] for k in pick], labels[pick])
-            t += 1
-            rate = RATE * min(1, t / 50) * 0.5 * (1 + np.cos(np.pi * t / steps))
-            for k, v in net.p.items():
-                grad = g[k] + DECAY * v
-                first[k] = 0.9 * first[k] + 0.1 * grad
-                second[k] = 0.999 * second[k] + 0.001 * grad * grad
-                v -= (rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
+    weights = _alike(labels)
+    first, second = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}
+    order = np.zeros(0, np.int64)
+    for t in range(1, STEPS + 1):
+        if len(order) < BATCH:
+            order = np.r_[order, r.permutation(len(texts))]
+        pick, order = order[:BATCH], order[BATCH:]
+        _, g = net.gradients([_part(texts[k], r) for k in pick], labels[pick], weights[pick])
+        rate = RATE * min(1, t / 50) * 0.5 * (1 + np.cos(np.pi * t / STEPS))
+        for k, v in net.p.items():
+            grad = g[k] + DECAY * v
+            first[k] = 0.9 * first[k] + 0.1 * grad
+            second[k] = 0.999 * second[k] + 0.001 * grad * grad
+            v -= (rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
     return net
 
 
+def calibrated(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Scale and shift by logistic regression with both kinds weighing alike, on targets a little inside 0 and 1."""
+    n = np.array([(labels == 0).sum(), (labels == 1).sum()])
+    target, weight = np.where(labels == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2)), _alike(labels)
+    w, x = np.array([1.0, 0.0]), np.stack([logits, np.ones_like(logits)], 1)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        slope = x.T @ (weight * (p - target)) + 1e-3 * w
+        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        w = w - np.clip(np.linalg.solve(bend, slope), -1, 1)
+    return float(max(w[0], 1e-3)), float(w[1])
+
+
+def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Pair | Constant:
+    if len(set(labels.tolist())) < 2:
+        return Constant(float(labels.mean()) if len(labels) else 0.5)
+    quarter = np.zeros(len(texts), np.int64)  # each kind of label is dealt to the quarters in turn
+    order = np.random.default_rng(seed).permutation(len(texts))
+    for kind in (0, 1):
+        own = order[labels[order] == kind]
+        quarter[own] = np.arange(len(own)) % 4
+    nets, logits, truth = [], [], []
+    for q in (0, 1):
+        apart = np.flatnonzero(quarter == q)
+        rest = np.flatnonzero(quarter != q)
+        if len(set(labels[rest].tolist())) < 2:
+            rest = np.arange(len(texts))
+        nets.append(_learn([texts[i] for i in rest], labels[rest], seed + q))
+        logits.append(nets[-1].logits([texts[i] for i in apart]))
+        truth.append(labels[apart])
+    logits, truth = np.concatenate(logits), np.concatenate(truth)
+    return Pair(nets, *(calibrated(logits, truth) if len(set(truth.tolist())) == 2 else (1.0, 0.0)))
+
+
 def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % FOLDS
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | Constant:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Pair | Constant:
     """Train on the labelled documents outside the held-out fold, at most `sample` of them: those whose ids hash lowest.
 
-    The ids are picked first; only their texts, cut to stretches of SAMPLE_BYTES at most, come to the driver."""
+    The ids are picked first, by ids, lengths and hashes; only their texts come to the driver."""
     bound_batches(docs.sparkSession)
     known = fields(labels, "doc_id", "quality").where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = fields(docs, "doc_id", "text")
-    here = known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
-    picked = here.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    joined = rows.join(F.broadcast(picked), "doc_id")  # at most `sample` rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cut = [excerpt((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(cut, pa.binary())], ["doc_id", "quality", "bytes"])
-
-    kind = joined.schema["doc_id"].dataType.simpleString()
-    got = joined.select("doc_id", "quality", "text").mapInArrow(tidy(run), f"doc_id {kind}, quality int, bytes binary").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return train([bytes(b) for b in got["bytes"]], got["quality"].to_numpy(np.float32))
-
-
-def score(docs: DataFrame, net: Network | Constant) -> DataFrame:
+    rows = fields(docs, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    marks = rows.select("doc_id", F.struct(F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size")).alias("mark"))
+    here = marks.join(known, "doc_id").groupBy("doc_id", "quality").agg(F.min("mark").alias("mark")).select("doc_id", "quality", "mark.*")
+    picked = here.where(F.col("size") <= LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # a window over at most `sample` rows of numbers
+    total = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    picked = cut(picked.withColumn("total", total).where(F.col("total") <= SAMPLE_BYTES).drop("total"))
+    joined = rows.join(F.broadcast(picked), "doc_id").where((F.xxhash64("text") == F.col("hash")) & (F.octet_length("text") == F.col("size")))
+    got = joined.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("text").alias("text")).toPandas().sort_values("doc_id")
+    return train([t.encode() for t in got["text"]], got["quality"].to_numpy(np.float32))
+
+
+def score(docs: DataFrame, net: Pair | Constant) -> DataFrame:
     """docs with a column score; the other columns are carried."""
     spark = docs.sparkSession
     bound_batches(spark)
@@ -235,7 +307,7 @@ def score(docs: DataFrame, net: Network | Constant) -> DataFrame:
     return rows.mapInArrow(tidy(run), f"{kinds}, score double")
 
 
-def keep_good(docs: DataFrame, net: Network | Constant) -> DataFrame:
+def keep_good(docs: DataFrame, net: Pair | Constant) -> DataFrame:
     """The documents whose score reaches THRESHOLD, with all their columns."""
     name = f"_score_{uuid.uuid4().hex[:8]}"
     named = docs.withColumnRenamed("score", name) if "score" in docs.columns else docs
