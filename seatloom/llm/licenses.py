@@ -5,9 +5,13 @@ Texts become words (``common.ALNUM``) with one blank between; the automaton runs
 place of every phrase, overlapping ones too. After an identifier tag the expression is read from the raw text to
 the end of its line, as far as it is well formed; WITH binds before AND, AND before OR.
 
+Operators are upper case, so prose that goes on after an identifier ("MIT and", "GPL-2.0 or later") ends the expression.
+Operands are looked up in the list of identifiers, those after WITH in that of exceptions; an operand that isn't
+listed gives the label "unlisted" (a LicenseRef one "licenseref") and stands in the column unlisted as written.
+
 Defined cases: null text is empty; no words give n_words 0, n_base 0, null first and last words, empty labels and
 score 0. An expression that is broken from its first token on gives no labels of its own; the tag still counts
-as one. Repeated rows give equal rows; extra columns are not read.
+as one ("identifier"). Repeated rows give equal rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from seatloom.llm.automaton import AhoCorasick
 from seatloom.llm.common import ALNUM, bound_batches, fields, tidy
 
 # The phrases that the contract counts, with their labels.
@@ -28,28 +33,90 @@ NOTICES = {
     "cc by sa": "cc-by-sa",
     "cc by nc": "cc-by-nc",
     "cc by nd": "cc-by-nd",
+    "cc by nc sa": "cc-by-nc-sa",
+    "cc by nc nd": "cc-by-nc-nd",
     "cc0": "cc0",
     "creative commons zero": "cc0",
     "creative commons attribution": "cc-by",
+    "attribution sharealike": "cc-by-sa",
+    "attribution noncommercial": "cc-by-nc",
+    "attribution noderivatives": "cc-by-nd",
     "mit license": "mit",
     "permission is hereby granted free of charge to any person": "mit",
     "apache license": "apache",
+    "apache license version 2 0": "apache-2.0",
+    "apache software license": "apache",
     "mozilla public license": "mpl",
+    "mozilla public license version 2 0": "mpl-2.0",
     "eclipse public license": "epl",
+    "eclipse distribution license": "edl",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "general public license version 2": "gpl-2.0",
+    "general public license version 3": "gpl-3.0",
     "lesser general public license": "lgpl",
+    "library general public license": "lgpl",
     "affero general public license": "agpl",
+    "free documentation license": "gfdl",
     "bsd license": "bsd",
+    "2 clause bsd": "bsd-2-clause",
+    "3 clause bsd": "bsd-3-clause",
     "redistribution and use in source and binary forms": "bsd",
     "isc license": "isc",
+    "permission to use copy modify and or distribute this software": "isc",
     "boost software license": "bsl",
+    "artistic license": "artistic",
+    "zlib license": "zlib",
+    "unlicense": "unlicense",
     "this is free and unencumbered software released into the public domain": "unlicense",
+    "public domain dedication": "public-domain",
+    "open data commons": "odc",
+    "open database license": "odbl",
+    "open font license": "ofl",
+    "server side public license": "sspl",
+    "business source license": "busl",
     "proprietary and confidential": "proprietary",
+    "no part of this publication may be reproduced": "reserved",
+    "do not copy or distribute": "proprietary",
 }
 TAG = "spdx license identifier"
-#: How surely a label is meant: by a tag, a notice of several words, a short name.
-SURE_TAG, SURE_NOTICE = 0.9, 0.6
+#: How surely a listed label after a tag is meant, and one that isn't listed.
+SURE_TAG, SURE_UNLISTED = 0.9, 0.5
+# Public identifiers, in lower case as letter case doesn't tell them apart.
+IDENTIFIERS = frozenset("""
+0bsd aal afl-1.1 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 apsl-2.0 artistic-1.0 artistic-1.0-perl artistic-2.0 beerware blueoak-1.0.0
+bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1 bzip2-1.0.6 catosl-1.1
+cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-by-sa-1.0 cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0 cc-by-sa-4.0
+cc-by-nc-1.0 cc-by-nc-2.0 cc-by-nc-2.5 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nd-1.0 cc-by-nd-2.0 cc-by-nd-2.5 cc-by-nd-3.0 cc-by-nd-4.0
+cc-by-nc-sa-2.0 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nc-nd-2.0 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0 cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cpal-1.0 cpl-1.0
+ecl-2.0 efl-2.0 elastic-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 fsfap ftl hpnd icu ijg ipl-1.0 isc json libpng libpng-2.0 lppl-1.3c mit mit-0 mit-cmu mit-modern-variant
+mpl-1.0 mpl-1.1 mpl-2.0 mpl-2.0-no-copyleft-exception ms-pl ms-rl mulanpsl-2.0 naist-2003 ncsa odbl-1.0 odc-by-1.0 ofl-1.0 ofl-1.1 oldap-2.8 openssl osl-1.0 osl-2.0 osl-3.0
+pddl-1.0 php-3.0 php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sleepycat sspl-1.0 tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xnet zlib zpl-2.1
+""".split())
+# Families whose identifiers are made of a version and how later ones are meant.
+GNU = {"gpl": ("1.0", "2.0", "3.0"), "lgpl": ("2.0", "2.1", "3.0"), "agpl": ("1.0", "3.0"), "gfdl": ("1.1", "1.2", "1.3")}
+LATER = ("", "-only", "-or-later")
+# Identifiers of exceptions, in lower case.
+EXCEPTIONS = frozenset("""
+389-exception autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception classpath-exception-2.0 clisp-exception-2.0 ecos-exception-2.0
+font-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 gpl-cc-1.0 lgpl-3.0-linking-exception libtool-exception linux-syscall-note llvm-exception mif-exception
+openjdk-assembly-exception-1.0 openvpn-openssl-exception qt-gpl-exception-1.0 qt-lgpl-exception-1.1 swift-exception u-boot-exception-2.0 universal-foss-exception-1.0 wxwindows-exception-3.1
+""".split())
 # Identifiers whose terms allow use with no more than a notice.
-PERMISSIVE = frozenset(["0bsd", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "bsl-1.0", "cc-by-4.0", "cc0-1.0", "isc", "mit", "unlicense", "zlib"])
+PERMISSIVE = frozenset(["0bsd", "apache-2.0", "blueoak-1.0.0", "bsd-2-clause", "bsd-3-clause", "bsl-1.0", "cc-by-4.0", "cc0-1.0", "isc", "mit", "mit-0", "ncsa", "postgresql", "python-2.0", "unlicense", "upl-1.0", "x11", "zlib"])
+
+
+def listed(name: str) -> bool:
+    """Whether an identifier in lower case is in the lists; a plus means that version or a later one."""
+    bare = name.removesuffix("+")
+    family, _, rest = bare.partition("-")
+    return bare in IDENTIFIERS or any(rest == v + later for v in GNU.get(family, ()) for later in LATER if not (later and bare != name))
+
+
+def sureness(words: int) -> float:
+    """How surely a notice of so many words is meant: longer ones less often stand there by chance."""
+    return 1 - 0.5 ** (words / 2)
+
 
 # ---------------------------------------------------------------- expressions
 
@@ -58,7 +125,8 @@ _BINDS = {"OR": 1, "AND": 2, "WITH": 3}
 
 
 def parse(line: str) -> list[str]:
-    """The longest well-formed expression that the line begins with, in postfix order (empty: none)."""
+    """The longest well-formed expression that the line begins with, in postfix order (empty: none). Operators stay
+    upper case, operands become lower case."""
     output, stack, depth, best = [], [], 0, []
     want_operand, at = True, 0
 
@@ -67,13 +135,12 @@ def parse(line: str) -> list[str]:
 
     while m := _TOKEN.match(line, at):
         at, token = m.end(), m.group(1)
-        word = token.upper()
-        if word in _BINDS:
+        if token in _BINDS:
             if want_operand:
                 break
-            while stack and stack[-1] != "(" and _BINDS[stack[-1]] >= _BINDS[word]:
+            while stack and stack[-1] != "(" and _BINDS[stack[-1]] >= _BINDS[token]:
                 output.append(stack.pop())
-            stack.append(word)
+            stack.append(token)
             want_operand = True
         elif token == "(":
             if not want_operand:
@@ -97,38 +164,35 @@ def parse(line: str) -> list[str]:
     return best
 
 
-def evaluate(postfix: list[str], allowed: frozenset[str] = PERMISSIVE) -> tuple[set[str], bool, str]:
-    """Labels, whether the terms can be met within the allowed identifiers, and the expression in full brackets."""
-    stack: list[tuple[set[str], bool, str]] = []
+def evaluate(postfix: list[str], allowed: frozenset[str] = PERMISSIVE) -> tuple[set[str], bool, str, set[str]]:
+    """Labels, whether the terms can be met within the allowed identifiers, the expression in full brackets, and the
+    operands that no list has. Terms with an exception, or unlisted ones, are allowed as their identifier is."""
+    stack: list[tuple[set[str], bool, str, set[str]]] = []
     for token in postfix:
         if token not in _BINDS:
-            stack.append(({token}, token in allowed, token))
+            label = token if listed(token) else "licenseref" if token.startswith(("licenseref-", "documentref-")) else "unlisted"
+            stack.append(({label}, token in allowed, token, {token} if label == "unlisted" else set()))
             continue
         b, a = stack.pop(), stack.pop()
         if token == "WITH":
-            stack.append(({f"{x}-with-{y}" for x in a[0] for y in b[0]}, a[1], f"{a[2]} with {b[2]}"))
+            known = b[2] in EXCEPTIONS
+            labels = {f"{x}-with-{b[2]}" if known else x for x in a[0]} | (set() if known else {"unlisted"})
+            stack.append((labels, a[1], f"{a[2]} with {b[2]}", a[3] | (set() if known else {b[2]})))
         else:
             ok = (a[1] and b[1]) if token == "AND" else (a[1] or b[1])
-            stack.append((a[0] | b[0], ok, f"({a[2]} {token.lower()} {b[2]})"))
-    return stack[0] if stack else (set(), False, "")
+            stack.append((a[0] | b[0], ok, f"({a[2]} {token.lower()} {b[2]})", a[3] | b[3]))
+    return stack[0] if stack else (set(), False, "", set())
 
 
 # ---------------------------------------------------------------- scanning
 
 
 @functools.lru_cache(1)
-def _automaton():
-    import ahocorasick
-
-    phrases: dict[str, list] = {}
-    for kind, table in (("base", BASE), ("notice", NOTICES), ("tag", {TAG: ""})):
-        for phrase, label in table.items():
-            phrases.setdefault(phrase, []).append((kind, label, len(phrase.split())))
-    made = ahocorasick.Automaton()
-    for phrase, entry in phrases.items():
-        made.add_word(f" {phrase} ", entry)
-    made.make_automaton()
-    return made
+def _automaton() -> tuple[AhoCorasick, list[tuple[str, str]], frozenset[bytes]]:
+    """The automaton over words, (kind, label) of its phrases by number, and the words that any of them has."""
+    entries = [(phrase, kind, label) for kind, table in (("base", BASE), ("notice", NOTICES), ("tag", {TAG: ""})) for phrase, label in table.items()]
+    phrases = [tuple(phrase.encode().split()) for phrase, _, _ in entries]
+    return AhoCorasick([(p, i) for i, p in enumerate(phrases)]), [e[1:] for e in entries], frozenset(w for p in phrases for w in p)
 
 
 _TABLE = ALNUM.tobytes()
@@ -138,46 +202,49 @@ _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 def scan(text: str) -> dict:
     raw = text.encode()
     words = raw.translate(_TABLE).split()
-    flat = b" ".join([b"", *words, b""]).decode("utf-8", "surrogateescape") if words else ""
+    automaton, entries, vocabulary = _automaton()
     places: list[tuple[str, int, int, str]] = []
-    seen, passed = 0, 0
-    for end, entry in _automaton().iter(flat):
-        seen += flat.count(" ", passed, end)  # words that end before this blank
-        passed = end
-        places += [(label, seen - n, seen, kind) for kind, label, n in entry]
+    node, after = 0, 0
+    for i in [i for i, w in enumerate(words) if w in vocabulary]:
+        node, after = automaton.step(node if i == after else 0, words[i]), i + 1
+        for n, number in automaton.outputs(node):
+            kind, label = entries[number]
+            places.append((label, i + 1 - n, i + 1, kind))
     base = [p for p in places if p[3] == "base"]
-    labels, doubt, expressions, allowed = {}, 1.0, [], None
-    for label, _, _, kind in places:
+    labels, doubt, expressions, allowed, unlisted = {}, 1.0, [], None, set()
+    for label, first, last, kind in places:
         if kind != "tag":
-            labels[label] = max(labels.get(label, 0), SURE_NOTICE)
+            labels[label] = max(labels.get(label, 0), sureness(last - first))
     tags = [p for p in places if p[3] == "tag"]
     if tags:
         ends = [m.end() for m in _WORD.finditer(raw.translate(_TABLE))]
         for _, _, last, _ in tags:
             line = raw[ends[last - 1] :].split(b"\n", 1)[0].lstrip(b" \t:=\"'").decode("utf-8", "replace")
-            found, ok, shown = evaluate(parse(line))
+            found, ok, shown, odd = evaluate(parse(line))
             if found:
                 expressions.append(shown)
                 allowed = ok if allowed is None else allowed and ok
-            labels |= dict.fromkeys(found or {"identifier"}, SURE_TAG)
+            unlisted |= odd
+            for label in found or {"identifier"}:
+                labels[label] = max(labels.get(label, 0), SURE_UNLISTED if label in ("unlisted", "identifier") else SURE_TAG)
     for sure in labels.values():
         doubt *= 1 - sure
     return {
         "n_words": len(words), "n_base": len(base), "first_word": min((p[1] for p in base), default=None), "last_word": max((p[1] for p in base), default=None),
         "base_labels": ",".join(sorted({p[0] for p in base})), "labels": ",".join(sorted(labels)), "score": 1 - doubt if labels else 0.0,
-        "expressions": expressions, "allowed": allowed, "places": [{"label": p[0] or "identifier", "start": p[1], "end": p[2]} for p in places],
+        "expressions": expressions, "allowed": allowed, "unlisted": sorted(unlisted), "places": [{"label": p[0] or "identifier", "start": p[1], "end": p[2]} for p in places],
     }
 
 
 _SCHEMA = [
     ("n_words", "long", pa.int64()), ("n_base", "long", pa.int64()), ("first_word", "long", pa.int64()), ("last_word", "long", pa.int64()), ("base_labels", "string", pa.string()), ("labels", "string", pa.string()), ("score", "double", pa.float64()),
-    ("expressions", "array<string>", pa.list_(pa.string())), ("allowed", "boolean", pa.bool_()), ("places", "array<struct<label:string,start:bigint,end:bigint>>", pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
+    ("expressions", "array<string>", pa.list_(pa.string())), ("allowed", "boolean", pa.bool_()), ("unlisted", "array<string>", pa.list_(pa.string())), ("places", "array<struct<label:string,start:bigint,end:bigint>>", pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
 ]
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """One row a document: word count, base places, labels, score, expressions in full brackets, whether all of
-    them can be met by permissive terms (null: no expression), and every place found, in words from 0."""
+    """One row a document: word count, base places, labels, score, expressions in full brackets, whether all of them can
+    be met by permissive terms (null: no expression), unlisted operands, and every place found, in words from 0."""
     bound_batches(docs.sparkSession)
     rows = fields(docs, "doc_id", "text")
 
