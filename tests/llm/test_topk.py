@@ -8,15 +8,12 @@ from seatloom.llm import topk
 
 
 def brute(rows, every, k):
-    good = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            good[i] = min(good.get(i, v), v)
-    whole = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in good.items()}
+    good = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    whole = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in good]
     out = []
-    for i, v in whole.items():
+    for a, (i, v) in enumerate(whole):
         if i % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole.items() if j != i)[:k]
+            scored = sorted((-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(whole) if a != b)[:k]
             out += [(i, n, j, -s) for n, (s, j) in enumerate(scored, 1)]
     return sorted(out)
 
@@ -44,12 +41,36 @@ def test_small_tables(spark):
     check(spark, [(1, [1.0])])
 
 
-def test_blocks_are_skipped(monkeypatch):
+def test_many_equal_rows(spark, monkeypatch):
+    """A third of all rows under one vec_id and vector; each row is a query and a candidate of its own."""
+    monkeypatch.setattr(topk, "SHEET", 64)
+    monkeypatch.setattr(topk, "BUCKET", 2)
+    r = random.Random(2)
+    rows = [(50, [0.25, 0.5, -1.0])] * 120 + [(i, [r.gauss(0, 1) for _ in range(3)]) for i in range(240)]
+    check(spark, rows)
+
+
+def test_blocks_are_skipped(spark, monkeypatch):
+    """Where vectors stand in clusters, most blocks fall below the kth score; on an even sphere none can."""
+    monkeypatch.setattr(topk, "SHEET", 256)
+    r = np.random.default_rng(0)
+    centres = r.normal(0, 1, (40, 24))
+    near = centres[r.integers(0, 40, 3000)] + r.normal(0, 0.05, (3000, 24))
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(near.astype(np.float32))]
+    check(spark, rows, 50)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = topk.pruning(frame, F.col("vec_id") % 50 == 0).first()
+    assert got.pairs > 60 * 40 and got.scored < 0.3 * got.pairs
+    even = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    got = topk.pruning(even, F.col("vec_id") % 50 == 0).first()
+    assert 0 < got.scored <= got.pairs
+
+
+def test_search_stops_early():
     r = np.random.default_rng(0)
     matrix = np.floor(r.normal(0, 20, (640, 16)))
     matrix[:64] += 300
-    index = topk.BlockIndex(np.arange(640), matrix)
-    seen = []
-    monkeypatch.setattr(np, "lexsort", lambda *a, f=np.lexsort, **b: seen.append(1) or f(*a, **b))
-    index.search(np.array([-1]), np.ones((1, 16)), 5)
-    assert len(seen) == 1
+    index = topk.BlockIndex(matrix, np.arange(640), 5000 + np.arange(640))
+    ids, best, scored = index.search(np.ones((1, 16)), np.array([-1]), np.array([-np.inf]), 5)
+    assert scored == 1 and best[0].tolist() == sorted(matrix.sum(1), reverse=True)[:5] and (ids < 64).all()
