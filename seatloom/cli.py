@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--results_csv", default="results/seat_results.csv")
     m.add_argument("--geojson", default="data/constituencies.geojson")
     m.add_argument("--output_dir", default="site", help="gets index.html and maps/")
+    m.add_argument("--credit", action="append", help="a line about the data under the map; may be given again")
     s = sub.add_parser("serve", help="preview a folder")
     s.add_argument("--dir", default="site")
     s.add_argument("--port", type=int, default=8000)
@@ -71,7 +72,7 @@ def run_results(args: argparse.Namespace) -> None:
 
 def run_maps(args: argparse.Namespace) -> None:
     spark = session()
-    for path in map_pages.write_maps(boundaries.read_boundaries(spark, args.geojson), files.read_seat_results(spark, args.results_csv), blocs.read_blocs(spark, args.config), args.output_dir):
+    for path in map_pages.write_maps(boundaries.read_boundaries(spark, args.geojson), files.read_seat_results(spark, args.results_csv), blocs.read_blocs(spark, args.config), args.output_dir, tuple(args.credit or map_pages.CREDITS)):
         log.info("Wrote %s", path)
 
 

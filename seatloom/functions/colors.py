@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Palettes by name, from the low to the high end.
@@ -56,7 +56,6 @@ def contrast(ratio: Column) -> Column:
     return F.round((curve - low) / (high - low), 12)
 
 
-def palettes(spark: SparkSession) -> DataFrame:
-    """(palette, low, high); for 'default' they are null and each bloc's own gradient stands in."""
-    rows = [("default", None, None)] + [(n, a, b) for n, (a, b) in PALETTES.items()]
-    return spark.createDataFrame(rows, "palette string, low string, high string").coalesce(1)
+def palettes() -> list[tuple[str, str | None, str | None]]:
+    """(palette, low, high); for 'default' they are None and each bloc's own gradient stands in."""
+    return [("default", None, None), *[(n, a, b) for n, (a, b) in PALETTES.items()]]

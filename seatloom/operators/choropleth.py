@@ -78,14 +78,22 @@ def with_style(rows: DataFrame, blocs: list[Bloc]) -> DataFrame:
     return rows.withColumn("fill", fill).withColumns({"fill_opacity": F.lit(OPACITY), "weight": F.lit(WEIGHT), "line": F.lit(LINE)})
 
 
-def with_palettes(rows: DataFrame, palettes: DataFrame, blocs: list[Bloc]) -> DataFrame:
-    """A row for each palette, with shown_fill: the palette at the contrast curve of the ratio. The palettes are a fixed
-    list of eleven, handed to each row as an array."""
-    listed = palettes.agg(F.collect_list(F.struct("palette", "low", "high")).alias("p")).first().p
-    each = F.explode(F.array(*[F.struct(F.lit(x.palette).alias("palette"), F.lit(x.low).cast("string").alias("low"), F.lit(x.high).cast("string").alias("high")) for x in listed]))
-    rows = rows.withColumn("_p", each).select(*rows.columns, "_p.palette", F.coalesce("_p.low", _gradient(blocs, 0)).alias("low"), F.coalesce("_p.high", _gradient(blocs, 1)).alias("high"))
-    fill = F.when(_blank(F.col("ratio"), F.col("ratio_defined")), colors.NO_DATA).otherwise(colors.gradient_rounded(F.col("low"), F.col("high"), colors.contrast(F.col("ratio"))))
-    return rows.withColumn("shown_fill", fill)
+def palette_fill(low: str | None, high: str | None, blocs: list[Bloc]) -> Column:
+    """A palette's colour at the contrast curve of the ratio; without ends of its own, in the bloc's gradient."""
+    ends = [F.lit(c) if c else _gradient(blocs, i) for i, c in enumerate((low, high))]
+    fill = colors.gradient_rounded(*ends, colors.contrast(F.col("ratio")))
+    return F.when(_blank(F.col("ratio"), F.col("ratio_defined")), colors.NO_DATA).otherwise(fill)
+
+
+def with_palettes(rows: DataFrame, blocs: list[Bloc]) -> DataFrame:
+    """A row for each of the fixed palettes, with shown_fill: literals in the plan, so nothing is read or joined for them."""
+    each = F.array(*[F.struct(F.lit(n).alias("palette"), palette_fill(low, high, blocs).alias("shown_fill")) for n, low, high in colors.palettes()])
+    return rows.withColumn("_p", F.explode(each)).select(*rows.columns, "_p.palette", "_p.shown_fill")
+
+
+def fills(blocs: list[Bloc]) -> Column:
+    """A map from palette to colour."""
+    return F.create_map(*[x for n, low, high in colors.palettes() for x in (F.lit(n), palette_fill(low, high, blocs))])
 
 
 def palette_or_default(name: str) -> str:

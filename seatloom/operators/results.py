@@ -1,6 +1,7 @@
 """Results: totals, bloc shares, rankings, the wide seat table. All from (seat_dim, vote_rows, blocs).
 
-A row of votes is read once per table; the seat table joins three aggregates that share the seat's partitioning.
+The seat table takes its totals, bloc sums and party columns from one aggregate by seat over sums by (seat, party), and
+its strongest results from a ranking that keeps a few rows of each seat before they are shuffled.
 Blocs overlap: a party counts in every bloc of which a keyword is part of its name, so a bloc is a condition on a
 party, never an attribute of it.
 """
@@ -86,45 +87,66 @@ def party_blocs(votes: DataFrame, blocs: list[Bloc]) -> DataFrame:
     return parties(votes).select("party", F.explode(inside).alias("code"))
 
 
-def seat_blocs(seats: DataFrame, votes: DataFrame, blocs: list[Bloc]) -> DataFrame:
-    """<code>_votes and <code>_ratio of each bloc in every seat; ratios are 0 where the total is 0."""
-    sums = [F.sum(F.when(in_bloc(F.col("party"), b), F.col("votes")).otherwise(0)).alias(f"{b.code}_votes") for b in blocs]
-    agg = votes.groupBy("seat_id").agg(F.sum("votes").alias("total_votes"), *sums)
-    rows = seats.join(agg, "seat_id", "left")
-    total = F.coalesce("total_votes", F.lit(0))
-    out = []
-    for b in blocs:
-        own = F.coalesce(f"{b.code}_votes", F.lit(0))
+def _seat_sums(votes: DataFrame, blocs: list[Bloc], names: list[str]) -> DataFrame:
+    """One row a seat with votes: total_votes, _bloc<i> for each bloc, _party<i> for each name. Sums by (seat, party) come
+    first, so that a bloc's keywords are looked for once a party and seat."""
+    sums = votes.groupBy("seat_id", "party").agg(F.sum("votes").alias("votes"))
+    own = [F.sum(F.when(in_bloc(F.col("party"), b), F.col("votes")).otherwise(0)).alias(f"_bloc{i}") for i, b in enumerate(blocs)]
+    each = [F.sum(F.when(F.col("party") == n, F.col("votes")).otherwise(0)).alias(f"_party{i}") for i, n in enumerate(names)]
+    return sums.groupBy("seat_id").agg(F.sum("votes").alias("total_votes"), *own, *each)
+
+
+def _bloc_columns(blocs: list[Bloc]) -> list[Column]:
+    """<code>_votes and <code>_ratio from _seat_sums(); ratios are 0 where the total is 0."""
+    total, out = F.coalesce("total_votes", F.lit(0)), []
+    for i, b in enumerate(blocs):
+        own = F.coalesce(f"_bloc{i}", F.lit(0))
         out += [own.alias(f"{b.code}_votes"), F.when(total == 0, 0.0).otherwise(own.cast("double") / F.nullif(total, F.lit(0)).cast("double")).alias(f"{b.code}_ratio")]
-    return rows.select("seat_id", total.alias("total_votes"), *out)
+    return out
+
+
+def seat_blocs(seats: DataFrame, votes: DataFrame, blocs: list[Bloc]) -> DataFrame:
+    """total_votes, <code>_votes and <code>_ratio of each bloc in every seat."""
+    rows = seats.join(_seat_sums(votes, blocs, []), "seat_id", "left")
+    return rows.select("seat_id", F.coalesce("total_votes", F.lit(0)).alias("total_votes"), *_bloc_columns(blocs))
+
+
+def _strongest(votes: DataFrame, n: int) -> DataFrame:
+    """The n strongest results of each seat with their rank from 1, ties in document order."""
+    order = Window.partitionBy("seat_id").orderBy(F.desc("votes"), "res_pos")
+    return votes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select("seat_id", "rank", "candidate_name", "party", "votes")
 
 
 def seat_top(votes: DataFrame, n: int = TOP) -> DataFrame:
-    """The n strongest results of each seat with votes: rank from 1, ties in document order, share in per cent."""
-    seat = Window.partitionBy("seat_id")
-    rows = votes.withColumn("rank", F.row_number().over(seat.orderBy(F.desc("votes"), "res_pos"))).withColumn("total", F.sum("votes").over(seat))
-    rows = rows.where((F.col("rank") <= n) & (F.col("total") > 0))
+    """The n strongest results of each seat with votes, with their share in per cent."""
+    totals = votes.groupBy("seat_id").agg(F.sum("votes").alias("total")).where("total > 0")
+    rows = _strongest(votes, n).join(totals, "seat_id")
     return rows.select("seat_id", "rank", "candidate_name", "party", "votes", (F.col("votes") / F.col("total") * 100).alias("share"))
 
 
+def _top_texts(votes: DataFrame, totals: DataFrame, how: str) -> DataFrame:
+    """totals (seat_id, total_votes, ...) with top_three_candidates and top_three, null for seats without votes."""
+    row = F.struct("rank", "candidate_name", "party", "votes")
+    rows = totals.join(_strongest(votes, TOP).groupBy("seat_id").agg(F.array_sort(F.collect_list(row)).alias("_top")), "seat_id", how)
+    share = lambda x: one_decimal(x["votes"] / F.col("total_votes") * 100)
+    person = lambda x: F.concat(x["candidate_name"], F.lit(" ("), x["party"], F.lit(") "), share(x), F.lit("%"))
+    party = lambda x: F.concat(x["party"], F.lit(" ("), share(x), F.lit("%)"))
+    text = lambda one: F.when(F.col("total_votes") > 0, F.array_join(F.transform("_top", one), ", "))
+    return rows.withColumns({"top_three_candidates": text(person), "top_three": text(party)}).drop("_top")
+
+
 def seat_top_texts(votes: DataFrame) -> DataFrame:
-    """(seat_id, top_three_candidates, top_three): the strongest results as text."""
-    share = one_decimal(F.col("share"))
-    person = F.concat("candidate_name", F.lit(" ("), "party", F.lit(") "), share, F.lit("%"))
-    party = F.concat("party", F.lit(" ("), share, F.lit("%)"))
-    rows = seat_top(votes).groupBy("seat_id").agg(F.array_sort(F.collect_list(F.struct("rank", person.alias("person"), party.alias("party")))).alias("top"))
-    text = lambda field: F.array_join(F.transform("top", lambda x: x[field]), ", ")
-    return rows.select("seat_id", text("person").alias("top_three_candidates"), text("party").alias("top_three"))
+    """(seat_id, top_three_candidates, top_three): the strongest results of each seat with votes, as text."""
+    totals = votes.groupBy("seat_id").agg(F.sum("votes").alias("total_votes")).where("total_votes > 0")
+    return _top_texts(votes, totals, "inner").drop("total_votes")
 
 
 def seat_results(seats: DataFrame, votes: DataFrame, blocs: list[Bloc], names: list[str] | None = None) -> DataFrame:
     """The wide seat table. A party named like a fixed column takes that column's place, as the last writer does."""
     names = party_names(votes) if names is None else names
-    shares = seat_blocs(seats.select("seat_id"), votes, blocs)
-    wide = seat_party_wide(seats, votes, names)
-    inner = wide.select(F.col("seat_id").alias("_seat"), *[F.col(_quoted(n)).alias(f"_party{i}") for i, n in enumerate(names)])
-    rows = seats.join(shares, "seat_id").join(seat_top_texts(votes), "seat_id", "left").join(inner, F.col("seat_id") == F.col("_seat"))
-    fixed = [*SEAT, "total_votes", "top_three_candidates", "top_three", *[f"{b.code}_{k}" for b in blocs for k in ("votes", "ratio")]]
-    place = {n: F.col(f"_party{i}").alias(n) for i, n in enumerate(names)}
-    shown = {c: F.coalesce(c, F.lit("")).alias(c) if c.startswith("top_three") else F.col(c) for c in fixed}
-    return rows.orderBy("seat_pos").select(*[place.get(c, shown[c]) for c in fixed], *[place[n] for n in names if n not in fixed])
+    rows = seats.join(_top_texts(votes, _seat_sums(votes, blocs, names), "left"), "seat_id", "left")
+    columns = {c: F.col(c) for c in SEAT} | {"total_votes": F.coalesce("total_votes", F.lit(0)).alias("total_votes")}
+    columns |= {c: F.coalesce(c, F.lit("")).alias(c) for c in ("top_three_candidates", "top_three")}
+    columns |= {f"{b.code}_{k}": made for b, pair in zip(blocs, zip(*[iter(_bloc_columns(blocs))] * 2, strict=True), strict=True) for k, made in zip(("votes", "ratio"), pair, strict=True)}
+    columns |= {n: F.coalesce(f"_party{i}", F.lit(0)).alias(n) for i, n in enumerate(names)}
+    return rows.orderBy("seat_pos").select(*columns.values())

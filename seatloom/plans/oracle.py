@@ -78,6 +78,21 @@ _PLACES = "['Chattogram-', 'Barishal-', 'Chapai  Nawabganj-', 'Jhalakathi-', 'Mo
 _SPELT = "replace(replace(replace(replace(replace(replace(replace(lower(trim(raw_name)), 'chattogram', 'chittagong'), 'barishal', 'barisal'), 'chapai nawabganj', 'chapai nababganj'), 'jhalakathi', 'jhalokathi'), 'moulvibazar', 'maulvibazar'), 'netrokona', 'netrakona'), 'khagrachhari', 'khagrachari')"
 _SPACE = "' ' || chr(9) || chr(160)"
 
+_PAGE = """page AS (
+  SELECT n_nationkey::BIGINT AS seat_pos, n_nationkey::VARCHAR AS seat_id, n_nationkey::VARCHAR AS seat_number, n_name AS seat_name, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) - 1 AS res_pos, c_custkey::VARCHAR AS diid,
+    CASE WHEN c_custkey % 3 <> 0 THEN v.votes END AS votes, CASE WHEN c_custkey % 7 = 0 THEN 'Unknown' ELSE c_name END AS candidate_name, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 THEN 'UNKNOWN' ELSE c_mktsegment END AS party
+  FROM customer JOIN (SELECT o_custkey, count(*) AS votes FROM orders GROUP BY o_custkey) v ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 10 NOT IN (8, 9))"""
+
+
+def _same_keys() -> str:
+    share = lambda n, code: f"SELECT '{code}' AS code, seat_key, n_nationkey / {n} AS ratio, true AS ratio_defined, seat_name, top_three FROM last"
+    pair = "SELECT 'alpha_vs_beta', seat_key, CASE WHEN n_nationkey = 0 THEN 0.0::DOUBLE ELSE (n_nationkey / 32) / (n_nationkey / 32 + n_nationkey / 33) END, n_nationkey > 0, seat_name, top_three FROM last"
+    last = "WITH last AS (SELECT max(n_nationkey)::DOUBLE AS n_nationkey, 'region ' || n_regionkey AS seat_key, arg_max('Region ' || n_regionkey || ['', '!', chr(39), '..'][n_nationkey % 4 + 1], n_nationkey) AS seat_name, arg_max(n_name || ' (x) 1.0%', n_nationkey) AS top_three FROM nation GROUP BY n_regionkey) "
+    return last + " UNION ALL ".join([*[share(n, b.code) for n, b in enumerate(BLOCS[:3], 32)], pair])
+
+
+_SEAT_RESULTS = f"WITH {_VOTES}, {_SEATS}, {_TOP}, {_TEXTS}, {_SUMS}, {_BLOCS}, {_WIDE} SELECT seat_id, seat_number, seat_name, blocs.* EXCLUDE (seat_id), {{0}} AS top_three_candidates, {{1}} AS top_three, wide.* EXCLUDE (seat_id) FROM seats JOIN blocs USING (seat_id) LEFT JOIN texts USING (seat_id) JOIN wide USING (seat_id)"
+
 ORACLE: dict[str, str] = {
     "vote_rows": f"WITH {_VOTES} SELECT seat_id, seat_name, res_pos, diid, votes, candidate_name, party FROM votes",
     "null_votes_filtered": "SELECT c_nationkey::VARCHAR AS seat_id, c_custkey AS res_pos, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE v.votes END AS votes FROM customer JOIN (SELECT o_custkey, count(*) AS votes FROM orders GROUP BY o_custkey) v ON o_custkey = c_custkey WHERE c_nationkey % 10 <> 9 AND c_custkey % 3 <> 0",
@@ -94,7 +109,7 @@ ORACLE: dict[str, str] = {
     "seat_rank_top3": f"WITH {_VOTES}, {_TOP} SELECT * FROM top",
     "seat_top3_candidates": f"WITH {_VOTES}, {_TOP}, {_TEXTS} SELECT seat_id, top_three_candidates FROM texts",
     "seat_top3_parties": f"WITH {_VOTES}, {_TOP}, {_TEXTS} SELECT seat_id, top_three FROM texts",
-    "seat_results": f"WITH {_VOTES}, {_SEATS}, {_TOP}, {_TEXTS}, {_SUMS}, {_BLOCS}, {_WIDE} SELECT seat_id, seat_number, seat_name, blocs.* EXCLUDE (seat_id), coalesce(top_three_candidates, '') AS top_three_candidates, coalesce(top_three, '') AS top_three, wide.* EXCLUDE (seat_id) FROM seats JOIN blocs USING (seat_id) LEFT JOIN texts USING (seat_id) JOIN wide USING (seat_id)",
+    "seat_results": _SEAT_RESULTS.format("coalesce(top_three_candidates, '')", "coalesce(top_three, '')"),
     "script_payload": "SELECT page_id, list_filter(regexp_extract_all(html, '(?is)<script\\b[^>]*>(.*?)</script\\s*>', 1), lambda s: contains(s, 'track('))[1] AS script FROM pages",
     "page_guard": "SELECT page_id, length(html) AS characters FROM pages WHERE length(html) > 10000",
     "brace_slice": "SELECT page_id, regexp_extract(html, '\\{[^{}]*\\}') AS first_object, '{\"a\": {\"b\": {' || page_id || '}}, c}' AS nested_object FROM pages",
@@ -110,5 +125,13 @@ ORACLE: dict[str, str] = {
     "legend": _legend(),
     "candidate_name": f"SELECT c_custkey, CASE WHEN c_custkey % 5 < 3 THEN trim(c_name, {_SPACE}) ELSE 'Unknown' END AS candidate_name FROM customer",
     "keyword_documents": "SELECT source, count(*) AS documents, " + ", ".join(f"count(*) FILTER (WHERE {_in(b).replace('party', 'text')}) AS {b.code}" for b in BLOCS[:3]) + " FROM documents GROUP BY source",
-    "csv_round_trip": f"WITH {_VOTES} SELECT 'seat_results' AS result, (SELECT count(*) FROM nation) AS n, sum(votes)::BIGINT AS votes FROM votes UNION ALL SELECT 'party_totals', count(DISTINCT party), sum(votes)::BIGINT FROM votes UNION ALL SELECT 'party_by_seat', count(*), sum(votes)::BIGINT FROM votes",
+    "csv_round_trip": _SEAT_RESULTS.format("top_three_candidates", "top_three"),
+    "csv_round_trip_votes": f"WITH {_VOTES} SELECT 'party_totals' AS result, NULL::VARCHAR AS seat_id, NULL::VARCHAR AS seat_name, party, sum(votes)::BIGINT AS votes FROM votes GROUP BY party UNION ALL SELECT 'party_by_seat', seat_id, seat_name, party, votes FROM votes",
+    "page_votes": f"WITH {_PAGE} SELECT * FROM page WHERE votes IS NOT NULL",
+    "page_seats": f"WITH {_SEATS} SELECT * FROM seats",
+    "page_results": f"WITH {_PAGE} SELECT party, sum(votes)::BIGINT AS votes, " + ", ".join(f"{_in(b)} AS {b.code}" for b in BLOCS) + " FROM page WHERE votes IS NOT NULL GROUP BY party",
+    "marked_objects": "SELECT n_nationkey, '{\"a\":{\"b\":{\"k\":' || n_nationkey || ',\"n\":\"' || n_name || '\"},\"l\":[{\"c\":' || n_nationkey || '}]},\"r\":' || n_regionkey || '}' AS found FROM nation",
+    "same_seat_keys": _same_keys(),
+    "boundary_features": "SELECT n_nationkey::BIGINT AS feature_pos, CASE n_nationkey % 6 WHEN 5 THEN 'None' WHEN 4 THEN '' ELSE n_name END AS raw_name, n_nationkey::VARCHAR AS cst, CASE WHEN n_nationkey % 6 = 4 THEN 1 ELSE 2 END::BIGINT AS n_properties, '{\"type\":\"Point\",\"coordinates\":[' || n_nationkey || ',23]}' AS geometry FROM nation",
+    "bloc_config": "SELECT * FROM (VALUES ('a', 'A', 'front,alliance', '#FFFFCC', '#0060C9', ''), ('b', 'b', '', '#f0f9e8', '#0868ac', ''), ('c', 'C', '', '#f0f9e8', '#0868ac', 'a/b')) t(code, display_name, keywords, low, high, pair)",
 }

@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatloom.functions import colors
 from seatloom.functions.text import first_filled, seat_key
 from seatloom.operators import choropleth, extract, results
-from seatloom.sources import files, pages, tables
+from seatloom.sources import blocs, boundaries, files, pages, tables
 from seatloom.sources.tables import BLOCS, table
 
 
@@ -140,9 +139,9 @@ def _shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pair_share(spark, d):
-    blocs = results.seat_blocs(tables.seats(spark, d), _votes(spark, d), BLOCS)
+    rows = results.seat_blocs(tables.seats(spark, d), _votes(spark, d), BLOCS)
     share, defined = choropleth.pair_share(F.col("alpha_ratio"), F.col("beta_ratio"))
-    return blocs.select("seat_id", share.alias("share"), defined.alias("defined"))
+    return rows.select("seat_id", share.alias("share"), defined.alias("defined"))
 
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
@@ -158,7 +157,7 @@ def fill_linear(spark, d):
 
 
 def fill_palette(spark, d):
-    return choropleth.with_palettes(_joined(spark, d), colors.palettes(spark), BLOCS).select("feature_pos", "code", "palette", "shown_fill")
+    return choropleth.with_palettes(_joined(spark, d), BLOCS).select("feature_pos", "code", "palette", "shown_fill")
 
 
 def tooltip_html(spark, d):
@@ -183,18 +182,78 @@ def keyword_documents(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("documents"), *hits)
 
 
+def page_votes(spark, d):
+    """The long table of a page: script, balanced object, JSON, unnested results, candidates."""
+    return extract.election(tables.election_page(spark, d))[1]
+
+
+def page_seats(spark, d):
+    return extract.election(tables.election_page(spark, d))[0]
+
+
+def page_results(spark, d):
+    """National sums of the page's results by party and bloc."""
+    votes = extract.election(tables.election_page(spark, d))[1]
+    inside = [results.in_bloc(F.col("party"), b).alias(b.code) for b in BLOCS]
+    return results.ranked_parties(votes).select("party", "votes", *inside)
+
+
+def marked_objects(spark, d):
+    """The object after a mark, nested ones within, with objects before and after it."""
+    key = F.col("n_nationkey")
+    deep = F.to_json(F.struct(F.struct(F.struct(key.alias("k"), F.col("n_name").alias("n")).alias("b"), F.array(F.struct(key.alias("c"))).alias("l")).alias("a"), F.col("n_regionkey").alias("r")))
+    text = F.concat(F.lit('x = {"m": {"y": 1}}; z = {"mark" : '), deep, F.lit(', "after": {"q": 2}} } tail'))
+    return table(spark, d, "nation").select("n_nationkey", extract.marked_object(text, '"mark"').alias("found"))
+
+
+def same_seat_keys(spark, d):
+    """Seats whose names come to one key: the last of them holds."""
+    key = F.col("n_nationkey")
+    name = F.concat(F.lit("Region "), F.col("n_regionkey").cast("string"), F.element_at(F.array(*[F.lit(x) for x in ("", "!", "'", "..")]), (key % 4 + 1).cast("int")))
+    rows = table(spark, d, "nation").select(
+        key.cast("long").alias("row_pos"), name.alias("seat_name"), F.concat(F.col("n_name"), F.lit(" (x) 1.0%")).alias("top_three"),
+        *[(key.cast("double") / n).alias(f"{b.code}_ratio") for n, b in enumerate(BLOCS[:3], 32)],
+    )
+    return choropleth.seat_shares(rows, BLOCS)
+
+
+def boundary_features(spark, d):
+    """Features of a boundary collection: names that are there, null or missing; geometry as it stands."""
+    key = F.col("n_nationkey")
+    props = F.when(key % 6 == 5, F.lit('"cst_n":null,')).when(key % 6 == 4, F.lit("")).otherwise(F.concat(F.lit('"cst_n":"'), F.col("n_name"), F.lit('",')))
+    one = F.concat(F.lit('{"type":"Feature","properties":{'), props, F.lit('"cst":'), key.cast("string"), F.lit('},"geometry":{"type":"Point","coordinates":['), key.cast("string"), F.lit(",23]}}"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", one.alias("x")))), lambda e: e["x"]), ",")
+    text = table(spark, d, "nation").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}")).alias("value"))
+    rows = boundaries.features_of(text)
+    return rows.select(F.col("feature_pos").cast("long").alias("feature_pos"), "raw_name", F.element_at("properties", "cst").alias("cst"), F.size("properties").cast("long").alias("n_properties"), "geometry")
+
+
+BLOC_CONFIG = """{"a": {"display_name": "A", "keywords": ["Front", "ALLIANCE"], "color_scale": ["#FFFFCC", "#0060C9"]}, "b": {"keywords": [], "color_scale": ["#FFFFCC"]}, "c": {"display_name": "C", "derived": ["a", "b"]}}"""
+
+
+def bloc_config(spark, d):
+    """A configuration as it is understood."""
+    rows = [(b.code, b.display_name, ",".join(b.keywords), *b.gradient, "/".join(b.pair or ())) for b in blocs.parse_blocs(BLOC_CONFIG)]
+    return spark.createDataFrame(rows, "code string, display_name string, keywords string, low string, high string, pair string")
+
+
+def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = files.scratch(spark, "csv")
+    files.write_csv(df, path)
+    return files.read_csv(spark, path, df.schema)
+
+
 def csv_round_trip(spark, d):
-    """The three result tables written as CSV and read back: rows and votes of each."""
-    seats, votes = tables.seats(spark, d), _votes(spark, d)
-    base = files.scratch(spark, "csv")
-    made = {"seat_results": results.seat_results(seats, votes, BLOCS), "party_totals": results.ranked_parties(votes), "party_by_seat": results.party_by_seat(votes)}
-    out = None
-    for name, df in made.items():
-        files.write_csv(df, f"{base}/{name}")
-        column = "total_votes" if "total_votes" in df.columns else "votes"
-        back = files.read_csv(spark, f"{base}/{name}", df.schema).agg(F.lit(name).alias("result"), F.count("*").alias("n"), F.sum(column).alias("votes"))
-        out = back if out is None else out.union(back)
-    return out
+    """The seat table written as CSV and read back, row by row."""
+    return _written(spark, results.seat_results(tables.seats(spark, d), _votes(spark, d), BLOCS))
+
+
+def csv_round_trip_votes(spark, d):
+    """The other two result tables written as CSV and read back, row by row."""
+    votes = _votes(spark, d)
+    nation = _written(spark, results.ranked_parties(votes)).select(F.lit("party_totals").alias("result"), F.lit(None).cast("string").alias("seat_id"), F.lit(None).cast("string").alias("seat_name"), "party", "votes")
+    seats = _written(spark, results.party_by_seat(votes)).select(F.lit("party_by_seat").alias("result"), "seat_id", "seat_name", "party", "votes")
+    return nation.union(seats)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -202,6 +261,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         vote_rows, null_votes_filtered, candidate_last_wins, party_by_seat, party_totals, top_parties, distinct_parties, seat_totals, seat_party_long, seat_party_wide,
         party_bloc_match, seat_bloc_votes, seat_rank_top3, seat_top3_candidates, seat_top3_parties, seat_results, script_payload, page_guard, brace_slice, props_votes,
-        seat_keys, pair_share, feature_join, fill_linear, fill_palette, tooltip_html, legend, candidate_name, keyword_documents, csv_round_trip,
+        seat_keys, pair_share, feature_join, fill_linear, fill_palette, tooltip_html, legend, candidate_name, keyword_documents, csv_round_trip, csv_round_trip_votes,
+        page_votes, page_seats, page_results, marked_objects, same_seat_keys, boundary_features, bloc_config,
     )
 }

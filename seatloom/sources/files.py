@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,10 +14,21 @@ from pyspark.sql import types as T
 MISSING = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "<NA>", "#N/A", "-NaN", "-nan"]
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's checkpoint folder. Only in local mode, where both are
+    one process, an unset one is replaced by a temporary folder; on a cluster it must be set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="seatloom-")
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share; local only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="seatloom-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -1,6 +1,6 @@
 """Map pages: one self-contained document for each bloc, and the page that selects among them.
 
-Fills of every palette come from the plan (``choropleth.with_palettes``); the page's script only swaps them.
+Fills of every palette come from the plan (``choropleth.fills``); the page's script only swaps them.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from seatloom.sources.blocs import Bloc
 
 # Where the maps are centred, and how near.
 CENTRE, ZOOM = (23.7, 90.35), 7
+# Fixed value: the palette that the selector begins with; it begins with a derived bloc, if there is one.
+FIRST_PALETTE = "blue_yellow"
+#: What stands under the map about the data, unless the caller says more.
+CREDITS = ("Votes: the page that the results were read from.", "Boundaries: the boundary file that the maps were drawn with.")
 
 PAGE = Template("""<!doctype html>
 <html><head><meta charset="utf-8"><title>$title</title>
@@ -47,8 +51,8 @@ L.geoJSON({type: "FeatureCollection", features}, {
 """)
 
 SELECTOR = Template("""<!doctype html>
-<html><head><meta charset="utf-8"><title>$title</title><style>body{margin:0;font:14px sans-serif} header{padding:8px} iframe{border:0;width:100%;height:calc(100vh - 60px)}</style></head>
-<body><header><b>$title</b> <select id="bloc">$blocs</select> <select id="palette">$palettes</select></header><iframe id="map"></iframe>
+<html><head><meta charset="utf-8"><title>$title</title><style>body{margin:0;font:14px sans-serif} header{padding:8px} iframe{border:0;width:100%;height:calc(100vh - 110px)} footer{padding:4px 8px;font-size:12px}</style></head>
+<body><header><b>$title</b> <select id="bloc">$blocs</select> <select id="palette">$palettes</select></header><iframe id="map"></iframe><footer>$credits</footer>
 <script>
 const bloc = document.getElementById("bloc"), palette = document.getElementById("palette");
 const show = () => { document.getElementById("map").src = "maps/" + bloc.value + ".html?palette=" + palette.value; };
@@ -67,19 +71,15 @@ def _escaped(text: str) -> str:
 
 def map_rows(features: DataFrame, results: DataFrame, blocs: list[Bloc]) -> DataFrame:
     """(code, feature_pos, properties as JSON): fills of all palettes, tooltip, share and name of each feature and bloc."""
-    from seatloom.functions.colors import palettes
-
-    spark = features.sparkSession
     shown = choropleth.shown_blocs(results.columns, blocs)
     rows = choropleth.joined(features, choropleth.seat_shares(results, shown), shown)
-    rows = choropleth.with_palettes(rows.withColumn("tooltip", choropleth.tooltip(escape=True)), palettes(spark), shown)
-    made = rows.groupBy("code", "feature_pos", "seat_key", "seat_name", "ratio", "ratio_defined", "top_three", "tooltip").agg(F.map_from_entries(F.collect_list(F.struct("palette", "shown_fill"))).alias("fills"))
-    return made.select("code", "feature_pos", F.to_json(F.struct("seat_key", "seat_name", "ratio", "ratio_defined", "top_three", "tooltip", "fills")).alias("properties"))
+    properties = F.struct("seat_key", "seat_name", "ratio", "ratio_defined", "top_three", choropleth.tooltip(escape=True).alias("tooltip"), choropleth.fills(shown).alias("fills"))
+    return rows.select("code", "feature_pos", F.to_json(properties).alias("properties"))
 
 
-def write_maps(features: DataFrame, results: DataFrame, blocs: list[Bloc], folder: str) -> list[str]:
+def write_maps(features: DataFrame, results: DataFrame, blocs: list[Bloc], folder: str, credits: tuple[str, ...] = CREDITS) -> list[str]:
     """A page for each bloc under folder/maps and the selector in folder; the paths written. A map's features are
-    a page's worth, so they come to the driver, bloc by bloc."""
+    a page's worth (a national election has 300), so they come to the driver, bloc by bloc; folder is local to it."""
     shown = choropleth.shown_blocs(results.columns, blocs)
     rows = map_rows(features, results, blocs).cache()
     shapes = {r.feature_pos: (r.geometry, dict(r.properties)) for r in features.select("feature_pos", "geometry", "properties").collect()}
@@ -98,7 +98,12 @@ def write_maps(features: DataFrame, results: DataFrame, blocs: list[Bloc], folde
         with open(paths[-1], "w", encoding="utf-8") as f:
             f.write(page)
     rows.unpersist()
-    option = lambda value, text: f'<option value="{value}">{_escaped(text)}</option>'
+    first = next((b.code for b in shown if b.pair), shown[0].code if shown else None)
+    option = lambda value, text, chosen: f'<option value="{value}"{" selected" if value == chosen else ""}>{_escaped(text)}</option>'
+    page = SELECTOR.substitute(
+        title="Vote shares by constituency", blocs="".join(option(b.code, b.display_name, first) for b in shown),
+        palettes="".join(option(p, p.replace("_", " to ").title().replace(" To ", " to "), FIRST_PALETTE) for p in PALETTES), credits="<br>".join(map(_escaped, credits)),
+    )
     with open(os.path.join(folder, "index.html"), "w", encoding="utf-8") as f:
-        f.write(SELECTOR.substitute(title="Vote shares by constituency", blocs="".join(option(b.code, b.display_name) for b in shown), palettes="".join(option(p, p.replace("_", " to ").capitalize()) for p in PALETTES)))
+        f.write(page)
     return paths

@@ -36,3 +36,32 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seat_id, cand_pos, diid, candidate_name, party); every seventh result has no candidate."""
     rows = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0")
     return rows.select(F.col("c_nationkey").cast("string").alias("seat_id"), F.col("c_custkey").alias("cand_pos"), F.col("c_custkey").cast("string").alias("diid"), F.col("c_name").alias("candidate_name"), F.col("c_mktsegment").alias("party"))
+
+
+def election_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(url, html): the tables as one page with its data in a script, for the extraction. Results in order of customer; every
+    third one's votes are null, seats 9, 19, ... hold a list instead of results and 8, 18, ... no results at all. Each
+    candidate is listed twice, an outdated entry first; some have no party or their name under another key."""
+    number = F.col("o_custkey").cast("string")
+    votes = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("votes"))
+    rows = table(spark, sf_dir, "customer").join(votes, F.col("c_custkey") == F.col("o_custkey"))
+    counted = F.when(F.col("o_custkey") % 3 == 0, F.lit("null")).otherwise(F.col("votes").cast("string"))
+    result = F.concat(F.lit('"'), number, F.lit('":{"votes":'), counted, F.lit("}"))
+    name = F.when(F.col("o_custkey") % 13 == 0, F.concat(F.lit('"name":"","full_name":" '), F.col("c_name"), F.lit(' "'))).otherwise(F.concat(F.lit('"candidate_name":"'), F.col("c_name"), F.lit('"')))
+    party = F.when(F.col("o_custkey") % 11 == 0, F.lit("")).otherwise(F.col("c_mktsegment"))
+    people = F.concat(F.lit('{"diid":"'), number, F.lit('","party":"OUTDATED","name":"old"},{"diid":'), number, F.lit(',"party":"'), party, F.lit('",'), name, F.lit("}"))
+    person = F.when(F.col("o_custkey") % 7 != 0, people)
+    listed = lambda x: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_custkey", x.alias("x")))), lambda e: e["x"]), ",")
+    seats_ = rows.groupBy("c_nationkey").agg(listed(result).alias("results"), listed(person).alias("people"))
+    joined = table(spark, sf_dir, "nation").join(seats_, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    key = F.col("n_nationkey")
+    held = F.when(key % 10 == 9, F.lit(',"election_results":[]')).when(key % 10 == 8, F.lit("")).otherwise(F.concat(F.lit(',"election_results":{'), F.coalesce("results", F.lit("")), F.lit("}")))
+    seat = F.concat(F.lit('"'), key.cast("string"), F.lit('":{"seat_number":'), key.cast("string"), F.lit(',"seat_name":"'), F.col("n_name"), F.lit('"'), held, F.lit("}"))
+    people = F.concat(F.lit('"'), key.cast("string"), F.lit('":['), F.coalesce("people", F.lit("")), F.lit("]"))
+    whole = lambda x: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", x.alias("x")))), lambda e: e["x"]), ",")
+    page = joined.agg(whole(seat).alias("seats"), whole(people).alias("people"))
+    html = F.concat(
+        F.lit('<html><script>var a = {"b": 1};</script><script>window.data = {"k": {"z": 0}, "election2026" : {"constituencies": {'), F.col("seats"), F.lit('}, "candidates": {'), F.col("people"),
+        F.lit("}}}; done();</script></html>"),
+    )
+    return page.select(F.lit("page").alias("url"), html.alias("html"))

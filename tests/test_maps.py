@@ -62,7 +62,7 @@ def test_pair_share(spark):
 def test_palettes(spark):
     known = test_election.BLOCS[:1]
     rows = spark.createDataFrame([("one", 0.4, True), ("one", 0.4, False)], "code string, ratio double, ratio_defined boolean")
-    got = {(r.palette, r.ratio_defined): r.shown_fill for r in choropleth.with_palettes(rows, colors.palettes(spark), known).collect()}
+    got = {(r.palette, r.ratio_defined): r.shown_fill for r in choropleth.with_palettes(rows, known).collect()}
     assert len(got) == 22 and {v for (_, d), v in got.items() if not d} == {"#000000"}
     assert got["yellow_blue", True] != got["blue_yellow", True] and choropleth.palette_or_default("nope") == "default"
 
@@ -88,7 +88,8 @@ def test_command_line_round_trip(spark, tmp_path, monkeypatch):
     page = (tmp_path / "site" / "maps" / "one.html").read_text()
     made = json.loads(page.split("const features = ")[1].split(", ramps = ")[0])
     assert len(made) == 7 and made[0]["properties"]["ratio"] == 0.75 and set(made[0]["properties"]["fills"]) == {"default", *colors.PALETTES} and "fills" not in made[3]["properties"]
-    assert 'value="pair"' in (tmp_path / "site" / "index.html").read_text()
+    index = (tmp_path / "site" / "index.html").read_text()
+    assert '<option value="pair" selected>' in index and '<option value="blue_yellow" selected>Blue to Yellow' in index and index.count(" selected") == 2 and "Boundaries:" in index
 
 
 def test_config_and_files(spark, tmp_path):

@@ -15,7 +15,7 @@ def con():
 
 
 def test_names():
-    assert set(ORACLE) == set(QUERIES) and len(QUERIES) == 30
+    assert set(ORACLE) == set(QUERIES) and len(QUERIES) == 38
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -36,6 +36,15 @@ def test_no_cross_or_nested_loop_joins_and_no_python(spark):
         assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan, name
 
 
+def test_orders_are_read_once_and_rankings_are_cut_early(spark):
+    """By seat_results: one scan of the votes' table, the rest reused; a ranking keeps its first rows before the shuffle."""
+    for name in ("seat_results", "seat_rank_top3"):
+        df = QUERIES[name](spark, SF)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("orders.parquet") == 1 and "ReusedExchange" in plan and "WindowGroupLimit" in plan, name
+
+
 def test_columns_are_pruned(spark):
     plan = QUERIES["keyword_documents"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<text:string,source:string>" in plan
