@@ -7,8 +7,7 @@ number of rows in a batch nor one very long text decides how much memory a task
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,24 +15,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seatloom.sources.files import scratch, shared_root
+
 #: Bytes of text that are turned into arrays at a time (one longer text is taken alone).
 SLICE_BYTES = 1 << 20
 #: Arrow batches end at this many rows or bytes, whichever comes first.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's checkpoint folder. A local one is made only where
-    none is set, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="seatloom-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch(spark, name)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -43,9 +34,19 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small whatever the length of texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Keep Arrow batches small whatever the length of texts: the session's two settings are lowered to these bounds where
+    they are above them (plans read them only when they run, so they can't be put back), and never raised."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = _bytes(spark.conf.get(name, "0"))
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
+def _bytes(text: str) -> int:
+    """A size setting as a number; 0 for one that isn't a plain number with a usual ending."""
+    m = re.fullmatch(r"(\d+)([kmg]?)b?", text.strip().lower())
+    return int(m[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[m[2]] if m else 0
 
 
 def tidy(run):
