@@ -38,7 +38,7 @@ def bound_batches(spark: SparkSession) -> None:
     they are above them (plans read them only when they run, so they can't be put back), and never raised."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
-        now = _bytes(spark.conf.get(name, "0"))
+        now = _bytes(spark.conf.get(name))
         if not 0 < now <= most:
             spark.conf.set(name, str(most))
 

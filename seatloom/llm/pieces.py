@@ -3,12 +3,13 @@
 At each position of a text the automaton's output links give the pieces that end there, longest first, and the
 best way to this position is relaxed over them. What "best" means is the model file's own kind:
 
-* a unigram model: the highest sum of piece scores, as in the library (ties: the longest last piece);
+* a unigram model: the highest sum of piece scores, as in the library's lattice search (ties: the longest last piece);
+  the library's fast encoder sometimes ends with a lower sum;
 * a BPE model: the sum of its scores (merge ranks, negated) is not what BPE maximises, and a plain Viterbi over it
   gives other ids than the library for most texts. So the relaxation keeps, of the pieces that end here, the one
   that BPE leaves apart from the last piece before it (``automaton.PrefixBpe``); there is exactly one.
 
-Both give the library's ids. White space is a piece character; no piece holds one after another character
+White space is a piece character; no piece holds one after another character
 (checked at load), so words between blanks decode on their own and each distinct word is encoded once. Inside a
 word the text is also cut wherever no piece has the two characters side by side.
 

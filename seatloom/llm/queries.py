@@ -27,6 +27,11 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def pieces_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3's Viterbi by summed scores: the same pieces read as a unigram model, as the library would."""
+    return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), kind=pieces.UNIGRAM)
+
+
 def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.private_spans(read(spark, sf_dir, "documents"))
 
@@ -72,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
+    "pieces_unigram": pieces_unigram,
     "pipeline": pipeline,
 }

@@ -57,6 +57,35 @@ def test_op3(spark, texts):
     assert len(rows) == len(texts) and all(r.ids == sp.encode(texts[r.doc_id] or "") and r.round_trip for r in rows)
 
 
+def test_op3_as_unigram(spark, texts):
+    """The Viterbi over the whole table, on the file read as a unigram model: every word's path sums to what the library's
+    lattice finds best, and no document's to less than its fast encoder's (which isn't always the best path)."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = 1
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    total = lambda ids: sum(sp.get_score(i) for i in ids)
+    rows = QUERIES["pieces_unigram"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    words = {}
+    for r in rows:
+        assert sp.decode(r.ids) == (texts[r.doc_id] or "") and r.round_trip and total(r.ids) >= total(sp.encode(texts[r.doc_id] or "")) - 1e-6
+        for k, i in enumerate(r.ids):
+            if k == 0 or sp.id_to_piece(i).startswith("\u2581"):
+                word = []
+                words.setdefault(r.doc_id, []).append(word)
+            word.append(i)
+    distinct = {tuple(w) for ws in words.values() for w in ws if len(w) < 20 and not any(sp.is_byte(i) or set(sp.id_to_piece(i)) == {"\u2581"} for i in w)}
+    assert len(distinct) > 3000
+    for w in sorted(distinct)[::3]:
+        best = sp.nbest_encode_as_ids(sp.decode(list(w)), 2)[0]
+        assert abs(total(w) - total(best)) < 1e-3, (w, best)
+
+
 def test_op4(spark, texts):
     rows = QUERIES["op4_private_data"](spark, SF).collect()
     assert len(rows) == len(texts)
