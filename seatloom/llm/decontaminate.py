@@ -7,7 +7,8 @@ a hit carries beside it (8 to each side) reach over every 13-word window it stan
 extended hits is every word of every shared window: nothing is missed and nothing is guessed.
 
 Items of fewer than 13 words are one window each. They keep their least k-gram (k at most 5), which documents look up
-at every place, not only at kept ones.
+at every place, not only at kept ones. A k-gram of fewer than 5 words is such an item whole: a document brings it once,
+with all its places and no words around it, so that a common short item costs a document one row.
 
 Scale: the benchmark's hashes go to the tasks as a bit set of fixed size (8 MB), so a document's kept hashes
 leave its task only if some item may hold them; those few are joined by a shuffle, salted so that a passage in
@@ -112,7 +113,7 @@ def document_hits(docs: DataFrame, bits, short: list[int]) -> DataFrame:
         held = bits.value
         for batch in batches:
             for i, j, words in slices(batch, "text", ALNUM):
-                hashes, hits = words.hashes(), []
+                hashes, hits, whole = words.hashes(), [], {}
                 for k in sorted({GRAM, *short}):
                     grams, at = windows(hashes, words.first, k)
                     wanted = may_hold(held, grams)
@@ -121,12 +122,18 @@ def document_hits(docs: DataFrame, bits, short: list[int]) -> DataFrame:
                         kept[kept_grams(grams, at, words.first, WINDOW - GRAM + 1)] = True
                         wanted &= kept
                     for g in np.flatnonzero(wanted):
-                        row = words.row[at[g]]
+                        row = int(words.row[at[g]])
+                        h, place = int(_signed(grams[g : g + 1])[0]), int(at[g] - words.first[row])
+                        if k < GRAM:
+                            # equal hashes of other words are told apart by the words
+                            whole.setdefault((row, h, words.text(at[g], at[g] + k)), []).append(place)
+                            continue
                         low, high = max(words.first[row], at[g] - SIDE), min(words.first[row + 1], at[g] + k + SIDE)
-                        hits.append((row, int(_signed(grams[g : g + 1])[0]), int(at[g] - words.first[row]), int(at[g] - low), words.text(low, high).decode("utf-8", "replace")))
+                        hits.append((row, h, [place], int(at[g] - low), words.text(low, high).decode("utf-8", "replace")))
+                hits += [(row, h, places, 0, text.decode("utf-8", "replace")) for (row, h, text), places in whole.items()]
                 hits.sort(key=lambda x: x[0])
                 per_row = np.searchsorted([x[0] for x in hits], np.arange(j - i + 1)) if hits else np.zeros(j - i + 1, np.int64)
-                found = pa.StructArray.from_arrays([pa.array([x[n] for x in hits], t) for n, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()), (4, pa.string()))], ["h", "place", "left", "words"])
+                found = pa.StructArray.from_arrays([pa.array([x[n] for x in hits], t) for n, t in ((1, pa.int64()), (2, pa.list_(pa.int32())), (3, pa.int32()), (4, pa.string()))], ["h", "places", "left", "words"])
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"), pa.array(np.diff(words.first), pa.int64()), pa.ListArray.from_arrays(pa.array(per_row, pa.int32()), found)],
@@ -134,7 +141,7 @@ def document_hits(docs: DataFrame, bits, short: list[int]) -> DataFrame:
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(tidy(run), f"row long, doc_id {kind}, n_words long, hits array<struct<h:bigint,place:int,left:int,words:string>>")
+    return rows.mapInArrow(tidy(run), f"row long, doc_id {kind}, n_words long, hits array<struct<h:bigint,places:array<int>,left:int,words:string>>")
 
 
 def extended(a: list[str], i: int, b: list[str], j: int, gram: int) -> tuple[int, int]:
@@ -152,16 +159,17 @@ def extended(a: list[str], i: int, b: list[str], j: int, gram: int) -> tuple[int
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep, begin, end = [], [], []
-        columns = [batch.column(n).to_pylist() for n in ("place", "left", "words", "item_left", "item_words", "gram", "need")]
-        for n, (place, left, words, item_left, item_words, gram, need) in enumerate(zip(*columns, strict=True)):
+        keep, begin, size = [], [], []
+        columns = [batch.column(n).to_pylist() for n in ("left", "words", "item_left", "item_words", "gram", "need")]
+        places = batch.column("places")
+        for n, (left, words, item_left, item_words, gram, need) in enumerate(zip(*columns, strict=True)):
             before, after = extended(words.split(" "), left, item_words.split(" "), item_left, gram)
             if before >= 0 and before + gram + after >= need:
                 keep.append(n)
-                begin.append(place - before)
-                end.append(place + gram + after)
+                begin.append(places[n].values.to_numpy() - before)
+                size.append(before + gram + after)
         kept = batch.take(pa.array(keep, pa.int32()))
-        yield pa.RecordBatch.from_arrays([kept.column("row"), kept.column("item_id"), pa.array(begin, pa.int32()), pa.array(end, pa.int32())], ["row", "item_id", "begin", "end"])
+        yield pa.RecordBatch.from_arrays([kept.column("row"), kept.column("item_id"), pa.array(begin, pa.list_(pa.int32())), pa.array(size, pa.int32())], ["row", "item_id", "begins", "size"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -175,15 +183,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     base = cut(document_hits(docs, bits, short))
     hits = base.select("row", F.explode("hits").alias("x")).select("row", "x.*", F.pmod("row", F.lit(SALTS)).alias("salt"))
     sown = marks.withColumnsRenamed({"left": "item_left", "words": "item_words"}).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = hits.join(sown, ["h", "salt"]).select("row", "place", "left", "words", "item_id", "item_left", "item_words", "gram", "need")
+    joined = hits.join(sown, ["h", "salt"]).select("row", "places", "left", "words", "item_id", "item_left", "item_words", "gram", "need")
     kind = marks.schema["item_id"].dataType.simpleString()
-    runs = joined.mapInArrow(tidy(_extend), f"row long, item_id {kind}, begin int, end int")
+    runs = joined.mapInArrow(tidy(_extend), f"row long, item_id {kind}, begins array<int>, size int")
     # words under a union of runs: the runs of one document, in order, each adding what the ones before don't reach
     union = F.aggregate(
         F.array_sort("runs"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("reach")),
         lambda acc, r: F.struct((acc["n"] + F.greatest(r["end"] - F.greatest(r["begin"], acc["reach"]), F.lit(0))).alias("n"), F.greatest(acc["reach"], r["end"]).alias("reach")),
     )["n"]
-    found = runs.groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("runs"), F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    spans = F.transform("begins", lambda b: F.struct(b.alias("begin"), (b + F.col("size")).alias("end")))
+    found = runs.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list(spans))).alias("runs"), F.collect_set(F.col("item_id").cast("string")).alias("items"))
     found = found.select("row", union.alias("n_hit"), F.array_sort("items").alias("items"))
     rows = base.select("row", "doc_id", "n_words").join(found, "row", "left")
     n_hit, items = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", F.array().cast("array<string>"))
