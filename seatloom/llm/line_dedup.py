@@ -1,18 +1,25 @@
-"""Deletion of repeated line runs by distributed prefix doubling over line-id sequences (operator 7).
+"""Deletion of repeated line runs by a suffix array over line-id sequences (operator 7).
 
 The corpus is the sequence of its documents' lines, in doc_id order; no run leaves its document. A run of consecutive
 lines with at least MIN_WORDS words together that also occurs earlier is a copy, and its lines are deleted; the first
 occurrence stays. Lines are equal if their words are (A-Z as a-z, white space apart); lines without words are no
 part of the sequence and stay.
 
-Doubling: the class of a suffix's first 2^k lines is named by the earliest position of that prefix. Level 0 groups
-equal lines; level k + 1 groups the pair of classes at a position and 2^k lines on. Names come from grouped minima,
-which are pre-aggregated before they are shuffled, instead of from ranks of a global sort: a line that a third of
-all documents hold is one group like any other, and a class of two or more positions is an interval of the suffix
-array whose longest common prefix is at least 2^k. Positions whose class is alone leave at each level. A maximal
-repeated run is the union of its shortest stretches of MIN_WORDS words that begin or end at each of its lines; each is
-named by two overlapping classes, and its lines go if that name's first position is earlier. As every line has a
-word, a stretch has at most MIN_WORDS lines, so the number of levels is fixed by the parameter, not by the data.
+1. Every line gets a position, a number that grows along the corpus and by one along a document. Only lines that occur
+   twice or more go on. Their suffixes end before the next line that occurs once, and with their document.
+2. Suffix array by distributed prefix doubling: a suffix's rank is one more than the number of suffixes before it by
+   their first 2^k lines. Ranks for 2^(k + 1) lines come from the pair of ranks at a position and 2^k lines on: pairs are
+   counted (pre-aggregated before they are shuffled), the counts summed up in order inside each old rank, in buckets, so
+   that one line that a third of all documents hold is spread. Suffixes whose rank is theirs alone, or that have ended, are
+   settled and leave; the doubling ends when all have (``suffix_ranks``).
+3. Suffixes of one rank at 2^k lines are an interval of the array whose longest common prefix is at least 2^k. An
+   interval for n lines is told by two overlapping ones, at a position and where its last 2^k lines begin. A repeated run is
+   the union of its shortest stretches of MIN_WORDS words that begin or end at each of its lines; a stretch is a copy if
+   its interval holds an earlier position. Copied stretches that lie on one diagonal (the same distance to their first
+   copies) make a maximal run (``copied_runs``).
+
+A stretch has at most MIN_WORDS lines, as every line has a word. Deletion looks up no longer interval, so ``copies`` asks
+for ranks of no more lines than that; ``suffix_ranks`` by itself goes on to the end.
 
 Defined cases: null text stays null with 0 lines; empty text has one line and nothing to delete. Rows equal in doc_id
 and text are one document and are treated alike; null doc_ids come first in order. Extra columns are carried by
@@ -26,21 +33,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, tidy
+from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, partitions_for, slices, tidy
 
 MIN_WORDS = 5
+#: Text bytes whose documents one partition numbers.
+PART_BYTES = 64 << 20
+#: Buckets in which the pairs of one old rank are summed up, and those of the first ranks.
+SPREAD, FIRST_SPREAD = 64, 4096
+_LINES = "array<struct<line:int,words:int,h1:bigint,h2:bigint>>"
 
 
 def text_key() -> Column:
     return F.xxhash64(F.col("text"), F.length("text")).alias("text_key")
 
 
-def line_ids(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, at, line, words, h1, h2): the lines with words of each distinct document; at counts those lines."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text_key, lines): the lines with words of each distinct document, and the position of its first line.
+
+    Positions count inside a partition of documents in order, above the partition's number; one stays free after each
+    document, so that positions one apart are of one document. Materialised: texts are read once."""
     rows = fields(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     rows = rows.select("doc_id", text_key(), "text")
 
@@ -54,9 +70,9 @@ def line_ids(docs: DataFrame) -> DataFrame:
                 new[1:] = (line[1:] != line[:-1]) | (words.row[1:] != words.row[:-1])
                 begin = np.flatnonzero(new)  # first word of each line
                 nth = np.arange(len(line)) - np.repeat(begin, np.diff(np.r_[begin, len(line)]))
-                sums = []
+                hashes, sums = words.hashes(), []
                 for seed in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-                    mixed = mix(words.hashes() ^ mix((nth.astype(np.uint64) + np.uint64(1)) * np.uint64(seed)))
+                    mixed = mix(hashes ^ mix((nth.astype(np.uint64) + np.uint64(1)) * np.uint64(seed)))
                     sums.append(np.add.reduceat(mixed, begin).view(np.int64) if len(begin) else np.zeros(0, np.int64))
                 row = words.row[begin]
                 at = np.searchsorted(row, np.arange(j - i + 1))
@@ -66,80 +82,150 @@ def line_ids(docs: DataFrame) -> DataFrame:
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), lines)], ["doc_id", "text_key", "lines"])
 
-    made = rows.mapInArrow(tidy(run), "doc_id long, text_key long, lines array<struct<line:int,words:int,h1:bigint,h2:bigint>>")
-    return made.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", F.posexplode("lines").alias("at", "x")).select("doc_id", "text_key", "at", "x.*")
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 44
+        for batch in batches:
+            sizes = np.diff(batch.column("lines").offsets.to_numpy()).astype(np.int64) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(at + np.r_[0, np.cumsum(sizes)[:-1]]), *batch.columns], ["doc", "doc_id", "text_key", "lines"])
+            at += int(sizes.sum())
+
+    found = rows.mapInArrow(tidy(run), f"doc_id long, text_key long, lines {_LINES}").where("size(lines) > 0").dropDuplicates(["doc_id", "text_key"])
+    ranged = found.repartitionByRange(partitions_for(rows, PART_BYTES), "doc_id", "text_key").sortWithinPartitions("doc_id", "text_key")
+    return cut(ranged.mapInArrow(tidy(number), f"doc long, doc_id long, text_key long, lines {_LINES}"))
 
 
-def _position() -> Column:
-    return F.struct("doc_id", "text_key", "at")
+# ---------------------------------------------------------------- repeated lines, their first ranks and stretches
 
 
-def _named(rows: DataFrame, *keys: str) -> DataFrame:
-    """rows with cls, the earliest position of the rows that share keys, as far as two or more do.
+def repeated_lines(owners: DataFrame, min_words: int) -> DataFrame:
+    """(doc, pos, line, rank, more, ns): the lines that occur twice or more, in `more` of a row from this one on; ns: the
+    lengths of the stretches of min_words words, of such lines alone, that begin here and are the shortest that begin
+    or end at one of their lines. Materialised."""
+    lines = owners.select("doc", F.posexplode("lines").alias("at", "x")).select("doc", (F.col("doc") + F.col("at")).alias("pos"), "x.*")
+    kinds = lines.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").withColumn("b", F.shiftrightunsigned("h1", 64 - FIRST_SPREAD.bit_length() + 1))
+    # a line's rank: how many repeated lines stand before it in the order of hashes; the buckets' totals are few
+    kinds = cut(kinds.withColumn("inner", F.sum("c").over(Window.partitionBy("b").orderBy("h1", "h2")) - F.col("c")))
+    outer = kinds.groupBy("b").agg(F.sum("c").alias("t")).select("b", (F.sum("t").over(Window.orderBy("b")) - F.col("t")).alias("outer"))
+    kinds = cut(kinds.join(outer, "b").select("h1", "h2", (F.col("inner") + F.col("outer") + 1).alias("rank")))
+    rows = lines.join(kinds, ["h1", "h2"]).select("doc", "pos", "line", "words", "rank")
+    rows = rows.repartition("doc").sortWithinPartitions("doc", "pos")
 
-    The names are materialised, so that they and the rows meet in a plain join, of which adaptive execution can split
-    a key that very many rows share."""
-    names = cut(rows.groupBy(*keys).agg(F.min(_position()).alias("cls"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
-    return rows.join(names, list(keys))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table]).combine_chunks()
+            doc = table.column("doc").to_numpy()
+            last = int(np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])[-1])
+            held = table.slice(last)  # the last document may go on in the next batch
+            if last:
+                yield _stretches(table.slice(0, last), min_words)
+        if held is not None and len(held):
+            yield _stretches(held, min_words)
+
+    return cut(rows.mapInArrow(tidy(run), "doc long, pos long, line int, words int, rank long, more int, ns array<int>"))
+
+
+def _stretches(table: pa.Table, least: int) -> pa.RecordBatch:
+    """Whole documents' repeated lines, in order, with more and ns."""
+    pos, words = table.column("pos").to_numpy(), table.column("words").to_numpy().astype(np.int64)
+    n, i = len(pos), np.arange(len(pos))
+    new = np.r_[True, np.diff(pos) != 1]
+    begin = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    first, stop = begin[run], np.r_[begin[1:], n][run]
+    before = np.r_[0, np.cumsum(words)]
+    end = np.searchsorted(before, before[:-1] + least)  # where the stretch that begins here ends
+    back = np.searchsorted(before, before[1:] - least, "right") - 1  # where the one that ends here begins
+    ahead, behind = end <= stop, back >= first
+    start = np.r_[i[ahead], back[behind]]
+    size = np.r_[end[ahead] - i[ahead], i[behind] + 1 - back[behind]]
+    both = np.unique(start * (n + 1) + size)
+    start, size = both // (n + 1), both % (n + 1)
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(start, np.arange(n + 1)), pa.int32()), pa.array(size, pa.int32()))
+    columns = [pa.concat_arrays(table.column(k).chunks) for k in ("doc", "pos", "line", "words", "rank")]
+    return pa.RecordBatch.from_arrays([*columns, pa.array((stop - i).astype(np.int32)), lists], ["doc", "pos", "line", "words", "rank", "more", "ns"])
+
+
+# ---------------------------------------------------------------- suffix ranks
+
+
+def suffix_ranks(lines: DataFrame, most: int | None = None) -> tuple[DataFrame, dict[int, DataFrame]]:
+    """(pos, rank) of all suffixes of repeated_lines() when they are settled (or ranked by `most` lines), and by number
+    of lines 1, 2, 4, ... the ranks (pos, rank) of those suffixes that share so many lines with another."""
+    total = lines.count()
+    levels = {1: lines.select("pos", "rank")}
+    settled, open_, span = [], lines.select("pos", "more", "rank"), 1
+    while (most is None or 2 * span <= most) and not open_.isEmpty():
+        known = open_.select("pos", "rank")
+        for part in settled:
+            known = known.union(part)
+        # a suffix that ends here comes before all that go on
+        t = open_.where(F.col("more") > span).join(known.select((F.col("pos") - span).alias("pos"), F.col("rank").alias("key")), "pos")
+        t = t.union(open_.where(F.col("more") == span).withColumn("key", F.lit(0).cast("long")))
+        pairs = t.groupBy("rank", "key").agg(F.count("*").alias("c")).withColumn("b", F.floor(F.col("key") * SPREAD / F.lit(total + 1)).cast("int"))
+        # of suffixes with one rank, those with a smaller key come before; keys stand in buckets by their order
+        pairs = pairs.withColumn("inner", F.sum("c").over(Window.partitionBy("rank", "b").orderBy("key")) - F.col("c"))
+        pairs = cut(pairs)
+        sums = pairs.groupBy("rank", "b").agg(F.sum("c").alias("t"))
+        outer = sums.select("rank", "b", (F.sum("t").over(Window.partitionBy("rank").orderBy("b")) - F.col("t")).alias("outer"))
+        finer = cut(pairs.join(outer, ["rank", "b"]).select("rank", "key", "c", (F.col("rank") + F.col("inner") + F.col("outer")).alias("finer")))
+        t = cut(t.join(finer, ["rank", "key"]).select("pos", "more", F.col("finer").alias("rank"), "c"))
+        span *= 2
+        levels[span] = t.where((F.col("c") > 1) & (F.col("more") >= span)).select("pos", "rank")
+        going = (F.col("c") > 1) & (F.col("more") >= span)
+        settled.append(t.where(~going).select("pos", "rank"))
+        open_ = t.where(going).select("pos", "more", "rank")
+    ranks = open_.select("pos", "rank")
+    for part in settled:
+        ranks = ranks.union(part)
+    return ranks, levels
 
 
-def _ahead(rows: DataFrame, by: Column, name: str) -> DataFrame:
-    """(doc_id, text_key, at, name): the classes of rows, seen from `by` lines before."""
-    return rows.select("doc_id", "text_key", (F.col("at") - by).alias("at"), F.col("cls").alias(name))
+# ---------------------------------------------------------------- copies
 
 
-def _same_place(a: DataFrame, b: DataFrame) -> DataFrame:
-    b = b.withColumnsRenamed({"doc_id": "_d", "text_key": "_t", "at": "_a"})
-    return a.join(b, a["doc_id"].eqNullSafe(b["_d"]) & (a["text_key"] == b["_t"]) & (a["at"] == b["_a"])).drop("_d", "_t", "_a")
+def copies(lines: DataFrame, min_words: int) -> DataFrame:
+    """(doc, pos, n, first): the stretches of n lines that occur earlier, and where they occur first."""
+    _, levels = suffix_ranks(lines, min_words)
+    stretches = lines.select("doc", "pos", F.explode("ns").alias("n"))
+    told = None
+    for span, level in levels.items():
+        own = stretches.where((F.col("n") >= span) & (F.col("n") < 2 * span))
+        ends = level.select(F.col("pos").alias("e"), F.col("rank").alias("r2"))
+        both = own.join(level.withColumnRenamed("rank", "r1"), "pos").withColumn("e", F.col("pos") + F.col("n") - span).join(ends, "e").select("doc", "pos", "n", "r1", "r2")
+        told = both if told is None else told.union(both)
+    told = cut(told)
+    firsts = cut(told.groupBy("n", "r1", "r2").agg(F.min("pos").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"))
+    return told.join(firsts, ["n", "r1", "r2"]).where("first < pos").select("doc", "pos", "n", "first")
 
 
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, gone): the numbers, from 0, of the lines to delete in each document that has any."""
     bound_batches(docs.sparkSession)
-    lines = line_ids(docs)
-    level = cut(_named(lines, "h1", "h2").select("doc_id", "text_key", "at", "line", "words", "cls"))
-    # stretches of min_words words in which every line is a repeated one, as (first line, number of lines)
-    near = Window.partitionBy("doc_id", "text_key").orderBy("at").rangeBetween(-(min_words - 1), min_words - 1)
-    around = level.withColumn("near", F.collect_list(F.struct("at", "words")).over(near))
-
-    def shortest(forward: bool) -> Column:
-        """The number of lines until their words reach min_words, going on from (or back from) the line; null if none."""
-        steps = F.array_sort("near") if forward else F.reverse(F.array_sort("near"))
-        start = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("sum"))
-        sign = 1 if forward else -1
-        end = F.aggregate(
-            steps, start,
-            lambda acc, x: F.when((acc["sum"] < min_words) & (x["at"] == F.col("at") + sign * acc["n"]), F.struct((acc["n"] + 1).alias("n"), (acc["sum"] + x["words"]).alias("sum"))).otherwise(acc),
-        )
-        return F.when(end["sum"] >= min_words, end["n"])
-
-    ways = around.select("doc_id", "text_key", "at", shortest(True).alias("on"), shortest(False).alias("back"))
-    stretches = ways.select("doc_id", "text_key", "at", F.col("on").alias("n")).union(ways.select("doc_id", "text_key", F.col("at") - F.col("back") + 1, F.col("back")))
-    stretches = cut(stretches.where("n is not null").distinct())
-    copies, span, levels = [], 1, level
-    while True:
-        own = stretches.where((F.col("n") >= span) & (F.col("n") < 2 * span))
-        if span == 1:
-            named = _same_place(own, _ahead(levels, F.lit(0), "cls"))
-        else:
-            first = _same_place(own, _ahead(levels, F.lit(0), "c1"))
-            # the class that ends where the stretch ends
-            last = levels.select("doc_id", "text_key", "at", F.col("cls").alias("c2"))
-            moved = first.withColumn("begin", F.col("at")).withColumn("at", F.col("at") + F.col("n") - span)
-            both = _same_place(moved, last).withColumn("at", F.col("begin")).drop("begin")
-            named = _named(both, "n", "c1", "c2")
-        copies.append(named.where(F.col("cls") < _position()).select("doc_id", "text_key", "at", "n"))
-        if 2 * span > min_words:
-            break
-        pairs = _same_place(levels.select("doc_id", "text_key", "at", F.col("cls").alias("c1")), _ahead(levels, F.lit(span), "c2"))
-        levels = cut(_named(pairs, "c1", "c2").select("doc_id", "text_key", "at", "cls"))
-        span *= 2
-    runs = copies[0]
-    for more in copies[1:]:
-        runs = runs.union(more)
-    covered = runs.select("doc_id", "text_key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("at")).distinct()
-    gone = _same_place(covered, level.select("doc_id", "text_key", "at", "line"))
-    return gone.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list("line")).alias("gone"))
+    owners = numbered(docs)
+    lines = repeated_lines(owners, min_words)
+    covered = copies(lines, min_words).select(F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos")).distinct()
+    gone = covered.join(lines.select("pos", "doc", "line"), "pos").groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("gone"))
+    return gone.join(owners.select("doc", "doc_id", "text_key"), "doc").select("doc_id", "text_key", "gone")
+
+
+def copied_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The maximal runs that are copies: doc_id, line (its first, from 0), n_lines (those with words), n_words, and the
+    first copy's first_doc_id and first_line. Lines that are copies of several runs are told once for each."""
+    bound_batches(docs.sparkSession)
+    owners = numbered(docs)
+    lines = repeated_lines(owners, min_words)
+    each = copies(lines, min_words).select("doc", (F.col("first") - F.col("pos")).alias("shift"), F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos")).distinct()
+    island = F.col("pos") - F.row_number().over(Window.partitionBy("doc", "shift").orderBy("pos"))
+    each = each.withColumn("island", island).join(lines.select("pos", "words"), "pos")
+    runs = each.groupBy("doc", "shift", "island").agg(F.min("pos").alias("pos"), F.count("*").alias("n_lines"), F.sum("words").alias("n_words"))
+    at = lines.select("pos", "doc", "line").join(owners.select("doc", "doc_id"), "doc").drop("doc")
+    here = at.withColumnsRenamed({"pos": "p"})
+    there = at.withColumnsRenamed({"pos": "q", "line": "first_line", "doc_id": "first_doc_id"})
+    rows = runs.join(here, F.col("pos") == F.col("p")).withColumn("q", F.col("pos") + F.col("shift")).join(there, "q")
+    return rows.select("doc_id", "line", "n_lines", "n_words", "first_doc_id", "first_line")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

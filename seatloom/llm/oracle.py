@@ -36,11 +36,15 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
 # every run of up to MIN_WORDS lines with words that holds MIN_WORDS words: its lines go if it occurs earlier
-OP7 = f"""
+_FIRSTS = f"""
 WITH l AS (SELECT doc_id, no, array_to_string(w, ' ') AS line, len(w) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS place FROM (
   SELECT doc_id, no, {_NONSPACE.format("lines[no + 1]")} AS w FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS no FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))) WHERE len(w) > 0),
-runs AS ({" UNION ALL ".join(f"SELECT doc_id, place, {m} AS m, " + " || chr(10) || ".join(f"lead(line, {i}) OVER o" for i in range(m)) + " AS g, " + " + ".join(f"lead(n, {i}) OVER o" for i in range(m)) + " AS words FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY place)" for m in range(1, MIN_WORDS + 1))}),
-firsts AS (SELECT *, min((doc_id, place)) OVER (PARTITION BY g, m) AS first FROM runs WHERE g IS NOT NULL AND words >= {MIN_WORDS}),
+runs AS ({" UNION ALL ".join(f"SELECT doc_id, place, {m} AS m, " + " || chr(10) || ".join(f"lead(line, {i}) OVER o" for i in range(m)) + " AS g, " + " + ".join(f"lead(n, {i}) OVER o" for i in range(m)) + f" AS words, greatest(n, lead(n, {m - 1}) OVER o) AS end_words FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY place)" for m in range(1, MIN_WORDS + 1))}),
+firsts AS (SELECT *, min((doc_id, place)) OVER (PARTITION BY g, m) AS first FROM runs WHERE g IS NOT NULL AND words >= {MIN_WORDS})
+"""
+
+OP7 = f"""
+{_FIRSTS},
 gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + m)) AS place FROM firsts WHERE first < (doc_id, place)),
 dropped AS (SELECT doc_id, list(no) AS nos FROM gone JOIN l USING (doc_id, place) GROUP BY doc_id),
 d AS (SELECT doc_id, string_split(text, chr(10)) AS lines, text, coalesce(nos, []) AS nos FROM documents LEFT JOIN dropped USING (doc_id)),
@@ -48,10 +52,19 @@ k AS (SELECT *, list_filter(lines, lambda x, i: NOT list_contains(nos, i - 1)) A
 SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, len(nos)::BIGINT AS n_deleted, len(nos) > 0 AND regexp_full_match(array_to_string(kept, ' '), '[\\x20\\x09-\\x0D]*') AS emptied, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text FROM k
 """
 
+# of the runs, those that lose MIN_WORDS words without their first or last line; on one diagonal, those that touch make one
+LINE_RUNS = f"""
+{_FIRSTS},
+c AS (SELECT DISTINCT doc_id, first[1] AS d, place - first[2] AS shift, unnest(range(place, place + m)) AS place FROM firsts WHERE first < (doc_id, place) AND words - end_words < {MIN_WORDS}),
+i AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id, d, shift ORDER BY place) AS island FROM c),
+r AS (SELECT doc_id, d AS first_doc_id, shift, min(place) AS place, count(*) AS n_lines, sum(n)::BIGINT AS n_words FROM i JOIN (SELECT doc_id, place, n FROM l) l USING (doc_id, place) GROUP BY doc_id, d, shift, island)
+SELECT r.doc_id, a.no::INTEGER AS line, n_lines, n_words, first_doc_id, b.no::INTEGER AS first_line FROM r JOIN l a ON a.doc_id = r.doc_id AND a.place = r.place JOIN l b ON b.doc_id = first_doc_id AND b.place = r.place - shift
+"""
+
 OP9 = """
 WITH v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (SELECT q.vec_id AS query_id, q.n, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score FROM v q JOIN v ON q.n <> v.n WHERE q.vec_id % 50 = 0)
 SELECT * FROM (SELECT query_id, (row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM p) WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_line_dedup": OP7, "op9_topk": OP9}
+ORACLE: dict[str, str] = {"op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_line_dedup": OP7, "line_runs": LINE_RUNS, "op9_topk": OP9}

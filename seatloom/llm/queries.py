@@ -48,6 +48,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(read(spark, sf_dir, "documents"))
 
 
+def line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7's maximal copied runs."""
+    return line_dedup.copied_runs(read(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -78,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
     "pieces_unigram": pieces_unigram,
+    "line_runs": line_runs,
     "pipeline": pipeline,
 }

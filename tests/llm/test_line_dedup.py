@@ -53,3 +53,38 @@ def test_clean_documents_stay(spark):
     docs = [(d, f"first line of document {d}\nshort\nlast line of document {d}") for d in range(20)]
     assert all(r.n_deleted == 0 for r in check(spark, docs))
     assert line_dedup.deduplicated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_suffix_ranks(spark):
+    """Ranks order suffixes as their sequences of first ranks do; each level's classes are those that share so many lines."""
+    r = random.Random(12)
+    pool = ["a b", "c", "d e f", "g", "same line", "h i j k"]
+    docs = [(d, "\n".join(r.choice(pool[: r.choice([2, 4, 6])]) for _ in range(r.randrange(12)))) for d in range(60)]
+    docs += [(100 + d, "\n".join(pool * 4)) for d in range(5)] + [(200, "\n".join(["same line"] * 70)), (201, "once\nonly\nonce")]
+    lines = line_dedup.repeated_lines(line_dedup.numbered(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)), 5)
+    ranks, levels = line_dedup.suffix_ranks(lines)
+    first = {x.pos: (x.rank, x.more) for x in lines.collect()}
+    suffix = {p: tuple(first[p + i][0] for i in range(more)) for p, (_, more) in first.items()}
+    got = {x.pos: x.rank for x in ranks.collect()}
+    assert got.keys() == suffix.keys()
+    order = sorted(suffix, key=lambda p: suffix[p])
+    assert all(got[p] <= got[q] and (got[p] == got[q]) == (suffix[p] == suffix[q]) for p, q in zip(order, order[1:]))
+    assert max(levels) >= 64  # the doubling goes on until suffixes are settled
+    for span, level in levels.items():
+        classes = {}
+        for x in level.collect():
+            classes.setdefault(x.rank, set()).add(x.pos)
+        want = {}
+        for p, s in suffix.items():
+            if len(s) >= span:
+                want.setdefault(s[:span], set()).add(p)
+        assert sorted(map(sorted, classes.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+
+
+def test_copied_runs(spark):
+    a, b, c = "one two three", "four five", "six seven eight nine ten"
+    docs = [(1, f"{a}\n\n{b}\n{c}\nalone here"), (2, f"x\n{a}\n{b}\n \n{c}"), (3, f"{c}\nown words of three"), (None, f"{b}\n{c}")]
+    rows = line_dedup.copied_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id, r.line, r.n_lines, r.n_words, r.first_doc_id if r.first_doc_id is not None else -1, r.first_line) for r in rows)
+    # documents without doc_id come first; lines before the stretches that they hold come from document 1
+    assert got == [(1, 2, 2, 7, -1, 0), (2, 1, 2, 5, 1, 0), (2, 2, 2, 7, -1, 0), (3, 0, 1, 5, -1, 1)]
