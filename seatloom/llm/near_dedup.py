@@ -172,8 +172,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 class Links:
     """Verified links so far and the components they make."""
 
-    def __init__(self, sets: DataFrame):
-        self.sets, self.edges, self.parts = sets, None, None
+    def __init__(self):
+        self.sets = self.edges = self.parts = None
 
     def labelled(self, rows: DataFrame, name: str, out: str) -> DataFrame:
         """rows with the component of the node in column name (itself if it has no link)."""
@@ -289,13 +289,18 @@ def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None =
     known = base.where("n_shingles > 0 and doc_id is not null")
     heads = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     heads = cut(heads.withColumn("node", F.monotonically_increasing_id()))
-    rows = heads.select(F.explode("bands").alias("key"), "node", "n")
-    crowded = cut(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
-    rows = cut(rows.join(crowded, "key"))
+    links = Links()
+    if ties is not None:
+        named = lambda x, y: heads.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("node").alias(y))
+        links.unite(cut(ties.join(named("a", "u"), ["a1", "a2"]).join(named("b", "v"), ["b1", "b2"]).select("u", "v").distinct()))
+    rows = links.labelled(heads.select(F.explode("bands").alias("key"), "node", "n"), "node", "part")
+    # buckets of one component alone, such as the two texts of one document, have nothing to tell
+    crowded = cut(rows.groupBy("key").agg(F.count("*").alias("members"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key", "members"))
+    rows = cut(rows.drop("part").join(crowded, "key"))
     crowd = cut(rows.groupBy("node").agg(F.sum("members").alias("crowd")))
     alike = cut(heads.join(crowd, "node").select("node", "d1", "d2", "doc_id"))
     bits = spark.sparkContext.broadcast(bit_set(_id_hashes(alike.select("doc_id"))))
-    links = Links(cut(candidate_sets(docs, bits, alike)))
+    links.sets = cut(candidate_sets(docs, bits, alike))
     rows = rows.select("key", "node", "n")
     pairs = cut(star(rows.join(crowd, "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
     # of each node the bucket head it shares most bands with comes first: that settles nearly all
@@ -308,9 +313,6 @@ def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None =
         if not large.isEmpty():
             large = links.unsettled(large.select("key", "node", "n"))
             links.verify(prefix_pairs(large, links.sets))
-    if ties is not None:
-        named = lambda x, y: heads.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("node").alias(y))
-        links.unite(cut(ties.join(named("a", "u"), ["a1", "a2"]).join(named("b", "v"), ["b1", "b2"]).select("u", "v").distinct()))
     if links.parts is None:
         return None
     members = cut(links.parts.join(heads.select("node", "d1", "d2"), "node").select("component", "d1", "d2"))
@@ -339,7 +341,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _other_texts(named: DataFrame, also: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text) of also that some document with another text has, and a row of signatures() for each.
+    """(doc_id, text) of also, and a row of signatures() for each that has another text than its document.
 
     A doc_id that several rows of either table have, and a missing one, says nothing about whose text it is."""
     spark = named.sparkSession
@@ -348,7 +350,7 @@ def _other_texts(named: DataFrame, also: DataFrame) -> tuple[DataFrame, DataFram
     mine = named.where("own_id is not null").select(F.col("own_id").alias("doc_id"), "digest")
     ids = cut(alone(mine, "a").join(alone(other.select("doc_id", text_digest().alias("digest")), "b"), "doc_id").where("a <> b").select("doc_id"))
     bits = spark.sparkContext.broadcast(bit_set(_id_hashes(ids)))
-    return other.join(ids, "doc_id", "left_semi"), cut(signatures(other, bits=bits).join(ids, "doc_id", "left_semi").where("n_shingles > 0"))
+    return other, cut(signatures(other, bits=bits).join(ids, "doc_id", "left_semi").where("n_shingles > 0"))
 
 
 def keep_one(docs: DataFrame, also: DataFrame | None = None) -> DataFrame:
@@ -361,7 +363,7 @@ def keep_one(docs: DataFrame, also: DataFrame | None = None) -> DataFrame:
     number = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
     named = docs.select(number.alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("own_id"), text_digest().alias("digest"))
     base = cut(signatures(named, "own_id", "digest"))
-    texts, known, ties = named.select("doc_id", "text"), base.drop("own_id", "digest"), None
+    texts, known, ties = named.select("doc_id", "text"), base.drop("own_id", "digest"), None  # of texts, only those of known sets are looked at
     if also is not None:
         other, seen = _other_texts(named, also)
         own = base.where("own_id is not null and n_shingles > 0").select(F.col("own_id").alias("doc_id"), F.col("d1").alias("a1"), F.col("d2").alias("a2"))

@@ -90,9 +90,10 @@ class Network:
         s = x.strides
         return np.lib.stride_tricks.as_strided(x, (n, WIDTH, EMBED), (STEP * s[0], s[0], s[1])).reshape(n, WIDTH * EMBED)
 
-    def forward(self, texts: list[bytes], keep: bool = False):
+    def forward(self, data: np.ndarray, at: np.ndarray, keep: bool = False):
+        """Logits of the texts that padded() has laid out so."""
         p = self.p
-        data, at = padded(texts)
+        texts = range(len(at) - 1)
         places = self._windows(data)
         responses = (places @ p["w1"] + p["b1"]).reshape(at[-1], BLOCK // STEP, FILTERS)
         best = responses.max(1)
@@ -114,7 +115,7 @@ class Network:
     def gradients(self, texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Weighted mean log loss and its gradients; a maximum hands its share to the place it came from."""
         p = self.p
-        logit, (data, at, places, responses, best, block, left, chunk, hidden, count, top, pooled) = self.forward(texts, True)
+        logit, (data, at, places, responses, best, block, left, chunk, hidden, count, top, pooled) = self.forward(*padded(texts), True)
         prob = 1 / (1 + np.exp(-logit))
         d = ((prob - labels) * weights / len(labels)).astype(np.float32)
         g = {"w3": pooled.T @ d, "b3": np.array([d.sum()], np.float32)}
@@ -145,26 +146,11 @@ class Network:
         loss = float(np.mean(weights * (np.logaddexp(0, logit) - labels * logit)))
         return loss, g
 
-    def logits(self, texts: list[bytes]) -> np.ndarray:
-        """A longer text alone is read stretch by stretch, with the same chunks as at once."""
-        out = np.empty(len(texts))
-        i = 0
-        while i < len(texts):
-            j, size = i, 0
-            while j < len(texts) and (j == i or size + len(texts[j]) <= SLICE):
-                size += len(texts[j]) + 2 * BLOCK
-                j += 1
-            out[i:j] = self.forward(texts[i:j]) if size <= 2 * SLICE else self._long(texts[i])
-            i = j
-        return out
-
-    def _long(self, text: bytes) -> float:
+    def long(self, whole: np.ndarray) -> float:
+        """The logit of one text, stretch by stretch, with the same chunks as at once."""
         p, tops, total, n, last = self.p, [], 0.0, 0, None
         step = SLICE // BLOCK * BLOCK
-        size = -(-(len(text) + LEAD) // BLOCK) * BLOCK
-        whole = np.zeros(size + WIDTH, np.uint8)
-        whole[LEAD : LEAD + len(text)] = np.frombuffer(text, np.uint8)
-        whole = symbols(whole)
+        size = len(whole) - WIDTH
         for a in range(0, size, step):
             part = whole[a : min(a + step, size) + WIDTH]
             block = np.maximum((self._windows(part) @ p["w1"] + p["b1"]).reshape(-1, BLOCK // STEP, FILTERS).max(1), 0)
@@ -178,6 +164,22 @@ class Network:
         return float(np.concatenate([np.max(tops, 0), total / n]) @ p["w3"] + p["b3"][0])
 
 
+def logits(networks: list[Network], texts: list[bytes]) -> np.ndarray:
+    """Networks x texts. About SLICE bytes are laid out at a time; a longer text alone is read in stretches."""
+    out = np.empty((len(networks), len(texts)))
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= SLICE):
+            size += len(texts[j]) + 2 * BLOCK
+            j += 1
+        data, at = padded(texts[i:j])
+        for k, net in enumerate(networks):
+            out[k, i:j] = net.forward(data, at) if size <= 2 * SLICE else net.long(data)
+        i = j
+    return out
+
+
 class Pair:
     """Networks with one scale and shift of their mean logit."""
 
@@ -185,7 +187,7 @@ class Pair:
         self.networks, self.scale, self.shift = networks, scale, shift
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        mean = np.mean([n.logits(texts) for n in self.networks], 0)
+        mean = logits(self.networks, texts).mean(0)
         return 1 / (1 + np.exp(-np.clip(self.scale * mean + self.shift, -500, 500)))
 
 
@@ -253,17 +255,17 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Pair | Const
     for kind in (0, 1):
         own = order[labels[order] == kind]
         quarter[own] = np.arange(len(own)) % 4
-    nets, logits, truth = [], [], []
+    nets, unseen, truth = [], [], []
     for q in (0, 1):
         apart = np.flatnonzero(quarter == q)
         rest = np.flatnonzero(quarter != q)
         if len(set(labels[rest].tolist())) < 2:
             rest = np.arange(len(texts))
         nets.append(_learn([texts[i] for i in rest], labels[rest], seed + q))
-        logits.append(nets[-1].logits([texts[i] for i in apart]))
+        unseen.append(logits(nets[-1:], [texts[i] for i in apart])[0])
         truth.append(labels[apart])
-    logits, truth = np.concatenate(logits), np.concatenate(truth)
-    return Pair(nets, *(calibrated(logits, truth) if len(set(truth.tolist())) == 2 else (1.0, 0.0)))
+    unseen, truth = np.concatenate(unseen), np.concatenate(truth)
+    return Pair(nets, *(calibrated(unseen, truth) if len(set(truth.tolist())) == 2 else (1.0, 0.0)))
 
 
 def fold(doc_id: Column) -> Column:

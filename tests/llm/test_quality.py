@@ -30,9 +30,10 @@ def test_gradients_by_differences():
 def test_long_texts_score_alike_in_stretches():
     net = quality.Network(1)
     text = b"over and over " * 18000 + bytes(np.random.default_rng(1).integers(32, 120, 2 * quality.SLICE + 777).astype(np.uint8))
-    assert net._long(text) == pytest.approx(float(net.forward([text])[0]), abs=1e-4)
-    one = net.logits([b"", b"ab", text, b"ab", b"end"])
-    assert np.allclose(one, [net.logits([t])[0] for t in (b"", b"ab", text, b"ab", b"end")], atol=1e-5)
+    assert net.long(quality.padded([text])[0]) == pytest.approx(float(net.forward(*quality.padded([text]))[0]), abs=1e-4)
+    texts = [b"", b"ab", text, b"ab", b"end"]
+    one = quality.logits([net, quality.Network(2)], texts)
+    assert np.allclose(one, np.concatenate([quality.logits([net, quality.Network(2)], [t]) for t in texts], 1), atol=1e-5)
 
 
 def test_symbols():
