@@ -20,7 +20,7 @@ from seatloom.sources.files import scratch, shared_root
 #: Bytes of text that are turned into arrays at a time (one longer text is taken alone).
 SLICE_BYTES = 1 << 20
 #: Arrow batches end at this many rows or bytes, whichever comes first.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -127,19 +127,24 @@ def signatures(docs: DataFrame, *carried: str, bits=None) -> DataFrame:
     return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>" + "".join(f", {k} {rows.schema[k].dataType.simpleString()}" for k in carried))
 
 
-def candidate_sets(docs: DataFrame, bits, heads: DataFrame) -> DataFrame:
-    """(node, shingles) of the nodes of heads, read from the documents whose id the bit set may hold."""
+def candidate_sets(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes of heads (node, d1, d2, doc_id), a materialised table. Two bit sets of fixed size tell
+    which documents to look at and which of their sets to hand on."""
+    shared = docs.sparkSession.sparkContext.broadcast((bit_set(_id_hashes(heads.select("doc_id"))), bit_set(heads.select(F.col("d1").alias("h")))))
     rows = fields(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
+        ids, wanted = shared.value
         for whole in batches:
-            batch = whole.filter(pa.array(may_hold(held, _hash_ids(whole.column("doc_id")))))
+            batch = whole.filter(pa.array(may_hold(ids, _hash_ids(whole.column("doc_id")))))
             for _, _, words in slices(batch, "text", NONSPACE):
                 sets = [s for s in shingle_sets(words) if len(s)]
+                d1, d2 = digests(sets)
+                kept = np.flatnonzero(may_hold(wanted, d1.view(np.uint64)))
+                sets = [sets[i] for i in kept]
                 at = np.r_[0, np.cumsum([len(s) for s in sets], dtype=np.int64)]
                 values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, digests(sets)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))], ["d1", "d2", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(d1[kept]), pa.array(d2[kept]), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))], ["d1", "d2", "shingles"])
 
     sets = rows.mapInArrow(tidy(run), "d1 long, d2 long, shingles array<long>").dropDuplicates(["d1", "d2"])
     return sets.join(heads.select("d1", "d2", "node"), ["d1", "d2"]).select("node", "shingles")
@@ -163,10 +168,15 @@ def _alike(a: Column, b: Column) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the similarity."""
-    a, b = sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv"))
+    """The pairs (u, v), a materialised table, whose full sets reach the similarity."""
+
+    def side(x: str) -> DataFrame:
+        """The sets of the nodes in column x; where those are few, others don't leave their tasks."""
+        nodes = small_side(cut(pairs.select(F.col(x).alias("node")).distinct()))
+        return sets.join(nodes, "node", "left_semi").select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
+
     both = F.size(F.array_intersect("su", "sv"))
-    return pairs.join(b, "v").join(a, "u").where(100 * both >= PERCENT * (F.size("su") + F.size("sv") - both)).select("u", "v")
+    return pairs.join(side("v"), "v").join(side("u"), "u").where(100 * both >= PERCENT * (F.size("su") + F.size("sv") - both)).select("u", "v")
 
 
 class Links:
@@ -187,7 +197,9 @@ class Links:
         pairs = pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if self.parts is not None:
             pairs = self.labelled(self.labelled(pairs, "u", "pu"), "v", "pv").where("pu <> pv").select("u", "v")
-        self.unite(cut(verified(pairs, self.sets)))
+        pairs = cut(pairs)
+        if not pairs.isEmpty():
+            self.unite(cut(verified(pairs, self.sets)))
 
     def unite(self, found: DataFrame) -> None:
         """Add links (u, v), a materialised table."""
@@ -285,7 +297,6 @@ def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None =
     """(d1, d2, c1, c2): of each set that is linked with others, the least digests of its component (None: no links).
 
     base: signatures() of docs, materialised. ties: pairs of sets (a1, a2, b1, b2) that belong together anyway."""
-    spark = docs.sparkSession
     known = base.where("n_shingles > 0 and doc_id is not null")
     heads = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     heads = cut(heads.withColumn("node", F.monotonically_increasing_id()))
@@ -299,8 +310,7 @@ def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None =
     rows = cut(rows.drop("part").join(crowded, "key"))
     crowd = cut(rows.groupBy("node").agg(F.sum("members").alias("crowd")))
     alike = cut(heads.join(crowd, "node").select("node", "d1", "d2", "doc_id"))
-    bits = spark.sparkContext.broadcast(bit_set(_id_hashes(alike.select("doc_id"))))
-    links.sets = cut(candidate_sets(docs, bits, alike))
+    links.sets = cut(candidate_sets(docs, alike))
     rows = rows.select("key", "node", "n")
     pairs = cut(star(rows.join(crowd, "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
     # of each node the bucket head it shares most bands with comes first: that settles nearly all

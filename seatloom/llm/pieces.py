@@ -37,7 +37,7 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
 UNIGRAM, BPE = 1, 2  # model types
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 100_000
+CACHE_WORDS = 60_000
 
 
 class Pieces:
