@@ -168,15 +168,13 @@ def _alike(a: Column, b: Column) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v), a materialised table, whose full sets reach the similarity."""
-
-    def side(x: str) -> DataFrame:
-        """The sets of the nodes in column x; where those are few, others don't leave their tasks."""
-        nodes = small_side(cut(pairs.select(F.col(x).alias("node")).distinct()))
-        return sets.join(nodes, "node", "left_semi").select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
-
+    """The pairs (u, v), a materialised table, whose full sets reach the similarity. Where the pairs are few, they go to the
+    sets of v, which then move once, to those of u; sets that are in no pair stay where they are."""
+    heads = small_side(cut(pairs.select(F.col("u").alias("node")).distinct()))
+    a = sets.join(heads, "node", "left_semi").select(F.col("node").alias("u"), F.col("shingles").alias("su"))
+    b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")).join(small_side(pairs), "v")
     both = F.size(F.array_intersect("su", "sv"))
-    return pairs.join(side("v"), "v").join(side("u"), "u").where(100 * both >= PERCENT * (F.size("su") + F.size("sv") - both)).select("u", "v")
+    return b.join(a, "u").where(100 * both >= PERCENT * (F.size("su") + F.size("sv") - both)).select("u", "v")
 
 
 class Links:
@@ -293,6 +291,24 @@ def prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return a.where("small").drop("small").join(b.drop("small"), (a["key"] == b["key"]) & fits).select("u", "v").distinct()
 
 
+def bucket_rows(heads: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, node, n): the bands of heads whose key is one of keys, materialised. A bit set of fixed size drops most others
+    before they are shuffled."""
+    shared = heads.sparkSession.sparkContext.broadcast(bit_set(keys.select(F.col("key").alias("h"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column("bands")
+            flat = bands.flatten().to_numpy()
+            row = np.repeat(np.arange(len(batch)), np.diff(bands.offsets.to_numpy()))
+            kept = np.flatnonzero(may_hold(shared.value, flat.view(np.uint64)))
+            rows = batch.take(pa.array(row[kept]))
+            yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), rows.column("node"), rows.column("n")], ["key", "node", "n"])
+
+    rows = heads.select("node", "n", "bands").mapInArrow(tidy(run), "key long, node long, n long")
+    return cut(rows.join(small_side(keys), "key"))
+
+
 def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None = None) -> DataFrame | None:
     """(d1, d2, c1, c2): of each set that is linked with others, the least digests of its component (None: no links).
 
@@ -304,10 +320,13 @@ def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None =
     if ties is not None:
         named = lambda x, y: heads.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("node").alias(y))
         links.unite(cut(ties.join(named("a", "u"), ["a1", "a2"]).join(named("b", "v"), ["b1", "b2"]).select("u", "v").distinct()))
-    rows = links.labelled(heads.select(F.explode("bands").alias("key"), "node", "n"), "node", "part")
     # buckets of one component alone, such as the two texts of one document, have nothing to tell
-    crowded = cut(rows.groupBy("key").agg(F.count("*").alias("members"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key", "members"))
-    rows = cut(rows.drop("part").join(crowded, "key"))
+    keyed = links.labelled(heads.select("node", "n", "bands"), "node", "part")
+    ends = keyed.select("part", F.explode("bands").alias("key")).groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    several = cut(ends.where("low < high").select("key"))
+    rows = bucket_rows(heads, several)
+    crowded = rows.groupBy("key").agg(F.count("*").alias("members"))
+    rows = cut(rows.join(crowded, "key"))
     crowd = cut(rows.groupBy("node").agg(F.sum("members").alias("crowd")))
     alike = cut(heads.join(crowd, "node").select("node", "d1", "d2", "doc_id"))
     links.sets = cut(candidate_sets(docs, alike))
