@@ -7,6 +7,7 @@ number of rows in a batch nor one very long text decides how much memory a task
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 from collections.abc import Iterator
 
@@ -33,6 +34,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and checkpoints of tables that nothing refers to any more. Its cleaner waits for the
+    driver's garbage collection, which a driver that holds little data may not need for a long time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small whatever the length of texts: the session's two settings are lowered to these bounds where
     they are above them (plans read them only when they run, so they can't be put back), and never raised."""

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, slices, small_side, text_digest, tidy, windows
+from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, release, slices, small_side, text_digest, tidy, windows
 from seatloom.llm.components import components
 from seatloom.llm.decontaminate import bit_set, may_hold
 
@@ -309,6 +309,15 @@ def bucket_rows(heads: DataFrame, keys: DataFrame) -> DataFrame:
     return cut(rows.join(small_side(keys), "key"))
 
 
+def _told_apart(heads: DataFrame, links: Links) -> DataFrame:
+    """(key, node, n, members): the rows of buckets that hold several components, materialised. Buckets of one alone, such as
+    the two texts of one document, have nothing to tell."""
+    keyed = links.labelled(heads.select("node", "n", "bands"), "node", "part")
+    ends = keyed.select("part", F.explode("bands").alias("key")).groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    rows = bucket_rows(heads, cut(ends.where("low < high").select("key")))
+    return cut(rows.join(rows.groupBy("key").agg(F.count("*").alias("members")), "key"))
+
+
 def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None = None) -> DataFrame | None:
     """(d1, d2, c1, c2): of each set that is linked with others, the least digests of its component (None: no links).
 
@@ -320,28 +329,27 @@ def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None =
     if ties is not None:
         named = lambda x, y: heads.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("node").alias(y))
         links.unite(cut(ties.join(named("a", "u"), ["a1", "a2"]).join(named("b", "v"), ["b1", "b2"]).select("u", "v").distinct()))
-    # buckets of one component alone, such as the two texts of one document, have nothing to tell
-    keyed = links.labelled(heads.select("node", "n", "bands"), "node", "part")
-    ends = keyed.select("part", F.explode("bands").alias("key")).groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    several = cut(ends.where("low < high").select("key"))
-    rows = bucket_rows(heads, several)
-    crowded = rows.groupBy("key").agg(F.count("*").alias("members"))
-    rows = cut(rows.join(crowded, "key"))
+    rows = _told_apart(heads, links)
     crowd = cut(rows.groupBy("node").agg(F.sum("members").alias("crowd")))
     alike = cut(heads.join(crowd, "node").select("node", "d1", "d2", "doc_id"))
     links.sets = cut(candidate_sets(docs, alike))
+    release(docs.sparkSession)
     rows = rows.select("key", "node", "n")
     pairs = cut(star(rows.join(crowd, "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
     # of each node the bucket head it shares most bands with comes first: that settles nearly all
     links.verify(pairs.groupBy("v").agg(F.max_by("u", F.struct("bands", "u")).alias("u")).select("u", "v"))
+    release(docs.sparkSession)
     links.verify(pairs.select("u", "v"))
+    release(docs.sparkSession)
     left = links.unsettled(rows)
     if not left.isEmpty():
         links.verify(across(left.where(F.col("members") <= PAIRED)))
+        release(docs.sparkSession)
         large = left.where(F.col("members") > PAIRED).drop("part")
         if not large.isEmpty():
             large = links.unsettled(large.select("key", "node", "n"))
             links.verify(prefix_pairs(large, links.sets))
+            release(docs.sparkSession)
     if links.parts is None:
         return None
     members = cut(links.parts.join(heads.select("node", "d1", "d2"), "node").select("component", "d1", "d2"))
