@@ -1,11 +1,12 @@
 """DuckDB SQL for the training-data queries that SQL can express.
 
-Operators 1, 3 and 10 need the tokenizer libraries, 2 an expression parser, 4 and 8 trained models: those, and the
-pipeline, are held against brute force in tests/llm.
+Operators 1, 3 and 10 need the tokenizer libraries, 2 an expression parser, 4 and 8 trained models, 13 every lag of texts of
+20,000 words: those, and the pipeline, are held against brute force in tests/llm.
 """
 
 from __future__ import annotations
 
+from seatloom.llm.host_trust import ANCHOR, DAMPING, RULES, SCALE, STEPS
 from seatloom.llm.line_dedup import MIN_WORDS
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -67,4 +68,77 @@ p AS (SELECT q.vec_id AS query_id, q.n, v.vec_id, list_inner_product(q.e, v.e)::
 SELECT * FROM (SELECT query_id, (row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM p) WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_line_dedup": OP7, "line_runs": LINE_RUNS, "op9_topk": OP9}
+# the edits by layers of whole rows instead of a search: of each state the cheapest way there, the audit as text
+_WAYS = ["", "s", "u", "a"]
+
+
+def _more(way: str, edit: str, cost: str) -> str:
+    return f"CASE WHEN {way} IS NOT NULL THEN {{'c': {way}.c + {cost}, 'e': {way}.e || '{edit}'}} END"
+
+
+def _layer(into: dict[str, list[str]], source: str) -> str:
+    """Of each state the least of the ways into it, then up to three inserted turns."""
+    text = "SELECT conv_id, i, " + ", ".join(f"list_min([{', '.join(into[s])}]) AS w_{s}" for s in _WAYS) + f" FROM {source}"
+    put = lambda *ways: ", ".join(_more(w, "I", "3") for w in ways)
+    for _ in range(3):
+        text = f"SELECT conv_id, i, w_, w_s, list_min([w_u, {put('w_', 'w_s', 'w_a')}]) AS w_u, list_min([w_a, {put('w_u')}]) AS w_a FROM ({text})"
+    return text
+
+
+def _op11() -> str:
+    stays = lambda cond, way: f"CASE WHEN {cond} AND NOT must THEN {way} END"
+    into = {s: [_more(f"p_{s}", "D", "4")] for s in _WAYS}
+    for s in _WAYS:
+        into["a" if s == "u" else "u"].append(stays("true", _more(f"p_{s}", "R", "3 + more")))
+    into["s"].append(stays("letter = 's'", _more("p_", "K", "more")))
+    into["u"] += [stays("letter = 'u'", _more(f"p_{s}", "K", "more")) for s in ("", "s", "a")]
+    into["a"].append(stays("letter = 'a'", _more("p_u", "K", "more")))
+    nothing = {s: ["{'c': 0::BIGINT, 'e': ''}" if s == "" else "NULL::STRUCT(c BIGINT, e VARCHAR)"] for s in _WAYS}
+    begin = _layer(nothing, "(SELECT DISTINCT conv_id, 0::BIGINT AS i FROM hurt)")
+    go = _layer(into, "(SELECT w.conv_id, h.i, h.letter, h.must, h.more, " + ", ".join(f"w.w_{s} AS p_{s}" for s in _WAYS) + " FROM ways w JOIN hurt h ON h.conv_id IS NOT DISTINCT FROM w.conv_id AND h.i = w.i + 1)")
+    cols = ", ".join(f"w_{s}" for s in _WAYS)
+    return f"""
+WITH RECURSIVE k(t) AS MATERIALIZED (SELECT list(v ORDER BY i) FROM (SELECT i, list_reduce(range(8), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(256) r(i))),
+told AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+sums AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) % 256) + 1]), 4294967295), 4294967295) % 20 AS what FROM told, k),
+hit AS (SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE what WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM sums),
+placed AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i FROM hit),
+faults AS (SELECT *, substr(role, 1, 1) AS letter, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed),
+hurt AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, body = '' OR nth > 1 AS must, CASE WHEN body <> '' AND nth = 1 AND right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS more, lead(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS next FROM faults),
+ways AS (SELECT conv_id, 0::BIGINT AS i, {cols} FROM ({begin}) UNION ALL SELECT conv_id, i, {cols} FROM ({go})),
+best AS (SELECT conv_id, list_min([w_, w_a]) AS b FROM ways QUALIFY i = max(i) OVER (PARTITION BY conv_id)),
+marks AS (SELECT conv_id, b.e AS audit, p, substr(b.e, p, 1) AS edit, length(replace(substr(b.e, 1, p), 'I', '')) AS i, row_number() OVER (PARTITION BY conv_id ORDER BY p) AS n FROM (SELECT conv_id, b, unnest(range(1, length(b.e) + 1)) AS p FROM best)),
+stay AS (SELECT m.conv_id, m.p, m.edit, h.role, h.text, row_number() OVER (PARTITION BY m.conv_id ORDER BY p) AS k, max(CASE WHEN h.letter = 's' AND m.edit = 'K' THEN 1 ELSE 0 END) OVER (PARTITION BY m.conv_id) AS s FROM marks m LEFT JOIN hurt h ON h.conv_id IS NOT DISTINCT FROM m.conv_id AND h.i = m.i WHERE m.edit <> 'D'),
+texts AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (k - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t FROM stay GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE next IS NOT NULL AND letter || next NOT IN ('su', 'ua', 'au')) AS illegal FROM hurt GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.e, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+def _op12() -> str:
+    rest = "CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+    lower = _LOWER.format("{0}")
+    fits = " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{{0}}'".replace("{0}", f"{r.verdict} {r.host}{r.path}") for r in sorted(RULES, key=lambda r: -len(r.host + r.path)))
+    anchor = ANCHOR.replace("'", "''")
+    steps, name = [], "start"
+    for k in range(STEPS):
+        steps.append(f"n{k} AS MATERIALIZED (SELECT kind, host, sum(amount)::BIGINT AS amount FROM (SELECT n.kind, e.dst AS host, (n.amount::HUGEINT * e.weight * {DAMPING}) // (e.total * 100) AS amount FROM {name} n JOIN e ON e.kind = n.kind AND e.src = n.host UNION ALL SELECT kind, host, (amount * {100 - DAMPING}) // 100 FROM start) GROUP BY kind, host)")
+        name = f"n{k}"
+    return f"""
+WITH u AS (SELECT page_id, html, regexp_extract(rest, '^([^/?#]*)', 1) AS h, rest FROM (SELECT page_id, html, coalesce({rest}, '') AS rest FROM pages)),
+p AS (SELECT *, CASE {fits} END AS fit FROM (SELECT page_id, html, {lower.format('h')} AS host, regexp_extract(substr(rest, length(h) + 1), '^([^?#]*)', 1) AS path FROM u)),
+seeds AS (SELECT host, count(*) FILTER (WHERE fit LIKE 'allow%') AS allowed, count(*) FILTER (WHERE fit LIKE 'block%') AS blocked FROM p WHERE fit IS NOT NULL GROUP BY host),
+a AS (SELECT src, dst, count(*) AS weight FROM (SELECT DISTINCT page, src, dst FROM (SELECT row_number() OVER () AS page, host AS src, unnest(list_transform(regexp_extract_all(html, '{anchor}', 1), lambda x: {lower.format('x')})) AS dst FROM p WHERE host <> '')) WHERE dst <> '' AND dst <> src GROUP BY src, dst),
+h AS (SELECT host FROM p WHERE host <> '' UNION SELECT dst FROM a),
+s AS (SELECT x.host AS src, y.host AS dst FROM h x JOIN h y ON y.host = substr(x.host, strpos(x.host, '.') + 1) WHERE contains(x.host, '.')),
+l AS (SELECT src, dst, sum(weight)::BIGINT AS weight FROM (SELECT * FROM a UNION ALL SELECT src, dst, 1 FROM s UNION ALL SELECT dst, src, 1 FROM s) GROUP BY src, dst),
+e AS MATERIALIZED (SELECT *, (sum(weight) OVER (PARTITION BY kind, src))::BIGINT AS total FROM (SELECT 0 AS kind, src, dst, weight FROM l UNION ALL SELECT 1, dst, src, weight FROM l)),
+start AS MATERIALIZED (SELECT kind, host, (pages::HUGEINT * {SCALE} // (SELECT sum(allowed + blocked) FROM seeds))::BIGINT AS amount FROM (SELECT 0 AS kind, host, allowed AS pages FROM seeds UNION ALL SELECT 1, host, blocked FROM seeds) WHERE pages > 0),
+{", ".join(steps)},
+known AS (SELECT host, coalesce(sum(amount) FILTER (WHERE kind = 0), 0)::BIGINT AS trust, coalesce(sum(amount) FILTER (WHERE kind = 1), 0)::BIGINT AS distrust FROM {name} GROUP BY host)
+SELECT page_id, p.host, path, substr(fit, 7) AS rule, coalesce(substr(fit, 1, 5), CASE WHEN distrust > trust THEN 'block' ELSE 'allow' END) AS verdict, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust FROM p LEFT JOIN known ON known.host = p.host
+"""
+
+
+ORACLE: dict[str, str] = {"op11_conversations": _op11(), "op12_url_filter": _op12(), "op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_line_dedup": OP7, "line_runs": LINE_RUNS, "op9_topk": OP9}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatloom.llm import decontaminate, licenses, line_dedup, near_dedup, pieces, private_data, quality, token_counts, token_store, topk
+from seatloom.llm import conversations, decontaminate, host_trust, licenses, line_dedup, near_dedup, periodic, pieces, private_data, quality, token_counts, token_store, topk
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(read(spark, sf_dir, "conversations"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_trust.judge(read(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest_runs(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
+    "op11_conversations": op11_conversations,
+    "op12_url_filter": op12_url_filter,
+    "op13_periodic_runs": op13_periodic_runs,
     "pieces_unigram": pieces_unigram,
     "line_runs": line_runs,
     "pipeline": pipeline,

@@ -21,7 +21,7 @@ def texts():
 
 
 def test_names():
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10 and "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13 and "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
