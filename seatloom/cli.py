@@ -1,18 +1,19 @@
-"""Command line: results of a vote page, maps of results, a preview server.
+"""Command line: results of a vote page, maps of results. A folder of maps is previewed by ``python -m http.server``.
 
 python -m seatloom.cli results --config FILE [--url URL] [--local_html FILE] [--save_html FILE] [--output_... FILE]
 python -m seatloom.cli maps --config FILE --results_csv FILE --geojson FILE [--output_dir DIR]
-python -m seatloom.cli serve [--dir DIR] [--port PORT]
 """
 
 from __future__ import annotations
 
 import argparse
 import logging
-import os
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from seatloom.functions.text import thousands
 from seatloom.operators import extract, results
-from seatloom.serve import serve
 from seatloom.session import session
 from seatloom.sources import blocs, boundaries, files, map_pages, pages
 
@@ -37,9 +38,6 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--geojson", default="data/constituencies.geojson")
     m.add_argument("--output_dir", default="site", help="gets index.html and maps/")
     m.add_argument("--credit", action="append", help="a line about the data under the map; may be given again")
-    s = sub.add_parser("serve", help="preview a folder")
-    s.add_argument("--dir", default="site")
-    s.add_argument("--port", type=int, default=8000)
     return parser
 
 
@@ -50,30 +48,34 @@ def run_results(args: argparse.Namespace) -> None:
     if html and args.save_html:
         with open(args.save_html, "w", encoding="utf-8") as f:
             f.write(html)
-        log.info("Saved the page to %s", args.save_html)
+        log.info("The page is kept in %s", args.save_html)
     if html:
         page = pages.as_page(spark, args.url, html)
     elif args.local_html:
-        log.info("Reading %s", args.local_html)
+        log.info("Taking the page from %s", args.local_html)
         page = pages.read_pages(spark, args.local_html)
     else:
         raise RuntimeError("the page can't be fetched and no local file is given")
     seats, votes = (x.cache() for x in extract.election(page, args.mark))
-    named = {args.output_seat_results: results.seat_results(seats, votes, known), args.output_party_votes: results.ranked_parties(votes), args.output_party_by_seat: results.party_by_seat(votes).orderBy("seat_pos", "res_pos").drop("seat_pos", "res_pos")}
-    for path, df in named.items():
-        if "://" not in path and os.path.dirname(path):
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-        files.write_one_csv(df, path)
-        log.info("Wrote %s", path)
-    log.info("Top parties by votes:")
-    for r in results.top_parties(votes).collect():
+    votes_sum = {"votes": F.sum("votes")}
+    tables = [
+        (args.output_seat_results, results.seat_results(seats, votes, known), (), {"votes": F.sum("total_votes")}),
+        (args.output_party_votes, results.ranked_parties(votes), (), votes_sum),
+        (args.output_party_by_seat, results.party_by_seat(votes), ("seat_pos", "res_pos"), votes_sum),
+    ]
+    for path, df, order, metrics in tables:
+        told = files.write_ordered_csv(df, path, order, metrics)
+        log.info("%s: %d rows, %d votes", path, told["rows"], told["votes"] or 0)
+    log.info("Largest parties:")
+    shown = files.read_csv(spark, args.output_party_votes, T.StructType().add("party", "string").add("votes", "long"), row_pos=True)
+    for r in shown.orderBy("row_pos").limit(results.SUMMARY).select("party", thousands(F.col("votes")).alias("shown")).collect():
         log.info("  %s: %s", r.party, r.shown)
 
 
 def run_maps(args: argparse.Namespace) -> None:
     spark = session()
     for path in map_pages.write_maps(boundaries.read_boundaries(spark, args.geojson), files.read_seat_results(spark, args.results_csv), blocs.read_blocs(spark, args.config), args.output_dir, tuple(args.credit or map_pages.CREDITS)):
-        log.info("Wrote %s", path)
+        log.info("Map page: %s", path)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -81,10 +83,8 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     if args.command == "results":
         run_results(args)
-    elif args.command == "maps":
-        run_maps(args)
     else:
-        serve(args.dir, args.port)
+        run_maps(args)
 
 
 if __name__ == "__main__":

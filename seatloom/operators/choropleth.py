@@ -14,6 +14,8 @@ OPACITY, WEIGHT, LINE = 0.7, 0.5, "black"
 # The legend's words for a bloc's share of all votes.
 LEGEND = {"subtitle": "Percentage of total votes cast in each constituency", "no_data": "No candidates nominated", "low": "Weaker support (0%)", "high": "Stronger support (100%)"}
 
+PAIR_LEGEND = {"subtitle": "Share of {0} in the votes of {0} and {1}", "no_data": "At least one group missing data", "end": "{0} dominated"}
+
 
 def pair_share(part: Column, other: Column) -> tuple[Column, Column]:
     """part / (part + other) and whether it is defined: not if one is missing (null) or not positive (0)."""
@@ -52,15 +54,40 @@ def seat_shares(results: DataFrame, blocs: list[Bloc], order: str = "row_pos") -
 
 def joined(features: DataFrame, shares: DataFrame, blocs: list[Bloc]) -> DataFrame:
     """Every feature with a key, for every bloc: its seat's share, or none. feature: feature_pos, raw_name, ..."""
-    name = strip(F.col("raw_name"))
-    keyed = features.withColumn("own_name", name).withColumn("seat_key", seat_key(F.col("raw_name"))).where("seat_key <> ''")
-    keyed = keyed.withColumn("code", F.explode(F.array(*[F.lit(b.code) for b in blocs])))
+    keyed = keyed_features(features).withColumn("code", F.explode(F.array(*[F.lit(b.code) for b in blocs])))
     data = shares.withColumn("found", F.lit(True))
     rows = keyed.join(data, ["code", "seat_key"], "left").withColumn("has_data", F.coalesce("found", F.lit(False))).drop("found")
     return (rows.withColumn("ratio", F.coalesce("ratio", F.lit(0.0))).withColumn("ratio_defined", F.coalesce("ratio_defined", F.lit(False)))
             .withColumn("top_three", F.coalesce("top_three", F.lit(""))).withColumn("seat_name", F.when(F.col("has_data"), F.col("seat_name")).otherwise(F.col("own_name"))))
 
 
+def keyed_features(features: DataFrame) -> DataFrame:
+    """Features with a seat key, and the name they have themselves."""
+    return features.withColumn("own_name", strip(F.col("raw_name"))).withColumn("seat_key", seat_key(F.col("raw_name"))).where("seat_key <> ''")
+
+
+def shares_by_seat(shares: DataFrame) -> DataFrame:
+    """(seat_key, shares): of each seat a map from bloc to its share, as many as there are blocs."""
+    one = F.struct("ratio", "ratio_defined", "seat_name", "top_three")
+    return shares.groupBy("seat_key").agg(F.map_from_entries(F.collect_list(F.struct("code", one.alias("d")))).alias("shares"))
+
+
+def stored(df: DataFrame, name: str, path: str, buckets: int, key: str = "seat_key") -> DataFrame:
+    """The table of that name, written to path in buckets by key: joins of tables with as many buckets move no rows."""
+    df.write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def joined_by_seat(keyed: DataFrame, by_seat: DataFrame, blocs: list[Bloc]) -> DataFrame:
+    """What joined() gives, from keyed_features() and shares_by_seat(), both of which may be stored(): the join is by seat alone
+    and blocs are told apart behind it, so all blocs come from one pass over the features."""
+    rows = keyed.join(by_seat, "seat_key", "left").withColumn("code", F.explode(F.array(*[F.lit(b.code) for b in blocs])))
+    d = F.try_element_at("shares", F.col("code"))
+    name = F.when(d.isNotNull(), d["seat_name"]).otherwise(F.col("own_name"))
+    data = {"has_data": d.isNotNull(), "ratio": F.coalesce(d["ratio"], F.lit(0.0)), "ratio_defined": F.coalesce(d["ratio_defined"], F.lit(False)), "top_three": F.coalesce(d["top_three"], F.lit("")), "seat_name": name}
+    return rows.withColumns(data).drop("shares")
+
+
 def _gradient(blocs: list[Bloc], i: int) -> Column:
     out = F.lit(None).cast("string")
     for b in blocs:
@@ -114,14 +141,39 @@ def tooltip(escape: bool = False) -> Column:
     return F.when(F.col("has_data"), full).otherwise(F.concat(div("title", safe(label)), div("empty", F.lit("No data"))))
 
 
-def legend(spark, blocs: list[Bloc]) -> DataFrame:
-    """(code, title, subtitle, no_data, low_label, high_label, low, high), a row for each bloc."""
-    names = {b.code: b.display_name for b in blocs}
-    rows = []
+def legend_words(blocs: list[Bloc]) -> list[dict[str, str]]:
+    """Of each bloc: title, subtitle, no_data, low_label, high_label."""
+    names, out = {b.code: b.display_name for b in blocs}, []
     for b in blocs:
-        words = LEGEND
+        words = {"subtitle": LEGEND["subtitle"], "no_data": LEGEND["no_data"], "low_label": LEGEND["low"], "high_label": LEGEND["high"]}
         if b.pair:
             part, other = (names.get(c, c) for c in b.pair)
-            words = {"subtitle": f"Share of {part} in the votes of {part} and {other}", "no_data": "At least one group missing data", "low": f"{other} dominated", "high": f"{part} dominated"}
-        rows.append((b.code, b.display_name, words["subtitle"], words["no_data"], words["low"], words["high"], *b.gradient))
-    return spark.createDataFrame(rows, "code string, title string, subtitle string, no_data string, low_label string, high_label string, low string, high string")
+            words = {"subtitle": PAIR_LEGEND["subtitle"].format(part, other), "no_data": PAIR_LEGEND["no_data"], "low_label": PAIR_LEGEND["end"].format(other), "high_label": PAIR_LEGEND["end"].format(part)}
+        out.append({"title": b.display_name, **words})
+    return out
+
+
+def _filled(words: str, *names: Column) -> Column:
+    """The words with names in their places."""
+    out = F.lit(words)
+    for i, name in enumerate(names):
+        out = F.replace(out, F.lit(f"{{{i}}}"), name)
+    return out
+
+
+def legends(rows: DataFrame, *within: str) -> DataFrame:
+    """The same from a table of blocs (code, display_name, pair, low, high, and the columns named, within which codes are told
+    apart): code, title, subtitle, no_data, low_label, high_label, low, high."""
+    names = rows.select(*within, F.col("code").alias("_code"), F.col("display_name").alias("_name"))
+    for i in (0, 1):
+        own = names.withColumnsRenamed({"_code": f"_code{i}", "_name": f"_name{i}", **{w: f"_{w}{i}" for w in within}})
+        on = F.get("pair", F.lit(i)) == F.col(f"_code{i}")
+        for w in within:
+            on &= F.col(w) == F.col(f"_{w}{i}")
+        rows = rows.join(own, on, "left")
+    part, other = (F.coalesce(f"_name{i}", F.get("pair", F.lit(i))) for i in (0, 1))
+    pick = lambda mine, paired: F.when(F.col("pair").isNull(), F.lit(mine)).otherwise(paired)
+    return rows.select(
+        *within, "code", F.col("display_name").alias("title"), pick(LEGEND["subtitle"], _filled(PAIR_LEGEND["subtitle"], part, other)).alias("subtitle"), pick(LEGEND["no_data"], F.lit(PAIR_LEGEND["no_data"])).alias("no_data"),
+        pick(LEGEND["low"], _filled(PAIR_LEGEND["end"], other)).alias("low_label"), pick(LEGEND["high"], _filled(PAIR_LEGEND["end"], part)).alias("high_label"), "low", "high",
+    )

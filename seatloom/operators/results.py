@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatloom.functions.text import one_decimal, thousands
+from seatloom.operators.exchange import materialised, numbered
+from seatloom.operators.extract import seat_keys
 from seatloom.sources.blocs import Bloc
 
 TOP, SUMMARY = 3, 15
@@ -28,7 +30,7 @@ def in_bloc(party: Column, bloc: Bloc) -> Column:
 
 def party_by_seat(votes: DataFrame) -> DataFrame:
     """One row for each counted result, in the document's order at the sink."""
-    return votes.select("seat_pos", "res_pos", *SEAT, "party", "votes")
+    return votes.select(*seat_keys(votes)[:-1], "seat_pos", "res_pos", *SEAT, "party", "votes")
 
 
 def party_totals(votes: DataFrame) -> DataFrame:
@@ -57,24 +59,28 @@ def party_names(votes: DataFrame) -> list[str]:
 
 def seat_totals(seats: DataFrame, votes: DataFrame) -> DataFrame:
     """total_votes of every seat, 0 for one without results."""
-    sums = votes.groupBy("seat_id").agg(F.sum("votes").alias("total_votes"))
-    return seats.join(sums, "seat_id", "left").withColumn("total_votes", F.coalesce("total_votes", F.lit(0)))
+    sums = votes.groupBy(*seat_keys(votes)).agg(F.sum("votes").alias("total_votes"))
+    return seats.join(sums, seat_keys(seats), "left").withColumn("total_votes", F.coalesce("total_votes", F.lit(0)))
 
 
-def seat_party(seats: DataFrame, votes: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Every seat with every party, 0 where it has no votes."""
-    names = party_names(votes) if names is None else names
-    sums = votes.groupBy("seat_id", "party").agg(F.sum("votes").alias("votes"))
-    grid = seats.select("seat_id", F.explode(F.array(*[F.lit(n) for n in names]).cast("array<string>")).alias("party"))
-    return grid.join(sums, ["seat_id", "party"], "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
+def seat_party(seats: DataFrame, votes: DataFrame) -> DataFrame:
+    """Every seat with every party, 0 where it has no votes. Parties are numbered where they are; only how many there are
+    comes to the driver. The votes are read once."""
+    keys = seat_keys(seats)
+    sums = materialised(votes.groupBy(*keys, "party").agg(F.sum("votes").alias("votes")))
+    codes = numbered(parties(sums), ["party"], "code")
+    n = codes.count()
+    grid = seats.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n - 1)) if n else F.array().cast("array<int>")).alias("code"))
+    named = grid.join(codes.select(F.col("code").cast("int").alias("code"), "party"), "code").drop("code")
+    return named.join(sums, [*keys, "party"], "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
 
 
 def seat_party_wide(seats: DataFrame, votes: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """seat_id and a column of votes for each party, by name."""
-    names = party_names(votes) if names is None else names
-    wide = votes.groupBy("seat_id").pivot("party", names).agg(F.sum("votes")) if names else votes.select("seat_id").distinct()
-    rows = seats.select("seat_id").join(wide, "seat_id", "left")
-    return rows.select("seat_id", *[F.coalesce(F.col(_quoted(n)), F.lit(0)).alias(n) for n in names])
+    """The seat's key and a column of votes for each party, by name."""
+    names, keys = party_names(votes) if names is None else names, seat_keys(seats)
+    wide = votes.groupBy(*keys).pivot("party", names).agg(F.sum("votes")) if names else votes.select(*keys).distinct()
+    rows = seats.select(*keys).join(wide, keys, "left")
+    return rows.select(*keys, *[F.coalesce(F.col(_quoted(n)), F.lit(0)).alias(n) for n in names])
 
 
 def _quoted(name: str) -> str:
@@ -90,10 +96,11 @@ def party_blocs(votes: DataFrame, blocs: list[Bloc]) -> DataFrame:
 def _seat_sums(votes: DataFrame, blocs: list[Bloc], names: list[str]) -> DataFrame:
     """One row a seat with votes: total_votes, _bloc<i> for each bloc, _party<i> for each name. Sums by (seat, party) come
     first, so that a bloc's keywords are looked for once a party and seat."""
-    sums = votes.groupBy("seat_id", "party").agg(F.sum("votes").alias("votes"))
+    keys = seat_keys(votes)
+    sums = votes.groupBy(*keys, "party").agg(F.sum("votes").alias("votes"))
     own = [F.sum(F.when(in_bloc(F.col("party"), b), F.col("votes")).otherwise(0)).alias(f"_bloc{i}") for i, b in enumerate(blocs)]
     each = [F.sum(F.when(F.col("party") == n, F.col("votes")).otherwise(0)).alias(f"_party{i}") for i, n in enumerate(names)]
-    return sums.groupBy("seat_id").agg(F.sum("votes").alias("total_votes"), *own, *each)
+    return sums.groupBy(*keys).agg(F.sum("votes").alias("total_votes"), *own, *each)
 
 
 def _bloc_columns(blocs: list[Bloc]) -> list[Column]:
@@ -107,27 +114,28 @@ def _bloc_columns(blocs: list[Bloc]) -> list[Column]:
 
 def seat_blocs(seats: DataFrame, votes: DataFrame, blocs: list[Bloc]) -> DataFrame:
     """total_votes, <code>_votes and <code>_ratio of each bloc in every seat."""
-    rows = seats.join(_seat_sums(votes, blocs, []), "seat_id", "left")
-    return rows.select("seat_id", F.coalesce("total_votes", F.lit(0)).alias("total_votes"), *_bloc_columns(blocs))
+    rows = seats.join(_seat_sums(votes, blocs, []), seat_keys(seats), "left")
+    return rows.select(*seat_keys(seats), F.coalesce("total_votes", F.lit(0)).alias("total_votes"), *_bloc_columns(blocs))
 
 
 def _strongest(votes: DataFrame, n: int) -> DataFrame:
     """The n strongest results of each seat with their rank from 1, ties in document order."""
-    order = Window.partitionBy("seat_id").orderBy(F.desc("votes"), "res_pos")
-    return votes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select("seat_id", "rank", "candidate_name", "party", "votes")
+    order = Window.partitionBy(*seat_keys(votes)).orderBy(F.desc("votes"), "res_pos")
+    return votes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select(*seat_keys(votes), "rank", "candidate_name", "party", "votes")
 
 
 def seat_top(votes: DataFrame, n: int = TOP) -> DataFrame:
     """The n strongest results of each seat with votes, with their share in per cent."""
-    totals = votes.groupBy("seat_id").agg(F.sum("votes").alias("total")).where("total > 0")
-    rows = _strongest(votes, n).join(totals, "seat_id")
-    return rows.select("seat_id", "rank", "candidate_name", "party", "votes", (F.col("votes") / F.col("total") * 100).alias("share"))
+    keys = seat_keys(votes)
+    totals = votes.groupBy(*keys).agg(F.sum("votes").alias("total")).where("total > 0")
+    rows = _strongest(votes, n).join(totals, keys)
+    return rows.select(*keys, "rank", "candidate_name", "party", "votes", (F.col("votes") / F.col("total") * 100).alias("share"))
 
 
 def _top_texts(votes: DataFrame, totals: DataFrame, how: str) -> DataFrame:
     """totals (seat_id, total_votes, ...) with top_three_candidates and top_three, null for seats without votes."""
     row = F.struct("rank", "candidate_name", "party", "votes")
-    rows = totals.join(_strongest(votes, TOP).groupBy("seat_id").agg(F.array_sort(F.collect_list(row)).alias("_top")), "seat_id", how)
+    rows = totals.join(_strongest(votes, TOP).groupBy(*seat_keys(votes)).agg(F.array_sort(F.collect_list(row)).alias("_top")), seat_keys(votes), how)
     share = lambda x: one_decimal(x["votes"] / F.col("total_votes") * 100)
     person = lambda x: F.concat(x["candidate_name"], F.lit(" ("), x["party"], F.lit(") "), share(x), F.lit("%"))
     party = lambda x: F.concat(x["party"], F.lit(" ("), share(x), F.lit("%)"))
@@ -137,16 +145,16 @@ def _top_texts(votes: DataFrame, totals: DataFrame, how: str) -> DataFrame:
 
 def seat_top_texts(votes: DataFrame) -> DataFrame:
     """(seat_id, top_three_candidates, top_three): the strongest results of each seat with votes, as text."""
-    totals = votes.groupBy("seat_id").agg(F.sum("votes").alias("total_votes")).where("total_votes > 0")
+    totals = votes.groupBy(*seat_keys(votes)).agg(F.sum("votes").alias("total_votes")).where("total_votes > 0")
     return _top_texts(votes, totals, "inner").drop("total_votes")
 
 
 def seat_results(seats: DataFrame, votes: DataFrame, blocs: list[Bloc], names: list[str] | None = None) -> DataFrame:
     """The wide seat table. A party named like a fixed column takes that column's place, as the last writer does."""
     names = party_names(votes) if names is None else names
-    rows = seats.join(_top_texts(votes, _seat_sums(votes, blocs, names), "left"), "seat_id", "left")
-    columns = {c: F.col(c) for c in SEAT} | {"total_votes": F.coalesce("total_votes", F.lit(0)).alias("total_votes")}
+    rows = seats.join(_top_texts(votes, _seat_sums(votes, blocs, names), "left"), seat_keys(seats), "left")
+    columns = {c: F.col(c) for c in [*seat_keys(seats)[:-1], *SEAT]} | {"total_votes": F.coalesce("total_votes", F.lit(0)).alias("total_votes")}
     columns |= {c: F.coalesce(c, F.lit("")).alias(c) for c in ("top_three_candidates", "top_three")}
     columns |= {f"{b.code}_{k}": made for b, pair in zip(blocs, zip(*[iter(_bloc_columns(blocs))] * 2, strict=True), strict=True) for k, made in zip(("votes", "ratio"), pair, strict=True)}
     columns |= {n: F.coalesce(f"_party{i}", F.lit(0)).alias(n) for i, n in enumerate(names)}
-    return rows.orderBy("seat_pos").select(*columns.values())
+    return rows.orderBy(*seat_keys(seats)[:-1], "seat_pos").select(*columns.values())

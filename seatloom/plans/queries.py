@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatloom.functions.text import first_filled, seat_key
-from seatloom.operators import choropleth, extract, results
+from seatloom.operators import choropleth, exchange, extract, keywords, results
 from seatloom.sources import blocs, boundaries, files, pages, tables
 from seatloom.sources.tables import BLOCS, table
 
@@ -152,6 +152,15 @@ def feature_join(spark, d):
     return _joined(spark, d).select("feature_pos", "code", "seat_key", "has_data", "ratio", "ratio_defined", "seat_name", "top_three")
 
 
+def feature_join_stored(spark, d):
+    """The same from both sides as they are kept for later maps: stored in buckets by seat key, joined where they lie."""
+    at, buckets = files.scratch(spark, "seats"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = "seats_" + at.rsplit("-", 1)[1]
+    keyed = choropleth.stored(choropleth.keyed_features(_noisy_features(spark, d)), f"{name}_features", f"{at}/features", buckets)
+    shares = choropleth.stored(choropleth.shares_by_seat(_shares(spark, d)), f"{name}_shares", f"{at}/shares", buckets)
+    return choropleth.joined_by_seat(keyed, shares, BLOCS).select("feature_pos", "code", "seat_key", "has_data", "ratio", "ratio_defined", "seat_name", "top_three")
+
+
 def fill_linear(spark, d):
     return choropleth.with_style(_joined(spark, d), BLOCS).select("feature_pos", "code", "fill")
 
@@ -165,7 +174,8 @@ def tooltip_html(spark, d):
 
 
 def legend(spark, d):
-    return choropleth.legend(spark, BLOCS)
+    """The legends of the blocs of each region's configuration."""
+    return choropleth.legends(blocs.bloc_rows(tables.config_texts(spark, d), "page"), "page")
 
 
 def candidate_name(spark, d):
@@ -183,19 +193,23 @@ def keyword_documents(spark, d):
 
 
 def page_votes(spark, d):
-    """The long table of a page: script, balanced object, JSON, unnested results, candidates."""
-    return extract.election(tables.election_page(spark, d))[1]
+    """The long table of many pages: script, balanced object, JSON, unnested results, candidates."""
+    return extract.elections(tables.election_pages(spark, d))[1]
 
 
 def page_seats(spark, d):
-    return extract.election(tables.election_page(spark, d))[0]
+    return extract.elections(tables.election_pages(spark, d))[0]
+
+
+def page_errors(spark, d):
+    """Pages that can't be read and results whose votes aren't whole numbers, each with what is wrong."""
+    return extract.elections(tables.election_pages(spark, d))[2]
 
 
 def page_results(spark, d):
-    """National sums of the page's results by party and bloc."""
-    votes = extract.election(tables.election_page(spark, d))[1]
-    inside = [results.in_bloc(F.col("party"), b).alias(b.code) for b in BLOCS]
-    return results.ranked_parties(votes).select("party", "votes", *inside)
+    """The seat table of all pages at once, seats told apart by page."""
+    seats, votes, _ = extract.elections(tables.election_pages(spark, d))
+    return results.seat_results(seats, votes, BLOCS)
 
 
 def marked_objects(spark, d):
@@ -218,42 +232,51 @@ def same_seat_keys(spark, d):
 
 
 def boundary_features(spark, d):
-    """Features of a boundary collection: names that are there, null or missing; geometry as it stands."""
-    key = F.col("n_nationkey")
-    props = F.when(key % 6 == 5, F.lit('"cst_n":null,')).when(key % 6 == 4, F.lit("")).otherwise(F.concat(F.lit('"cst_n":"'), F.col("n_name"), F.lit('",')))
-    one = F.concat(F.lit('{"type":"Feature","properties":{'), props, F.lit('"cst":'), key.cast("string"), F.lit('},"geometry":{"type":"Point","coordinates":['), key.cast("string"), F.lit(",23]}}"))
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", one.alias("x")))), lambda e: e["x"]), ",")
-    text = table(spark, d, "nation").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}")).alias("value"))
-    rows = boundaries.features_of(text)
-    return rows.select(F.col("feature_pos").cast("long").alias("feature_pos"), "raw_name", F.element_at("properties", "cst").alias("cst"), F.size("properties").cast("long").alias("n_properties"), "geometry")
+    """Features of boundary collections: names that are there, null or missing; geometry as it stands."""
+    rows = boundaries.features_of(tables.boundary_texts(spark, d), "value", "source")
+    return rows.select("source", F.col("feature_pos").cast("long").alias("feature_pos"), "raw_name", F.element_at("properties", "cst").alias("cst"), F.size("properties").cast("long").alias("n_properties"), "geometry")
 
 
-BLOC_CONFIG = """{"a": {"display_name": "A", "keywords": ["Front", "ALLIANCE"], "color_scale": ["#FFFFCC", "#0060C9"]}, "b": {"keywords": [], "color_scale": ["#FFFFCC"]}, "c": {"display_name": "C", "derived": ["a", "b"]}}"""
+def bloc_config(spark, d):
+    """Configurations, one a region, as they are understood."""
+    rows = blocs.bloc_rows(tables.config_texts(spark, d), "page")
+    return rows.select("page", F.col("place").cast("long").alias("place"), "code", "display_name", F.array_join("keywords", ",").alias("keywords"), "low", "high", F.coalesce(F.array_join("pair", "/"), F.lit("")).alias("pair"))
 
 
-def bloc_config(spark, d):
-    """A configuration as it is understood."""
-    rows = [(b.code, b.display_name, ",".join(b.keywords), *b.gradient, "/".join(b.pair or ())) for b in blocs.parse_blocs(BLOC_CONFIG)]
-    return spark.createDataFrame(rows, "code string, display_name string, keywords string, low string, high string, pair string")
+def seat_code_votes(spark, d):
+    """What blocs have in each seat, from keywords that are a table; blocs overlap."""
+    return keywords.seat_code_votes(_votes(spark, d), tables.region_blocs(spark, d))
+
+
+def keyword_table_documents(spark, d):
+    """How many documents hold one of an item's pairs of words: some thousand keywords over all texts."""
+    words = F.split("text", " ")
+    pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    table_ = table(spark, d, "benchmark").select(F.col("item_id").alias("code"), F.explode(pairs).alias("keyword"))
+    found = keywords.text_codes(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), table_)
+    return found.groupBy("code").agg(F.count("*").alias("documents"))
 
 
-def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
+def _written(spark: SparkSession, df: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """Written in order, read back, with each row's number in the order it was read in."""
     path = files.scratch(spark, "csv")
-    files.write_csv(df, path)
-    return files.read_csv(spark, path, df.schema)
+    told = files.write_ordered_csv(df, path, order)
+    rows = exchange.numbered(files.read_csv(spark, path, df.drop(*order).schema, row_pos=True), ["row_pos"], "place").drop("row_pos")
+    return rows.withColumn("written", F.lit(told["rows"]).cast("long"))
 
 
 def csv_round_trip(spark, d):
-    """The seat table written as CSV and read back, row by row."""
+    """The seat table written as CSV and read back, row by row, in its order."""
     return _written(spark, results.seat_results(tables.seats(spark, d), _votes(spark, d), BLOCS))
 
 
 def csv_round_trip_votes(spark, d):
-    """The other two result tables written as CSV and read back, row by row."""
+    """The other two result tables written as CSV and read back, row by row, in their order."""
     votes = _votes(spark, d)
-    nation = _written(spark, results.ranked_parties(votes)).select(F.lit("party_totals").alias("result"), F.lit(None).cast("string").alias("seat_id"), F.lit(None).cast("string").alias("seat_name"), "party", "votes")
-    seats = _written(spark, results.party_by_seat(votes)).select(F.lit("party_by_seat").alias("result"), "seat_id", "seat_name", "party", "votes")
-    return nation.union(seats)
+    shown = ("seat_id", "seat_name", "party", "votes", "place", "written")
+    nation = _written(spark, results.ranked_parties(votes)).withColumns({"seat_id": F.lit(None).cast("string"), "seat_name": F.lit(None).cast("string")})
+    seats = _written(spark, results.party_by_seat(votes), ("seat_pos", "res_pos"))
+    return nation.select(F.lit("party_totals").alias("result"), *shown).union(seats.select(F.lit("party_by_seat").alias("result"), *shown))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -261,7 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         vote_rows, null_votes_filtered, candidate_last_wins, party_by_seat, party_totals, top_parties, distinct_parties, seat_totals, seat_party_long, seat_party_wide,
         party_bloc_match, seat_bloc_votes, seat_rank_top3, seat_top3_candidates, seat_top3_parties, seat_results, script_payload, page_guard, brace_slice, props_votes,
-        seat_keys, pair_share, feature_join, fill_linear, fill_palette, tooltip_html, legend, candidate_name, keyword_documents, csv_round_trip, csv_round_trip_votes,
-        page_votes, page_seats, page_results, marked_objects, same_seat_keys, boundary_features, bloc_config,
+        seat_keys, pair_share, feature_join, feature_join_stored, fill_linear, fill_palette, tooltip_html, legend, candidate_name, keyword_documents, csv_round_trip, csv_round_trip_votes,
+        page_votes, page_seats, page_results, page_errors, marked_objects, same_seat_keys, boundary_features, bloc_config, seat_code_votes, keyword_table_documents,
     )
 }

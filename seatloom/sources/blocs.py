@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seatloom.functions.colors import DEFAULT_GRADIENT
 
@@ -37,3 +38,19 @@ def parse_blocs(text: str) -> list[Bloc]:
 def read_blocs(spark: SparkSession, path: str) -> list[Bloc]:
     """A handful of entries that shape the plans, so they live on the driver; read by Spark from any file system."""
     return parse_blocs(spark.read.text(path, wholetext=True).first().value)
+
+
+_CONFIG = "map<string,struct<display_name:string,keywords:array<string>,color_scale:array<string>,derived:array<string>>>"
+
+
+def bloc_rows(texts: DataFrame, *carried: str) -> DataFrame:
+    """Configurations (value) as a table, for blocs that are too many to live on the driver: the columns named, place (in the
+    configuration), code, display_name, keywords, low, high, pair; with bloc()'s defaults."""
+    rows = texts.select(*carried, F.posexplode(F.map_entries(F.from_json("value", _CONFIG))).alias("place", "e"))
+    two = F.coalesce(F.size("e.value.color_scale") == 2, F.lit(False))
+    end = lambda i: F.when(two, F.get("e.value.color_scale", F.lit(i))).otherwise(DEFAULT_GRADIENT[i])
+    known = F.lit(None).cast("array<string>")
+    for code, pair in DERIVED.items():
+        known = F.when(F.col("e.key") == code, F.array(*map(F.lit, pair))).otherwise(known)
+    words = F.transform(F.coalesce("e.value.keywords", F.array().cast("array<string>")), lambda k: F.lower(k))
+    return rows.select(*carried, "place", F.col("e.key").alias("code"), F.coalesce("e.value.display_name", "e.key").alias("display_name"), words.alias("keywords"), end(0).alias("low"), end(1).alias("high"), F.coalesce("e.value.derived", known).alias("pair"))

@@ -115,3 +115,26 @@ def test_rounding_and_bloc_overlap(spark):
     assert row.top_three == "x (93.8%), Front Alliance (6.2%)" and row.one_ratio == row.two_ratio == 1 / 16
     assert row.none_votes == row.missing_votes == 0
     assert sorted((r.party, r.code) for r in results.party_blocs(votes, BLOCS).collect()) == [("Front Alliance", "one"), ("Front Alliance", "two")]
+
+
+def test_many_pages_and_what_is_wrong_with_them(spark):
+    """Pages with the same seat ids: each gives what it gives alone; those that can't be read are told, the others go on."""
+    made = {f"p{i}": random_election(random.Random(100 + i)) for i in range(4)}
+    bad = {"cut": page("{")[:90] + "</script>", "none": "<html><script>nothing</script></html>", "text": page('{"constituencies": {,}}'), "shape": page('{"constituencies": [1], "candidates": {}}'), "null": None}
+    odd = '{"constituencies": {"7": {"seat_name": "n", "election_results": {"1": {"votes": 3}, "2": {"votes": "12"}, "3": {"votes": 1.5}}}}, "candidates": {}}'
+    table = [*[(u, page(d)) for u, d in made.items()], *bad.items(), ("odd", page(odd))]
+    seats, votes, errors = (x.cache() for x in extract.elections(spark.createDataFrame(table, "url string, html string").repartition(4)))
+    whole = results.seat_results(seats, votes, BLOCS).collect()
+    for url, document in made.items():
+        want, _, long = plain.election(document, BLOCS)
+        # parties named like a fixed column take its place in the whole table, on whichever page they are
+        shown = [k for k in want[0] if k not in ("total_votes", "one_votes")]
+        assert [as_text({k: r[k] for k in shown}) for r in whole if r.page == url] == [as_text({k: w[k] for k in shown}) for w in want]
+        rows = results.party_by_seat(votes).where(F.col("page") == url).orderBy("seat_pos", "res_pos").collect()
+        assert [(r.seat_id, r.seat_number, r.seat_name, r.party, r.votes) for r in rows] == long
+    told = sorted((r.page, r.seat_id, r.error) for r in errors.collect() if r.page is not None)
+    assert told == sorted([("cut", None, extract.UNBALANCED), ("none", None, extract.NO_SCRIPT), ("null", None, extract.NO_SCRIPT), ("odd", "7", extract.BAD_VOTES + "7"), ("odd", "7", extract.BAD_VOTES + "7"), ("shape", None, extract.NOT_JSON), ("text", None, extract.NOT_JSON)], key=lambda x: (x[0], x[1] or "", x[2]))
+    assert [(r.votes, r.page) for r in votes.where("page = 'odd'").collect()] == [(3, "odd")]
+    long = {(r.page, r.seat_id, r.party): r.votes for r in results.seat_party(seats, votes).collect()}
+    assert len(long) == seats.count() * votes.select("party").distinct().count() and sum(long.values()) == votes.agg(F.sum("votes")).first()[0]
+    assert extract.elections(spark.createDataFrame([], "url string, html string"))[2].count() == 0

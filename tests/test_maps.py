@@ -1,14 +1,12 @@
 import csv
 import json
-import threading
-import urllib.request
 
 from pyspark.sql import functions as F
 
 from seatloom import cli
 from seatloom.functions import colors
-from seatloom.operators import choropleth
-from seatloom.sources import blocs, boundaries, files, pages
+from seatloom.operators import choropleth, exchange
+from seatloom.sources import blocs, boundaries, files, map_pages, pages
 from tests import plain, test_election
 
 GEO = {
@@ -86,7 +84,7 @@ def test_command_line_round_trip(spark, tmp_path, monkeypatch):
     assert back[1].seat_name == 'Quote "q", comma' and back[0].one_ratio == 0.75
     cli.main(["maps", "--config", str(tmp_path / "blocs.json"), "--results_csv", out["seat_results"], "--geojson", str(tmp_path / "geo.json"), "--output_dir", str(tmp_path / "site")])
     page = (tmp_path / "site" / "maps" / "one.html").read_text()
-    made = json.loads(page.split("const features = ")[1].split(", ramps = ")[0])
+    made = json.loads(page.split("const features = ")[1].split("\n];")[0].rstrip(",\n") + "]")
     assert len(made) == 7 and made[0]["properties"]["ratio"] == 0.75 and set(made[0]["properties"]["fills"]) == {"default", *colors.PALETTES} and "fills" not in made[3]["properties"]
     index = (tmp_path / "site" / "index.html").read_text()
     assert '<option value="pair" selected>' in index and '<option value="blue_yellow" selected>Blue to Yellow' in index and index.count(" selected") == 2 and "Boundaries:" in index
@@ -100,25 +98,54 @@ def test_config_and_files(spark, tmp_path):
     (tmp_path / "r.csv").write_text("seat_name,one_ratio\nNA,0.5\n,\n")
     rows = files.read_seat_results(spark, str(tmp_path / "r.csv")).collect()
     assert [(r.seat_name, r.one_ratio) for r in rows] == [(None, 0.5), (None, None)]
-    files.write_one_csv(spark.createDataFrame([], "party string, votes long"), str(tmp_path / "e.csv"))
+    files.write_ordered_csv(spark.createDataFrame([], "party string, votes long"), str(tmp_path / "e.csv"))
     assert (tmp_path / "e.csv").read_text().strip() == "party,votes"
 
 
-def test_serve(tmp_path):
-    import socket
-
-    from seatloom import serve
-
-    (tmp_path / "a.txt").write_text("hello")
-    with socket.socket() as s:
-        s.bind(("", 0))
-        port = s.getsockname()[1]
-    threading.Thread(target=serve.serve, args=(str(tmp_path), port), daemon=True).start()
-    for _ in range(50):
-        try:
-            assert urllib.request.urlopen(f"http://127.0.0.1:{port}/a.txt", timeout=2).read() == b"hello"
-            break
-        except OSError:
-            threading.Event().wait(0.1)
-    else:
-        raise AssertionError("no answer")
+def test_results_in_order_over_many_files(spark, tmp_path):
+    """A table that more than one task writes: numbered part files, each with the header, read back in the order they hold; of
+    seats with one key the last row of the last file holds."""
+    n = 3000
+    rows = spark.range(n).select((F.lit(n - 1) - F.col("id")).alias("pos"), F.concat(F.lit("Seat "), (F.col("id") % 7).cast("string")).alias("seat_name"), (F.col("id") / n).alias("one_ratio"), F.col("id").alias("own_votes")).repartition(8)
+    path = str(tmp_path / "r.csv")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        told = files.write_ordered_csv(rows, path, ["pos"], {"votes": F.sum("own_votes")})
+        assert told == {"rows": n, "votes": n * (n - 1) // 2} and len([x for x in (tmp_path / "r.csv").iterdir() if x.name.startswith("part-")]) == 4
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        back = files.read_seat_results(spark, path)
+        assert back.rdd.getNumPartitions() > 5
+        assert [r.own_votes for r in back.orderBy("row_pos").collect()] == list(range(n - 1, -1, -1))
+        shares = {r.seat_key: r.ratio for r in choropleth.seat_shares(back, test_election.BLOCS[:1]).collect()}
+        assert shares == {f"seat {k}": k / n for k in range(7)}
+        exact = exchange.numbered(back, ["row_pos"], "place")
+        assert all(r.place == n - 1 - r.own_votes for r in exact.select("place", "own_votes").collect())
+        plan = back._jdf.queryExecution().executedPlan().toString()
+        assert "Coalesce" not in plan and "Exchange" not in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_map_pages_are_written_by_tasks(spark, tmp_path):
+    """Two collections' worth of features, in order, scripts closed safely, codes that no path could hold; no rows to the driver."""
+    bad = {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"cst_n": "</script>", "seat_key": "own"}, "geometry": {"type": "Point", "note": "</script>", "coordinates": [1, 2]}}] * 40}
+    known = [*test_election.BLOCS[:2], test_election.BLOCS[4]]
+    rows = features(spark).union(boundaries.features_of(spark.createDataFrame([(json.dumps(bad),)], "value string")).withColumn("feature_pos", F.col("feature_pos") + 7))
+    paths = map_pages.write_maps(rows, table(spark), known, str(tmp_path / "site"))
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["one.html", "two.html", "pair.html"] and sorted(x.name for x in (tmp_path / "site").iterdir() if x.name[0] != ".") == ["index.html", "maps"]
+    for p in paths:
+        with open(p, encoding="utf-8") as f:
+            page = f.read()
+        made = json.loads(page.split("const features = ")[1].split("\n];")[0].rstrip(",\n") + "]")
+        assert len(made) == 47 and page.count("</script>") == 2 and [f["properties"].get("cst") for f in made[:6]] == [str(i) for i in range(6)]
+        assert made[0]["geometry"]["coordinates"][0] == 90.0 and made[7]["properties"]["cst_n"] == "</script>" and made[7]["properties"]["seat_key"] == "script" and made[6]["geometry"] is None
+
+
+def test_legends_and_configurations_as_tables(spark):
+    rows = blocs.bloc_rows(spark.createDataFrame([(test_election.CONFIG,)], "value string")).orderBy("place").collect()
+    assert [(r.code, r.display_name, tuple(r.keywords), (r.low, r.high), tuple(r.pair) if r.pair else None) for r in rows] == [(b.code, b.display_name, b.keywords, b.gradient, b.pair) for b in test_election.BLOCS]
+    words = choropleth.legends(blocs.bloc_rows(spark.createDataFrame([(test_election.CONFIG,)], "value string"))).collect()
+    assert {r.code: {k: r[k] for k in ("title", "subtitle", "no_data", "low_label", "high_label")} for r in words} == {b.code: w for b, w in zip(test_election.BLOCS, choropleth.legend_words(test_election.BLOCS), strict=True)}

@@ -15,7 +15,7 @@ def con():
 
 
 def test_names():
-    assert set(ORACLE) == set(QUERIES) and len(QUERIES) == 38
+    assert set(ORACLE) == set(QUERIES) and len(QUERIES) == 42
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -31,7 +31,7 @@ def test_entry(spark):
 
 
 def test_no_cross_or_nested_loop_joins_and_no_python(spark):
-    for name in ("seat_results", "seat_party_long", "party_bloc_match", "fill_palette", "keyword_documents"):
+    for name in ("seat_results", "seat_party_long", "party_bloc_match", "fill_palette", "keyword_documents", "page_results", "seat_code_votes", "keyword_table_documents"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan, name
 
@@ -45,6 +45,29 @@ def test_orders_are_read_once_and_rankings_are_cut_early(spark):
         assert plan.count("orders.parquet") == 1 and "ReusedExchange" in plan and "WindowGroupLimit" in plan, name
 
 
+def test_pages_are_never_brought_together(spark):
+    """Every group of the page queries is within a page: no plan has a group of all rows."""
+    for name in ("page_votes", "page_results", "page_errors", "boundary_features"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan, name
+
+
+def test_stored_sides_are_joined_where_they_lie(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["feature_join_stored"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_long_form_reads_votes_once(spark):
+    """Names stay where they are: the votes' table is scanned by one job, into a table that the plan goes on from."""
+    plan = QUERIES["seat_party_long"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "orders.parquet" not in plan and "customer.parquet" not in plan
+
+
 def test_columns_are_pruned(spark):
     plan = QUERIES["keyword_documents"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<text:string,source:string>" in plan
