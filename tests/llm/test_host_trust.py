@@ -72,7 +72,7 @@ def test_random_graphs(spark):
         seeds = spark.createDataFrame([("a", 3, 0), ("b", 1, 2), ("c", 0, 7)], "host string, allowed long, blocked long")
         links = spark.createDataFrame([("a", "b", 2), ("b", "c", 1), ("c", "a", 5), ("c", "d", 1)], "src string, dst string, weight long")
         found = {r.host: (r.trust, r.distrust) for r in h.spread(seeds, links, steps).collect()}
-        assert set(found) == set("abcd"[: 3 + (steps > 0)]) and sum(map(sum, found.values())) <= h.SCALE
+        assert set(found) == set("abcd"[: 3 + (steps > 2)]) and sum(map(sum, found.values())) <= h.SCALE
 
 
 def test_other_rules_and_a_hot_host(spark):
