@@ -7,9 +7,10 @@ number of rows in a batch nor one very long text decides how much memory a task
 from __future__ import annotations
 
 import ctypes
-import gc
 import re
+import threading
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +29,70 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return scratch(spark, name)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder: computed once, and a lost executor costs no recompute."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+class _Steps(threading.local):
+    """Of each open step, the innermost last, the paths of the tables that were cut in it."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
 
+_steps = _Steps()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files and checkpoints of tables that nothing refers to any more. Its cleaner waits for the
-    driver's garbage collection, which a driver that holds little data may not need for a long time."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise in the shared checkpoint folder: computed once, and a lost executor costs no recompute. Inside a step()
+    the table goes with the step."""
+    shared_root(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    if _steps.open:
+        _steps.open[-1].append(_written_at(out))
+    return out
+
+
+def _written_at(table: DataFrame) -> str:
+    """Where cut() has put a table."""
+    return table._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def step(spark: SparkSession) -> Iterator[None]:
+    """A part of a job that needs disk of its own: the tables cut in it are deleted at its end, but for those handed to keep();
+    a query's shuffle files are deleted when it has run."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    _steps.open.append([])
+    try:
+        yield
+    finally:
+        for path in _steps.open.pop():
+            _delete(spark, path)
+        spark.conf.set(_CLEANUP, before)
+
+
+def keep(table: DataFrame) -> DataFrame:
+    """A table that was cut in the innermost step belongs to the step around it (or to nobody) from now on."""
+    path = _written_at(table)
+    if _steps.open and path in _steps.open[-1]:
+        _steps.open[-1].remove(path)
+        if len(_steps.open) > 1:
+            _steps.open[-2].append(path)
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that were cut and that nothing will read again."""
+    for table in tables:
+        path = _written_at(table)
+        for made in _steps.open:
+            if path in made:
+                made.remove(path)
+        _delete(table.sparkSession, path)
 
 
 def bound_batches(spark: SparkSession) -> None:

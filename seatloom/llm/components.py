@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import cut, tidy
+from seatloom.llm.common import cut, drop, keep, step, tidy
 
 #: Edges that one task contracts at a time.
 EDGES = 200_000
@@ -34,10 +34,12 @@ def forest(edges: list[tuple[int, int]]) -> dict[int, int]:
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition's edges as stars: every node to the root of its tree."""
     edges: list[tuple[int, int]] = []
+    most = EDGES
     for batch in batches:
         edges += zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True)
-        if len(edges) > EDGES:
+        if len(edges) > most:
             edges = [(x, r) for x, r in forest(edges).items() if x != r]
+            most = max(EDGES, 2 * len(edges))  # so that all contractions together cost no more than twice the edges
     roots = [(x, r) for x, r in forest(edges).items() if x != r]
     for i in range(0, len(roots), 10_000):
         part = roots[i : i + 10_000]
@@ -52,22 +54,25 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     minima are pre-aggregated before they are shuffled, and a node with very many neighbours is only ever the
     many-row side of a join that adaptive execution may split.
     """
-    parts = -(-edges.count() // EDGES)
-    stars = cut(edges.where("u <> v").coalesce(max(1, parts)).mapInArrow(tidy(_contract), "u long, v long"))
-    before = None
-    for _ in range(most_rounds if parts > 1 else 0):
-        both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.where("u > v")
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct().coalesce(parts))
-        now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    else:
-        if parts > 1:
-            raise RuntimeError("components did not settle")
-    return cut(stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select("v", "v")).distinct().coalesce(max(1, parts)))
+    spark = edges.sparkSession
+    with step(spark):
+        parts = -(-edges.count() // EDGES)
+        stars = cut(edges.where("u <> v").coalesce(max(1, parts)).mapInArrow(tidy(_contract), "u long, v long"))
+        before = None
+        for _ in range(most_rounds if parts > 1 else 0):
+            both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+            large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            down = large.where("u > v")
+            least = down.groupBy("u").agg(F.min("v").alias("m"))
+            small = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            old, stars = stars, cut(small.union(least.select("u", F.col("m").alias("v"))).distinct().coalesce(parts))
+            drop(old)
+            now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if now == before:
+                break
+            before = now
+        else:
+            if parts > 1:
+                raise RuntimeError("components did not settle")
+        return keep(cut(stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select("v", "v")).distinct().coalesce(max(1, parts))))

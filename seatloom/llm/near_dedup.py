@@ -16,7 +16,10 @@ Texts are read twice (signatures; sets of candidates only, told by a bit set of
 many rows a key have a materialised side with one row a key, so adaptive execution can split hot keys.
 
 A document may be known by a second text (``keep_one``'s `also`): the text it had before lines were cut out of it.
-It is linked by both, so copies that the cut has made unlike each other are still found.
+It is linked by both, so copies that the cut has made unlike each other are still found. Which text was whose is told by
+doc_ids, or row by row where rows share a doc_id or have none.
+
+Tables between the steps are deleted when nothing reads them any more, shuffle files when their query has run.
 
 Defined cases: null or empty text has no shingles and is linked with nothing; one to four words are one shingle.
 Rows that share a doc_id are documents of their own. In ``near_duplicates`` a null doc_id links nothing, has a null
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, release, slices, small_side, text_digest, tidy, windows
+from seatloom.llm.common import NONSPACE, bound_batches, cut, drop, fields, keep, mix, slices, small_side, step, text_digest, tidy, windows
 from seatloom.llm.components import components
 from seatloom.llm.decontaminate import bit_set, may_hold
 
@@ -181,7 +184,7 @@ class Links:
     """Verified links so far and the components they make."""
 
     def __init__(self):
-        self.sets = self.edges = self.parts = None
+        self.sets = self.parts = None
 
     def labelled(self, rows: DataFrame, name: str, out: str) -> DataFrame:
         """rows with the component of the node in column name (itself if it has no link)."""
@@ -195,16 +198,21 @@ class Links:
         pairs = pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if self.parts is not None:
             pairs = self.labelled(self.labelled(pairs, "u", "pu"), "v", "pv").where("pu <> pv").select("u", "v")
-        pairs = cut(pairs)
-        if not pairs.isEmpty():
-            self.unite(cut(verified(pairs, self.sets)))
+        with step(pairs.sparkSession):
+            pairs = cut(pairs)
+            if not pairs.isEmpty():
+                self.unite(cut(verified(pairs, self.sets)))
 
     def unite(self, found: DataFrame) -> None:
         """Add links (u, v), a materialised table."""
         if found.isEmpty():
             return
-        self.edges = found if self.parts is None else self.parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).union(found)
-        self.parts = components(self.edges)
+        old, edges = self.parts, found
+        if old is not None:
+            edges = old.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).union(found)
+        self.parts = keep(components(edges))
+        if old is not None:
+            drop(old)
 
     def unsettled(self, rows: DataFrame) -> DataFrame:
         """Of bucket rows (key, node, n): those of buckets that hold several components, with part and the bucket's size."""
@@ -314,8 +322,9 @@ def _told_apart(heads: DataFrame, links: Links) -> DataFrame:
     the two texts of one document, have nothing to tell."""
     keyed = links.labelled(heads.select("node", "n", "bands"), "node", "part")
     ends = keyed.select("part", F.explode("bands").alias("key")).groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    rows = bucket_rows(heads, cut(ends.where("low < high").select("key")))
-    return cut(rows.join(rows.groupBy("key").agg(F.count("*").alias("members")), "key"))
+    with step(heads.sparkSession):
+        rows = bucket_rows(heads, cut(ends.where("low < high").select("key")))
+        return keep(cut(rows.join(rows.groupBy("key").agg(F.count("*").alias("members")), "key")))
 
 
 def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None = None) -> DataFrame | None:
@@ -324,37 +333,37 @@ def linked_components(docs: DataFrame, base: DataFrame, ties: DataFrame | None =
     base: signatures() of docs, materialised. ties: pairs of sets (a1, a2, b1, b2) that belong together anyway."""
     known = base.where("n_shingles > 0 and doc_id is not null")
     heads = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    heads = cut(heads.withColumn("node", F.monotonically_increasing_id()))
-    links = Links()
-    if ties is not None:
-        named = lambda x, y: heads.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("node").alias(y))
-        links.unite(cut(ties.join(named("a", "u"), ["a1", "a2"]).join(named("b", "v"), ["b1", "b2"]).select("u", "v").distinct()))
-    rows = _told_apart(heads, links)
-    crowd = cut(rows.groupBy("node").agg(F.sum("members").alias("crowd")))
-    alike = cut(heads.join(crowd, "node").select("node", "d1", "d2", "doc_id"))
-    links.sets = cut(candidate_sets(docs, alike))
-    release(docs.sparkSession)
-    rows = rows.select("key", "node", "n")
-    pairs = cut(star(rows.join(crowd, "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
-    # of each node the bucket head it shares most bands with comes first: that settles nearly all
-    links.verify(pairs.groupBy("v").agg(F.max_by("u", F.struct("bands", "u")).alias("u")).select("u", "v"))
-    release(docs.sparkSession)
-    links.verify(pairs.select("u", "v"))
-    release(docs.sparkSession)
-    left = links.unsettled(rows)
-    if not left.isEmpty():
-        links.verify(across(left.where(F.col("members") <= PAIRED)))
-        release(docs.sparkSession)
-        large = left.where(F.col("members") > PAIRED).drop("part")
-        if not large.isEmpty():
-            large = links.unsettled(large.select("key", "node", "n"))
-            links.verify(prefix_pairs(large, links.sets))
-            release(docs.sparkSession)
-    if links.parts is None:
-        return None
-    members = cut(links.parts.join(heads.select("node", "d1", "d2"), "node").select("component", "d1", "d2"))
-    least = cut(members.groupBy("component").agg(F.min(F.struct("d1", "d2")).alias("c")))
-    return cut(members.join(least, "component").select("d1", "d2", F.col("c.d1").alias("c1"), F.col("c.d2").alias("c2")))
+    with step(docs.sparkSession):
+        heads = cut(heads.withColumn("node", F.monotonically_increasing_id()))
+        links = Links()
+        if ties is not None:
+            named = lambda x, y: heads.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("node").alias(y))
+            links.unite(cut(ties.join(named("a", "u"), ["a1", "a2"]).join(named("b", "v"), ["b1", "b2"]).select("u", "v").distinct()))
+        rows = _told_apart(heads, links)
+        crowd = cut(rows.groupBy("node").agg(F.sum("members").alias("crowd")))
+        alike = cut(heads.join(crowd, "node").select("node", "d1", "d2", "doc_id"))
+        names = cut(heads.select("node", "d1", "d2"))
+        drop(heads)  # the bands, of which rows has what matters
+        links.sets = cut(candidate_sets(docs, alike))
+        drop(alike)
+        rows = rows.select("key", "node", "n")
+        pairs = cut(star(rows.join(crowd, "node")).groupBy("u", "v").agg(F.count("*").alias("bands")))
+        # of each node the bucket head it shares most bands with comes first: that settles nearly all
+        links.verify(pairs.groupBy("v").agg(F.max_by("u", F.struct("bands", "u")).alias("u")).select("u", "v"))
+        links.verify(pairs.select("u", "v"))
+        drop(pairs)
+        left = links.unsettled(rows)
+        if not left.isEmpty():
+            links.verify(across(left.where(F.col("members") <= PAIRED)))
+            large = left.where(F.col("members") > PAIRED).drop("part")
+            if not large.isEmpty():
+                large = links.unsettled(large.select("key", "node", "n"))
+                links.verify(prefix_pairs(large, links.sets))
+        if links.parts is None:
+            return None
+        members = cut(links.parts.join(names, "node").select("component", "d1", "d2"))
+        least = cut(members.groupBy("component").agg(F.min(F.struct("d1", "d2")).alias("c")))
+        return keep(cut(members.join(least, "component").select("d1", "d2", F.col("c.d1").alias("c1"), F.col("c.d2").alias("c2"))))
 
 
 def _in_components(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -367,52 +376,61 @@ def _in_components(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept (it is that one)."""
     bound_batches(docs.sparkSession)
-    base = cut(signatures(docs))
-    parts = linked_components(docs, base)
-    rows = base.select("doc_id", "n_shingles", "d1", "d2")
-    full = _in_components(rows.where("n_shingles > 0"), parts)
-    least = cut(full.groupBy("c1", "c2").agg(F.min("doc_id").alias("component_id")))
+    with step(docs.sparkSession):
+        base = cut(signatures(docs))
+        parts = linked_components(docs, base)
+        rows = keep(cut(base.select("doc_id", "n_shingles", "d1", "d2")))
+        full = _in_components(rows.where("n_shingles > 0"), None if parts is None else keep(parts))
+        least = keep(cut(full.groupBy("c1", "c2").agg(F.min("doc_id").alias("component_id"))))
     full = full.join(least, ["c1", "c2"]).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
     rows = full.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _other_texts(named: DataFrame, also: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text) of also, and a row of signatures() for each that has another text than its document.
+def row_number_of(text: str = "text") -> Column:
+    """What a row is known by beside its text: its doc_id, or without one a number made from the text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col(text).cast("string")))
+
+
+def _pairs_by_id(named: DataFrame, other: DataFrame) -> DataFrame:
+    """(a_id, t, b_id, s): texts (by digest) of one doc_id that one row in either table has."""
+    alone = lambda rows, x: rows.where("own_id is not null").groupBy("own_id").agg(F.count("*").alias("n"), F.min("digest").alias(x)).where("n = 1").drop("n")
+    return alone(named, "t").join(alone(other, "s"), "own_id").select(F.col("own_id").alias("a_id"), "t", F.col("own_id").alias("b_id"), "s")
 
-    A doc_id that several rows of either table have, and a missing one, says nothing about whose text it is."""
-    spark = named.sparkSession
-    alone = lambda rows, x: rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("digest").alias(x)).where("n = 1").drop("n")
-    other = fields(also, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    mine = named.where("own_id is not null").select(F.col("own_id").alias("doc_id"), "digest")
-    ids = cut(alone(mine, "a").join(alone(other.select("doc_id", text_digest().alias("digest")), "b"), "doc_id").where("a <> b").select("doc_id"))
-    bits = spark.sparkContext.broadcast(bit_set(_id_hashes(ids)))
-    return other, cut(signatures(other, bits=bits).join(ids, "doc_id", "left_semi").where("n_shingles > 0"))
 
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select(row_number_of().alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("own_id"), text_digest().alias("digest"))
 
-def keep_one(docs: DataFrame, also: DataFrame | None = None) -> DataFrame:
+
+def keep_one(docs: DataFrame, also: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """One row of each group of near duplicates stays, that with the smallest doc_id (of equal ones, by a digest of the
     text; rows without doc_id come last). Rows are told apart by doc_id and text; of rows equal in both one stays.
 
-    also: (doc_id, text), second texts of the documents whose doc_id one row here and one row there have."""
-    bound_batches(docs.sparkSession)
-    # what rows without doc_id are linked by is a number made from their text
-    number = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
-    named = docs.select(number.alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("own_id"), text_digest().alias("digest"))
-    base = cut(signatures(named, "own_id", "digest"))
-    texts, known, ties = named.select("doc_id", "text"), base.drop("own_id", "digest"), None  # of texts, only those of known sets are looked at
-    if also is not None:
-        other, seen = _other_texts(named, also)
-        own = base.where("own_id is not null and n_shingles > 0").select(F.col("own_id").alias("doc_id"), F.col("d1").alias("a1"), F.col("d2").alias("a2"))
-        ties = own.join(seen.select("doc_id", F.col("d1").alias("b1"), F.col("d2").alias("b2")), "doc_id").select("a1", "a2", "b1", "b2")
-        texts, known = texts.union(other), known.union(seen)
-    parts = linked_components(texts, known, ties)
-    rows = base.where("n_shingles > 0").select("d1", "d2", F.struct(F.col("own_id").isNull().alias("none"), "own_id", "digest").alias("name"))
-    # a row for each (doc_id, text) before the join, so that no number of equal rows weighs there
-    rows = rows.groupBy("d1", "d2", "name").agg(F.count("*").alias("copies"))
-    rows = cut(_in_components(rows, parts).select("c1", "c2", "name", "copies"))
-    least = cut(rows.groupBy("c1", "c2").agg(F.min("name").alias("first")))
-    judged = cut(rows.join(least, ["c1", "c2"]).select("name", "copies", (F.col("name") == F.col("first")).alias("kept")).where("not kept or copies > 1"))
+    also: (doc_id, text), second texts of the documents. Whose they are is told by doc_ids that one row here and one row there
+    have, and for others by pairs (a_id, t, b_id, s): row_number_of() and text_digest() of a row here and of one there."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    named = _named(docs)
+    with step(spark):
+        base = cut(signatures(named, "own_id", "digest"))
+        texts, known, ties = named.select("doc_id", "text"), base.drop("own_id", "digest"), None  # of texts, only those of known sets are looked at
+        if also is not None:
+            other = _named(also)
+            both = _pairs_by_id(named, other)
+            both = cut((both if pairs is None else both.union(pairs.select("a_id", "t", "b_id", "s"))).where("t <> s").distinct())
+            bits = spark.sparkContext.broadcast(bit_set(_id_hashes(both.select(F.col("b_id").alias("doc_id")))))
+            theirs = both.select(F.col("b_id").alias("doc_id"), F.col("s").alias("digest")).distinct()
+            seen = cut(signatures(other, "digest", bits=bits).join(theirs, ["doc_id", "digest"], "left_semi").where("n_shingles > 0"))
+            own = base.where("n_shingles > 0").select(F.col("doc_id").alias("a_id"), F.col("digest").alias("t"), F.col("d1").alias("a1"), F.col("d2").alias("a2"))
+            ties = own.join(both, ["a_id", "t"]).join(seen.select(F.col("doc_id").alias("b_id"), F.col("digest").alias("s"), F.col("d1").alias("b1"), F.col("d2").alias("b2")), ["b_id", "s"]).select("a1", "a2", "b1", "b2")
+            texts, known = texts.union(other.select("doc_id", "text")), known.union(seen.drop("digest"))
+        parts = linked_components(texts, known, ties)
+        rows = base.where("n_shingles > 0").select("d1", "d2", F.struct(F.col("own_id").isNull().alias("none"), "own_id", "digest").alias("name"))
+        # a row for each (doc_id, text) before the join, so that no number of equal rows weighs there
+        rows = rows.groupBy("d1", "d2", "name").agg(F.count("*").alias("copies"))
+        rows = cut(_in_components(rows, parts).select("c1", "c2", "name", "copies"))
+        least = cut(rows.groupBy("c1", "c2").agg(F.min("name").alias("first")))
+        judged = keep(cut(rows.join(least, ["c1", "c2"]).select("name", "copies", (F.col("name") == F.col("first")).alias("kept")).where("not kept or copies > 1")))
 
     key = f"_key_{uuid.uuid4().hex[:8]}"
     whole = docs.withColumn(key, text_digest())

@@ -83,3 +83,38 @@ def test_stages_on_empty_tables(spark, corpus, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, str(tmp_path))
         assert out.count() == 0 and (name == "sentencepiece" or out.columns == docs.columns)
+
+
+def test_links_of_rows_that_share_a_doc_id(spark, tmp_path):
+    """Copies that the cut makes unlike each other are one group, whatever other rows have their doc_id, or none."""
+    r = random.Random(5)
+    line = lambda n=9: " ".join("".join(r.choice("bcdfghklmnprst") + r.choice("aeiou") for _ in range(3)) for _ in range(n))
+    body = [line() for _ in range(12)]
+    first, second = "\n".join([*body, "one end of it"]), "\n".join([*body, "another end here"])
+    fillers = [(10 + i, "\n".join(line() for _ in range(6))) for i in range(20)]
+    for ids in ((1, 2, 1), (1, 2, 2), (1, None, None)):
+        table = [(ids[0], first, 0), (ids[1], second, 1), (ids[2], "\n".join(line() for _ in range(5)), 2), *[(i, t, i) for i, t in fillers]]
+        d = f"{tmp_path}/{ids[1]}-{ids[2]}"
+        docs = spark.createDataFrame(table, "doc_id long, text string, row int")
+        docs.write.parquet(f"{d}/documents.parquet")
+        cut = f"{d}/cut"
+        corpus_pipeline.line_dedup_stage(spark, spark.read.parquet(f"{d}/documents.parquet"), d).write.parquet(cut)
+        kept = {x.row for x in corpus_pipeline.near_dedup_stage(spark, spark.read.parquet(cut), d).collect()}
+        assert kept == {0, 2, *range(10, 30)}, ids
+
+
+def test_tables_between_the_steps_are_gone(spark, tmp_path):
+    """A stage leaves what its result still reads; when that is written inside a step, nothing."""
+    from pathlib import Path
+
+    from seatloom.llm import common
+
+    common.shared_root(spark)
+    folder = Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    count = lambda: len([x for x in folder.iterdir() if x.name.startswith("rdd-")])
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i // 3) * 50 + k}" for k in range(40)) + f" x{i}") for i in range(60)], "doc_id long, text string")
+    before, setting = count(), spark.conf.get(common._CLEANUP, "false")
+    assert near_dedup.keep_one(docs).count() == 20 and count() - before == 1
+    with common.step(spark):
+        assert near_dedup.near_duplicates(docs).where("kept").count() == 20 and count() - before == 4
+    assert count() - before == 1 and spark.conf.get(common._CLEANUP) == setting
