@@ -7,8 +7,8 @@ whole document. A hidden layer reads each chunk; its units are pooled over all c
 by a logistic unit into one probability. The text is the only input.
 
 Training runs on a bounded sample of labelled rows: at most SAMPLE documents, those whose ids hash lowest, taken in that
-order while they hold at most SAMPLE_BYTES together; each is read whole. A document of more than LONGEST bytes isn't
-picked. Rows whose crc32(doc_id as text) leaves 0 modulo FOLDS are held out. Two networks learn, each from three quarters
+order while they hold at most SAMPLE_BYTES together; each is read whole, but one of more than LONGEST bytes by PIECES
+stretches spread evenly over it, which come to LONGEST bytes at most. Rows whose crc32(doc_id as text) leaves 0 modulo FOLDS are held out. Two networks learn, each from three quarters
 of the sample, with the two kinds of label weighing alike; their mean logit is scaled and shifted as fits the quarters that
 each hasn't seen. Every other time a text is met, a random stretch of it stands in for it. Scoring reads whole texts, a bounded slice at a time.
 
@@ -40,6 +40,7 @@ NEAR = (6, 12, REACH)
 KINDS = 1 + len(NEAR)
 EMBED, FILTERS, HIDDEN = 8, 32, 24
 SAMPLE, SAMPLE_BYTES, LONGEST, FOLDS = 4000, 64 << 20, 4 << 20, 5
+PIECES = 16
 STEPS, BATCH, RATE, DECAY = 1000, 32, 3e-3, 1e-4
 THRESHOLD = 0.3
 SLICE = 1 << 18
@@ -282,13 +283,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Pair | Cons
     rows = fields(docs, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     marks = rows.select("doc_id", F.struct(F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size")).alias("mark"))
     here = marks.join(known, "doc_id").groupBy("doc_id", "quality").agg(F.min("mark").alias("mark")).select("doc_id", "quality", "mark.*")
-    picked = here.where(F.col("size") <= LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    picked = here.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # a window over at most `sample` rows of numbers
-    total = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    total = F.sum(F.least("size", F.lit(LONGEST))).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
     picked = cut(picked.withColumn("total", total).where(F.col("total") <= SAMPLE_BYTES).drop("total"))
     joined = rows.join(F.broadcast(picked), "doc_id").where((F.xxhash64("text") == F.col("hash")) & (F.octet_length("text") == F.col("size")))
-    got = joined.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("text").alias("text")).toPandas().sort_values("doc_id")
-    return train([t.encode() for t in got["text"]], got["quality"].to_numpy(np.float32))
+    # a character has four bytes at most
+    length, stretch = F.length("text"), max(1, LONGEST // PIECES // 4)
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.substring(F.col("text"), (F.floor(i * (length - stretch) / (PIECES - 1)) + 1).cast("int"), F.lit(stretch)))
+    read = joined.withColumn("texts", F.when(F.col("size") > LONGEST, pieces).otherwise(F.array("text")))
+    got = read.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("texts").alias("texts")).toPandas().sort_values("doc_id")
+    each = [(t.encode(), q) for texts, q in zip(got["texts"], got["quality"], strict=True) for t in texts]
+    return train([t for t, _ in each], np.array([q for _, q in each], np.float32))
 
 
 def score(docs: DataFrame, net: Pair | Constant) -> DataFrame:

@@ -81,3 +81,20 @@ def test_odd_rows(spark):
     assert len(rows) == 5 and len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
     assert quality.classify(docs.limit(0), labels).count() == 0
     assert quality.classify(docs, labels.limit(0)).first().score == 0.5
+
+
+def test_long_labelled_documents_are_read_by_stretches(spark, monkeypatch):
+    """No labelled document is left out for its length: one over the bound teaches by stretches from all over it."""
+    seen = []
+    monkeypatch.setattr(quality, "LONGEST", 6400)
+    monkeypatch.setattr(quality, "train", lambda texts, labels, seed=7: seen.append((texts, labels)) or quality.Constant(0.5))
+    ids = [i for i in range(60) if not quality.held_out(i)][:6]
+    long = "".join(f"{k:05d}é" for k in range(5000))
+    docs = spark.createDataFrame([(i, long if n < 2 else f"short {i}") for n, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    quality.fit(docs, labels)
+    (texts, marks), = seen
+    assert len(texts) == len(marks) == 2 * quality.PIECES + 4
+    pieces = [t.decode() for t in texts if len(t) > 10]
+    assert len(pieces) == 2 * quality.PIECES and sum(map(len, texts)) <= 2 * 6400 + 60 and pieces[0].startswith("00000é") and pieces[quality.PIECES - 1].endswith("04999é")
+    assert all(p in long for p in pieces) and len(set(pieces)) == quality.PIECES
