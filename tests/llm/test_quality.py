@@ -63,15 +63,18 @@ def test_held_out_recall(spark, sf):
     assert len(held) > 40 and recall[0] >= 0.9 and recall[1] >= 0.95, recall
 
 
-def test_repeated_ids_have_one_text(spark):
-    """Whatever the order of the rows, the same text of a doc_id is learned from."""
+def test_repeated_ids_have_one_text(spark, monkeypatch):
+    """Whatever the order of the rows, the same text of a doc_id is learned from. Scores are sums of 32-bit numbers, whose last
+    bits follow which texts a batch lays out together."""
     rows = [(i % 7, f"text {i} " * 5) for i in range(21)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
-    got = []
+    got, learned, train = [], [], quality.train
+    monkeypatch.setattr(quality, "train", lambda texts, marks, seed=7: learned.append((texts, marks.tolist())) or train(texts, marks, seed))
     for order in (rows, rows[::-1]):
         docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
-        got.append({(r.doc_id, r.score) for r in quality.classify(docs.where("doc_id < 7"), labels).collect()})
-    assert got[0] == got[1]
+        got.append(sorted((r.doc_id, r.score) for r in quality.classify(docs.where("doc_id < 7"), labels).collect()))
+    assert learned[0] == learned[1] and [d for d, _ in got[0]] == [d for d, _ in got[1]]
+    assert np.allclose([x for _, x in got[0]], [x for _, x in got[1]], rtol=0, atol=1e-6)
 
 
 def test_odd_rows(spark):
