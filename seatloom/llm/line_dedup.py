@@ -12,24 +12,26 @@ part of the sequence and stay.
    counted (pre-aggregated before they are shuffled), the counts summed up in order inside each old rank, in buckets, so
    that one line that a third of all documents hold is spread. Suffixes whose rank is theirs alone, or that have ended, are
    settled and leave; the doubling ends when all have (``suffix_ranks``).
-3. Suffixes of one rank at 2^k lines are an interval of the array whose longest common prefix is at least 2^k. An
-   interval for n lines is told by two overlapping ones, at a position and where its last 2^k lines begin. A repeated run is
-   the union of its shortest stretches of MIN_WORDS words that begin or end at each of its lines; a stretch is a copy if
-   its interval holds an earlier position. Copied stretches that lie on one diagonal (the same distance to their first
-   copies) make a maximal run (``copied_runs``).
-
-A stretch has at most MIN_WORDS lines, as every line has a word. Deletion looks up no longer interval, so ``copies`` asks
-for ranks of no more lines than that; ``suffix_ranks`` by itself goes on to the end.
+3. A class of suffixes that share their first n lines and no more is an interval of the array, n its longest common prefix.
+   A suffix's deepest interval that it isn't the first place of is the longest run from there on that occurs earlier, and
+   that interval's first place is the first copy. The doubling gives each suffix's deepest such class by 2^k lines; n is
+   bisected from there, a bit at a time: a class splits by the ranks of the 2^j lines that come next. Of each part only the
+   first place stays in the class itself, as it is nearer to the corpus' begin than the rest of its part and shares as
+   much with anyone outside, so that rows don't multiply (``longest_copies``).
+4. A run from a place is maximal if the one from the place before doesn't hold it; it can't be extended to either side and
+   still be a copy. Maximal runs of MIN_WORDS words are told (``copied_runs``), and their lines deleted.
 
 Defined cases: null text stays null with 0 lines; empty text has one line and nothing to delete. Rows equal in doc_id
 and text are one document and are treated alike; null doc_ids come first in order. Extra columns are carried by
-``dedup_lines`` untouched whatever their names. An empty table gives no rows.
+``dedup_lines`` untouched whatever their names; ``copied_runs`` doesn't read them. Of equal copies the one that comes first
+is the first copy. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, mix, partitions_for, slices, tidy
+from seatloom.llm.common import NONSPACE, bound_batches, cut, fields, keep, mix, partitions_for, slices, step, tidy
 
 MIN_WORDS = 5
 #: Text bytes whose documents one partition numbers.
@@ -94,13 +96,39 @@ def numbered(docs: DataFrame) -> DataFrame:
     return cut(ranged.mapInArrow(tidy(number), f"doc long, doc_id long, text_key long, lines {_LINES}"))
 
 
-# ---------------------------------------------------------------- repeated lines, their first ranks and stretches
+# ---------------------------------------------------------------- repeated lines and their first ranks
+
+
+def _by_document(run: Callable[[pa.Table], pa.RecordBatch]):
+    """A function over whole documents' rows as one over batches of rows in order of documents."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the last document may go on in the next batch
+        for batch in batches:
+            if not len(batch):
+                continue
+            doc = batch.column("doc").to_numpy()
+            if held and held[-1].column("doc")[-1].as_py() != doc[0]:
+                yield run(pa.Table.from_batches(held).combine_chunks())
+                held = []
+            last = int(np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])[-1])
+            if last:
+                yield run(pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks())
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield run(pa.Table.from_batches(held).combine_chunks())
+
+    return tidy(go)
+
 
+def _columns(table: pa.Table, *names: str) -> list[pa.Array]:
+    return [table.column(n).chunk(0) for n in names]
 
-def repeated_lines(owners: DataFrame, min_words: int) -> DataFrame:
-    """(doc, pos, line, rank, more, ns): the lines that occur twice or more, in `more` of a row from this one on; ns: the
-    lengths of the stretches of min_words words, of such lines alone, that begin here and are the shortest that begin
-    or end at one of their lines. Materialised."""
+
+def repeated_lines(owners: DataFrame) -> DataFrame:
+    """(doc, pos, line, words, rank, more): the lines that occur twice or more, in `more` of a row from this one on.
+    Materialised."""
     lines = owners.select("doc", F.posexplode("lines").alias("at", "x")).select("doc", (F.col("doc") + F.col("at")).alias("pos"), "x.*")
     kinds = lines.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").withColumn("b", F.shiftrightunsigned("h1", 64 - FIRST_SPREAD.bit_length() + 1))
     # a line's rank: how many repeated lines stand before it in the order of hashes; the buckets' totals are few
@@ -110,42 +138,14 @@ def repeated_lines(owners: DataFrame, min_words: int) -> DataFrame:
     rows = lines.join(kinds, ["h1", "h2"]).select("doc", "pos", "line", "words", "rank")
     rows = rows.repartition("doc").sortWithinPartitions("doc", "pos")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table]).combine_chunks()
-            doc = table.column("doc").to_numpy()
-            last = int(np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])[-1])
-            held = table.slice(last)  # the last document may go on in the next batch
-            if last:
-                yield _stretches(table.slice(0, last), min_words)
-        if held is not None and len(held):
-            yield _stretches(held, min_words)
-
-    return cut(rows.mapInArrow(tidy(run), "doc long, pos long, line int, words int, rank long, more int, ns array<int>"))
-
-
-def _stretches(table: pa.Table, least: int) -> pa.RecordBatch:
-    """Whole documents' repeated lines, in order, with more and ns."""
-    pos, words = table.column("pos").to_numpy(), table.column("words").to_numpy().astype(np.int64)
-    n, i = len(pos), np.arange(len(pos))
-    new = np.r_[True, np.diff(pos) != 1]
-    begin = np.flatnonzero(new)
-    run = np.cumsum(new) - 1
-    first, stop = begin[run], np.r_[begin[1:], n][run]
-    before = np.r_[0, np.cumsum(words)]
-    end = np.searchsorted(before, before[:-1] + least)  # where the stretch that begins here ends
-    back = np.searchsorted(before, before[1:] - least, "right") - 1  # where the one that ends here begins
-    ahead, behind = end <= stop, back >= first
-    start = np.r_[i[ahead], back[behind]]
-    size = np.r_[end[ahead] - i[ahead], i[behind] + 1 - back[behind]]
-    both = np.unique(start * (n + 1) + size)
-    start, size = both // (n + 1), both % (n + 1)
-    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(start, np.arange(n + 1)), pa.int32()), pa.array(size, pa.int32()))
-    columns = [pa.concat_arrays(table.column(k).chunks) for k in ("doc", "pos", "line", "words", "rank")]
-    return pa.RecordBatch.from_arrays([*columns, pa.array((stop - i).astype(np.int32)), lists], ["doc", "pos", "line", "words", "rank", "more", "ns"])
+    def run(table: pa.Table) -> pa.RecordBatch:
+        columns = _columns(table, "doc", "pos", "line", "words", "rank")
+        pos = columns[1].to_numpy()
+        new = np.r_[True, np.diff(pos) != 1]
+        stop = np.r_[np.flatnonzero(new)[1:], len(pos)][np.cumsum(new) - 1]
+        return pa.RecordBatch.from_arrays([*columns, pa.array((stop - np.arange(len(pos))).astype(np.int32))], ["doc", "pos", "line", "words", "rank", "more"])
+
+    return cut(rows.mapInArrow(_by_document(run), "doc long, pos long, line int, words int, rank long, more int"))
 
 
 # ---------------------------------------------------------------- suffix ranks
@@ -183,49 +183,72 @@ def suffix_ranks(lines: DataFrame, most: int | None = None) -> tuple[DataFrame,
     return ranks, levels
 
 
-# ---------------------------------------------------------------- copies
-
-
-def copies(lines: DataFrame, min_words: int) -> DataFrame:
-    """(doc, pos, n, first): the stretches of n lines that occur earlier, and where they occur first."""
-    _, levels = suffix_ranks(lines, min_words)
-    stretches = lines.select("doc", "pos", F.explode("ns").alias("n"))
-    told = None
-    for span, level in levels.items():
-        own = stretches.where((F.col("n") >= span) & (F.col("n") < 2 * span))
-        ends = level.select(F.col("pos").alias("e"), F.col("rank").alias("r2"))
-        both = own.join(level.withColumnRenamed("rank", "r1"), "pos").withColumn("e", F.col("pos") + F.col("n") - span).join(ends, "e").select("doc", "pos", "n", "r1", "r2")
-        told = both if told is None else told.union(both)
-    told = cut(told)
-    firsts = cut(told.groupBy("n", "r1", "r2").agg(F.min("pos").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"))
-    return told.join(firsts, ["n", "r1", "r2"]).where("first < pos").select("doc", "pos", "n", "first")
+# ---------------------------------------------------------------- intervals and copies
+
+
+def longest_copies(levels: dict[int, DataFrame]) -> DataFrame:
+    """(pos, n, first): of each place the longest run from there on that occurs earlier, in lines, and its first place in the
+    corpus; no row where nothing does. levels: as suffix_ranks() gives them."""
+    spans = sorted(levels)
+    shared = reduce(DataFrame.union, [levels[s].select(F.lit(k).alias("k"), "pos", "rank") for k, s in enumerate(spans)])
+    firsts = shared.groupBy("k", "rank").agg(F.min("pos").alias("first"))
+    deepest = shared.join(firsts, ["k", "rank"]).where("first < pos").groupBy("pos").agg(F.max(F.struct("k", "first")).alias("x"))
+    deepest = cut(deepest.select("pos", "x.k", "x.first"))
+    # rows (first, n, pos): places that share n lines, told by the first place of all that do; that one is among them
+    rows = deepest.where("false").select("first", F.lit(0).alias("n"), "pos")
+    for j in reversed(range(len(spans) - 1)):
+        own = deepest.where(F.col("k") == j + 1).select("first", F.lit(spans[j + 1]).alias("n"), "pos")
+        rows = rows.union(own).union(own.select("first", "n", F.col("first").alias("pos")).distinct())
+        ahead = levels[spans[j]].select(F.col("pos").alias("e"), F.col("rank").alias("key"))
+        rows = cut(rows.withColumn("e", F.col("pos") + F.col("n")).join(ahead, "e", "left").drop("e"))
+        parts = rows.where("key is not null").groupBy("first", "n", "key").agg(F.min("pos").alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
+        rows = cut(rows.join(parts, ["first", "n", "key"], "left"))
+        longer = rows.where("least is not null").select(F.col("least").alias("first"), (F.col("n") + spans[j]).alias("n"), "pos")
+        rows = longer.union(rows.where("least is null or least = pos").select("first", "n", "pos"))
+    return rows.union(deepest.where("k = 0").select("first", F.lit(1).alias("n"), "pos")).where("first < pos").select("pos", "n", "first")
+
+
+def _marked(lines: DataFrame, min_words: int) -> DataFrame:
+    """(doc, pos, line, n, n_words, first): the lines to delete; n, n_words and first where a maximal run begins."""
+    found = longest_copies(suffix_ranks(lines)[1])
+    rows = lines.select("doc", "pos", "line", "words").join(found, "pos", "left").repartition("doc").sortWithinPartitions("doc", "pos")
+
+    def run(table: pa.Table) -> pa.RecordBatch:
+        pos, words, n = (x.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for x in _columns(table, "pos", "words", "n"))
+        i, before = np.arange(len(pos)), np.r_[0, np.cumsum(words)]
+        last = np.r_[0, np.where(np.diff(pos) == 1, n[:-1], 0)]  # the run from the line before
+        held = before[i + n] - before[i]
+        begins = (n > 0) & (last <= n) & (held >= min_words)
+        depth = np.cumsum(np.bincount(i[begins], minlength=len(pos) + 1) - np.bincount((i + n)[begins], minlength=len(pos) + 1))[:-1]
+        one = pa.RecordBatch.from_arrays([*_columns(table, "doc", "pos", "line", "n"), pa.array(held), *_columns(table, "first"), pa.array(begins)], ["doc", "pos", "line", "n", "n_words", "first", "begins"])
+        return one.filter(pa.array(depth > 0))
+
+    rows = rows.mapInArrow(_by_document(run), "doc long, pos long, line int, n int, n_words long, first long, begins boolean")
+    told = [F.when(F.col("begins"), F.col(c)).alias(c) for c in ("n", "n_words", "first")]
+    return rows.select("doc", "pos", "line", *told)
 
 
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, gone): the numbers, from 0, of the lines to delete in each document that has any."""
     bound_batches(docs.sparkSession)
-    owners = numbered(docs)
-    lines = repeated_lines(owners, min_words)
-    covered = copies(lines, min_words).select(F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos")).distinct()
-    gone = covered.join(lines.select("pos", "doc", "line"), "pos").groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("gone"))
-    return gone.join(owners.select("doc", "doc_id", "text_key"), "doc").select("doc_id", "text_key", "gone")
+    with step(docs.sparkSession):
+        owners = numbered(docs)
+        gone = _marked(repeated_lines(owners), min_words).groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("gone"))
+        return keep(cut(gone.join(owners.select("doc", "doc_id", "text_key"), "doc").select("doc_id", "text_key", "gone")))
 
 
 def copied_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The maximal runs that are copies: doc_id, line (its first, from 0), n_lines (those with words), n_words, and the
-    first copy's first_doc_id and first_line. Lines that are copies of several runs are told once for each."""
+    first copy's first_doc_id and first_line. Runs may overlap; none lies in another."""
     bound_batches(docs.sparkSession)
-    owners = numbered(docs)
-    lines = repeated_lines(owners, min_words)
-    each = copies(lines, min_words).select("doc", (F.col("first") - F.col("pos")).alias("shift"), F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos")).distinct()
-    island = F.col("pos") - F.row_number().over(Window.partitionBy("doc", "shift").orderBy("pos"))
-    each = each.withColumn("island", island).join(lines.select("pos", "words"), "pos")
-    runs = each.groupBy("doc", "shift", "island").agg(F.min("pos").alias("pos"), F.count("*").alias("n_lines"), F.sum("words").alias("n_words"))
-    at = lines.select("pos", "doc", "line").join(owners.select("doc", "doc_id"), "doc").drop("doc")
-    here = at.withColumnsRenamed({"pos": "p"})
-    there = at.withColumnsRenamed({"pos": "q", "line": "first_line", "doc_id": "first_doc_id"})
-    rows = runs.join(here, F.col("pos") == F.col("p")).withColumn("q", F.col("pos") + F.col("shift")).join(there, "q")
-    return rows.select("doc_id", "line", "n_lines", "n_words", "first_doc_id", "first_line")
+    with step(docs.sparkSession):
+        owners = numbered(docs)
+        lines = repeated_lines(owners)
+        runs = _marked(lines, min_words).where("n is not null").withColumnRenamed("n", "n_lines")
+        here = owners.select("doc", "doc_id")
+        there = lines.join(here, "doc").select(F.col("pos").alias("first"), F.col("line").alias("first_line"), F.col("doc_id").alias("first_doc_id"))
+        rows = runs.join(here, "doc").join(there, "first")
+        return keep(cut(rows.select("doc_id", "line", F.col("n_lines").cast("long").alias("n_lines"), "n_words", "first_doc_id", "first_line")))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -53,13 +53,19 @@ k AS (SELECT *, list_filter(lines, lambda x, i: NOT list_contains(nos, i - 1)) A
 SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, len(nos)::BIGINT AS n_deleted, len(nos) > 0 AND regexp_full_match(array_to_string(kept, ' '), '[\\x20\\x09-\\x0D]*') AS emptied, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text FROM k
 """
 
-# of the runs, those that lose MIN_WORDS words without their first or last line; on one diagonal, those that touch make one
+# every pair of equal lines, the second earlier; on a diagonal, pairs one apart extend each other to the end of their island
 LINE_RUNS = f"""
-{_FIRSTS},
-c AS (SELECT DISTINCT doc_id, first[1] AS d, place - first[2] AS shift, unnest(range(place, place + m)) AS place FROM firsts WHERE first < (doc_id, place) AND words - end_words < {MIN_WORDS}),
-i AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id, d, shift ORDER BY place) AS island FROM c),
-r AS (SELECT doc_id, d AS first_doc_id, shift, min(place) AS place, count(*) AS n_lines, sum(n)::BIGINT AS n_words FROM i JOIN (SELECT doc_id, place, n FROM l) l USING (doc_id, place) GROUP BY doc_id, d, shift, island)
-SELECT r.doc_id, a.no::INTEGER AS line, n_lines, n_words, first_doc_id, b.no::INTEGER AS first_line FROM r JOIN l a ON a.doc_id = r.doc_id AND a.place = r.place JOIN l b ON b.doc_id = first_doc_id AND b.place = r.place - shift
+WITH x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, no, {_NONSPACE.format("line")} AS w FROM x),
+l AS (SELECT doc_id, no, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS place, array_to_string(w, ' ') AS line, len(w) AS n FROM w WHERE len(w) > 0),
+m AS (SELECT p.doc_id, p.place, q.doc_id AS d, q.place AS f, p.place - q.place AS shift FROM l p JOIN l q ON p.line = q.line AND (q.doc_id, q.place) < (p.doc_id, p.place)),
+i AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id, d, shift ORDER BY place) AS island FROM m),
+e AS (SELECT doc_id, place, d, f, max(place) OVER (PARTITION BY doc_id, d, shift, island) - place + 1 AS n_lines FROM i),
+longest AS (SELECT doc_id, place, max(n_lines) AS n_lines, arg_min((d, f), (-n_lines, d, f)) AS first FROM e GROUP BY doc_id, place),
+r AS (SELECT *, coalesce(lag(n_lines) OVER (PARTITION BY doc_id ORDER BY place), 0) AS n_before, coalesce(lag(place) OVER (PARTITION BY doc_id ORDER BY place), -1) AS before FROM longest),
+k AS (SELECT doc_id, place, n_lines, first[1] AS first_doc_id, first[2] AS f FROM r WHERE before <> place - 1 OR n_before <= n_lines),
+s AS (SELECT k.doc_id, k.place, k.n_lines, first_doc_id, f, sum(l.n)::BIGINT AS n_words FROM k JOIN l ON l.doc_id = k.doc_id AND l.place BETWEEN k.place AND k.place + k.n_lines - 1 GROUP BY ALL HAVING sum(l.n) >= {MIN_WORDS})
+SELECT s.doc_id, a.no::INTEGER AS line, n_lines, n_words, first_doc_id, b.no::INTEGER AS first_line FROM s JOIN l a ON a.doc_id = s.doc_id AND a.place = s.place JOIN l b ON b.doc_id = first_doc_id AND b.place = s.f
 """
 
 OP9 = """

@@ -61,7 +61,7 @@ def test_suffix_ranks(spark):
     pool = ["a b", "c", "d e f", "g", "same line", "h i j k"]
     docs = [(d, "\n".join(r.choice(pool[: r.choice([2, 4, 6])]) for _ in range(r.randrange(12)))) for d in range(60)]
     docs += [(100 + d, "\n".join(pool * 4)) for d in range(5)] + [(200, "\n".join(["same line"] * 70)), (201, "once\nonly\nonce")]
-    lines = line_dedup.repeated_lines(line_dedup.numbered(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)), 5)
+    lines = line_dedup.repeated_lines(line_dedup.numbered(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)))
     ranks, levels = line_dedup.suffix_ranks(lines)
     first = {x.pos: (x.rank, x.more) for x in lines.collect()}
     suffix = {p: tuple(first[p + i][0] for i in range(more)) for p, (_, more) in first.items()}
@@ -81,10 +81,53 @@ def test_suffix_ranks(spark):
         assert sorted(map(sorted, classes.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def runs(spark, docs, least=line_dedup.MIN_WORDS):
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).withColumn("line", F.lit("clash")).withColumn("n", F.lit(1)).withColumn("first", F.lit(None))
+    low = lambda d: -1 if d is None else d
+    return sorted((low(r.doc_id), r.line, r.n_lines, r.n_words, low(r.first_doc_id), r.first_line) for r in line_dedup.copied_runs(frame, least).collect())
+
+
+def brute_runs(docs, least):
+    """By comparing every place with every earlier one: the longest earlier run, unless the place before it holds it."""
+    docs = sorted({(-1 if d is None else d, t) for d, t in docs if t is not None})
+    lines = [[(i, norm(x)) for i, x in enumerate(t.split("\n")) if norm(x)] for _, t in docs]
+    places = [(d, i) for d, x in enumerate(lines) for i in range(len(x))]
+    longest = {}
+    for p, (d, i) in enumerate(places):
+        for e, j in places[:p]:
+            n = 0
+            while i + n < len(lines[d]) and j + n < len(lines[e]) and lines[d][i + n][1] == lines[e][j + n][1]:
+                n += 1
+            if n > longest.get((d, i), (0,))[0]:
+                longest[d, i] = (n, e, j)
+    out = []
+    for (d, i), (n, e, j) in longest.items():
+        words = sum(len(x[1]) for x in lines[d][i : i + n])
+        if words >= least and longest.get((d, i - 1), (0,))[0] <= n:
+            out.append((docs[d][0], lines[d][i][0], n, words, docs[e][0], lines[e][j][0]))
+    return sorted(out)
+
+
 def test_copied_runs(spark):
     a, b, c = "one two three", "four five", "six seven eight nine ten"
     docs = [(1, f"{a}\n\n{b}\n{c}\nalone here"), (2, f"x\n{a}\n{b}\n \n{c}"), (3, f"{c}\nown words of three"), (None, f"{b}\n{c}")]
-    rows = line_dedup.copied_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    got = sorted((r.doc_id, r.line, r.n_lines, r.n_words, r.first_doc_id if r.first_doc_id is not None else -1, r.first_line) for r in rows)
-    # documents without doc_id come first; lines before the stretches that they hold come from document 1
-    assert got == [(1, 2, 2, 7, -1, 0), (2, 1, 2, 5, 1, 0), (2, 2, 2, 7, -1, 0), (3, 0, 1, 5, -1, 1)]
+    # documents without doc_id come first; all three lines of document 2 come from document 1
+    assert runs(spark, docs) == [(1, 2, 2, 7, -1, 0), (2, 1, 3, 10, 1, 0), (3, 0, 1, 5, -1, 1)]
+
+
+def test_runs_are_maximal(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    got = runs(spark, [(1, a), (2, b), (3, f"{a}\n{b}"), (4, f"{a}\n{b}")])
+    assert got == [(3, 0, 1, 6, 1, 0), (3, 1, 1, 6, 2, 0), (4, 0, 2, 12, 3, 0)]
+
+
+def test_runs_by_brute_force(spark):
+    r = random.Random(21)
+    pool = ["a b c d e f", "b", "C  d", "e f g", "same line here", "h i j k l m n", "o p"]
+    docs = [(d, "\n".join(r.choice(pool[: r.choice([2, 4, 7])]) if r.random() < 0.9 else f"own {d} {r.random()}" for _ in range(r.randrange(16)))) for d in range(50)]
+    whole = "\n".join(r.choice(pool) for _ in range(45))
+    docs += [(100, whole), (101, whole), (102, "start\n" + whole[5:] + "\nend"), (103, whole + "\n" + whole), (104, "\n".join(["same line here"] * 70)), (105, "\n".join(pool * 6))]
+    docs += [(None, docs[3][1]), (None, None), (106, ""), (107, " \n\n"), (108, docs[5][1]), (108, docs[5][1]), (109, None)]
+    assert runs(spark, docs) == brute_runs(docs, 5)
+    assert runs(spark, docs[20:45], 1) == brute_runs(docs[20:45], 1)
+    assert runs(spark, [(1, "once\nonly"), (2, "other")]) == [] and line_dedup.copied_runs(spark.createDataFrame([], "doc_id long, text string")).count() == 0
