@@ -167,10 +167,9 @@ def suffix_ranks(lines: DataFrame, most: int | None = None) -> tuple[DataFrame,
         pairs = t.groupBy("rank", "key").agg(F.count("*").alias("c")).withColumn("b", F.floor(F.col("key") * SPREAD / F.lit(total + 1)).cast("int"))
         # of suffixes with one rank, those with a smaller key come before; keys stand in buckets by their order
         pairs = pairs.withColumn("inner", F.sum("c").over(Window.partitionBy("rank", "b").orderBy("key")) - F.col("c"))
-        pairs = cut(pairs)
         sums = pairs.groupBy("rank", "b").agg(F.sum("c").alias("t"))
         outer = sums.select("rank", "b", (F.sum("t").over(Window.partitionBy("rank").orderBy("b")) - F.col("t")).alias("outer"))
-        finer = cut(pairs.join(outer, ["rank", "b"]).select("rank", "key", "c", (F.col("rank") + F.col("inner") + F.col("outer")).alias("finer")))
+        finer = pairs.join(outer, ["rank", "b"]).select("rank", "key", "c", (F.col("rank") + F.col("inner") + F.col("outer")).alias("finer"))
         t = cut(t.join(finer, ["rank", "key"]).select("pos", "more", F.col("finer").alias("rank"), "c"))
         span *= 2
         levels[span] = t.where((F.col("c") > 1) & (F.col("more") >= span)).select("pos", "rank")
@@ -200,7 +199,7 @@ def longest_copies(levels: dict[int, DataFrame]) -> DataFrame:
         own = deepest.where(F.col("k") == j + 1).select("first", F.lit(spans[j + 1]).alias("n"), "pos")
         rows = rows.union(own).union(own.select("first", "n", F.col("first").alias("pos")).distinct())
         ahead = levels[spans[j]].select(F.col("pos").alias("e"), F.col("rank").alias("key"))
-        rows = cut(rows.withColumn("e", F.col("pos") + F.col("n")).join(ahead, "e", "left").drop("e"))
+        rows = rows.withColumn("e", F.col("pos") + F.col("n")).join(ahead, "e", "left").drop("e")
         parts = rows.where("key is not null").groupBy("first", "n", "key").agg(F.min("pos").alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
         rows = cut(rows.join(parts, ["first", "n", "key"], "left"))
         longer = rows.where("least is not null").select(F.col("least").alias("first"), (F.col("n") + spans[j]).alias("n"), "pos")
