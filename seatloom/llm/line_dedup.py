@@ -127,25 +127,25 @@ def _columns(table: pa.Table, *names: str) -> list[pa.Array]:
 
 
 def repeated_lines(owners: DataFrame) -> DataFrame:
-    """(doc, pos, line, words, rank, more): the lines that occur twice or more, in `more` of a row from this one on.
-    Materialised."""
+    """(doc, pos, line, words, rank, first, more): the lines that occur twice or more, in `more` of a row from this one on, and
+    where each one's like is first. Materialised."""
     lines = owners.select("doc", F.posexplode("lines").alias("at", "x")).select("doc", (F.col("doc") + F.col("at")).alias("pos"), "x.*")
-    kinds = lines.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").withColumn("b", F.shiftrightunsigned("h1", 64 - FIRST_SPREAD.bit_length() + 1))
+    kinds = lines.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min("pos").alias("first")).where("c > 1").withColumn("b", F.shiftrightunsigned("h1", 64 - FIRST_SPREAD.bit_length() + 1))
     # a line's rank: how many repeated lines stand before it in the order of hashes; the buckets' totals are few
     kinds = cut(kinds.withColumn("inner", F.sum("c").over(Window.partitionBy("b").orderBy("h1", "h2")) - F.col("c")))
     outer = kinds.groupBy("b").agg(F.sum("c").alias("t")).select("b", (F.sum("t").over(Window.orderBy("b")) - F.col("t")).alias("outer"))
-    kinds = cut(kinds.join(outer, "b").select("h1", "h2", (F.col("inner") + F.col("outer") + 1).alias("rank")))
-    rows = lines.join(kinds, ["h1", "h2"]).select("doc", "pos", "line", "words", "rank")
+    kinds = cut(kinds.join(outer, "b").select("h1", "h2", (F.col("inner") + F.col("outer") + 1).alias("rank"), "first"))
+    rows = lines.join(kinds, ["h1", "h2"]).select("doc", "pos", "line", "words", "rank", "first")
     rows = rows.repartition("doc").sortWithinPartitions("doc", "pos")
 
     def run(table: pa.Table) -> pa.RecordBatch:
-        columns = _columns(table, "doc", "pos", "line", "words", "rank")
+        columns = _columns(table, "doc", "pos", "line", "words", "rank", "first")
         pos = columns[1].to_numpy()
         new = np.r_[True, np.diff(pos) != 1]
         stop = np.r_[np.flatnonzero(new)[1:], len(pos)][np.cumsum(new) - 1]
-        return pa.RecordBatch.from_arrays([*columns, pa.array((stop - np.arange(len(pos))).astype(np.int32))], ["doc", "pos", "line", "words", "rank", "more"])
+        return pa.RecordBatch.from_arrays([*columns, pa.array((stop - np.arange(len(pos))).astype(np.int32))], ["doc", "pos", "line", "words", "rank", "first", "more"])
 
-    return cut(rows.mapInArrow(_by_document(run), "doc long, pos long, line int, words int, rank long, more int"))
+    return cut(rows.mapInArrow(_by_document(run), "doc long, pos long, line int, words int, rank long, first long, more int"))
 
 
 # ---------------------------------------------------------------- suffix ranks
@@ -153,9 +153,10 @@ def repeated_lines(owners: DataFrame) -> DataFrame:
 
 def suffix_ranks(lines: DataFrame, most: int | None = None) -> tuple[DataFrame, dict[int, DataFrame]]:
     """(pos, rank) of all suffixes of repeated_lines() when they are settled (or ranked by `most` lines), and by number
-    of lines 1, 2, 4, ... the ranks (pos, rank) of those suffixes that share so many lines with another."""
+    of lines 1, 2, 4, ... the ranks (pos, rank, first) of those suffixes that share so many lines with another, and where the
+    first that does is."""
     total = lines.count()
-    levels = {1: lines.select("pos", "rank")}
+    levels = {1: lines.select("pos", "rank", "first")}
     settled, open_, span = [], lines.select("pos", "more", "rank"), 1
     while (most is None or 2 * span <= most) and not open_.isEmpty():
         known = open_.select("pos", "rank")
@@ -164,15 +165,15 @@ def suffix_ranks(lines: DataFrame, most: int | None = None) -> tuple[DataFrame,
         # a suffix that ends here comes before all that go on
         t = open_.where(F.col("more") > span).join(known.select((F.col("pos") - span).alias("pos"), F.col("rank").alias("key")), "pos")
         t = t.union(open_.where(F.col("more") == span).withColumn("key", F.lit(0).cast("long")))
-        pairs = t.groupBy("rank", "key").agg(F.count("*").alias("c")).withColumn("b", F.floor(F.col("key") * SPREAD / F.lit(total + 1)).cast("int"))
+        pairs = t.groupBy("rank", "key").agg(F.count("*").alias("c"), F.min("pos").alias("first")).withColumn("b", F.floor(F.col("key") * SPREAD / F.lit(total + 1)).cast("int"))
         # of suffixes with one rank, those with a smaller key come before; keys stand in buckets by their order
         pairs = pairs.withColumn("inner", F.sum("c").over(Window.partitionBy("rank", "b").orderBy("key")) - F.col("c"))
         sums = pairs.groupBy("rank", "b").agg(F.sum("c").alias("t"))
         outer = sums.select("rank", "b", (F.sum("t").over(Window.partitionBy("rank").orderBy("b")) - F.col("t")).alias("outer"))
-        finer = pairs.join(outer, ["rank", "b"]).select("rank", "key", "c", (F.col("rank") + F.col("inner") + F.col("outer")).alias("finer"))
-        t = cut(t.join(finer, ["rank", "key"]).select("pos", "more", F.col("finer").alias("rank"), "c"))
+        finer = pairs.join(outer, ["rank", "b"]).select("rank", "key", "c", "first", (F.col("rank") + F.col("inner") + F.col("outer")).alias("finer"))
+        t = cut(t.join(finer, ["rank", "key"]).select("pos", "more", F.col("finer").alias("rank"), "c", "first"))
         span *= 2
-        levels[span] = t.where((F.col("c") > 1) & (F.col("more") >= span)).select("pos", "rank")
+        levels[span] = t.where((F.col("c") > 1) & (F.col("more") >= span)).select("pos", "rank", "first")
         going = (F.col("c") > 1) & (F.col("more") >= span)
         settled.append(t.where(~going).select("pos", "rank"))
         open_ = t.where(going).select("pos", "more", "rank")
@@ -189,10 +190,9 @@ def longest_copies(levels: dict[int, DataFrame]) -> DataFrame:
     """(pos, n, first): of each place the longest run from there on that occurs earlier, in lines, and its first place in the
     corpus; no row where nothing does. levels: as suffix_ranks() gives them."""
     spans = sorted(levels)
-    shared = reduce(DataFrame.union, [levels[s].select(F.lit(k).alias("k"), "pos", "rank") for k, s in enumerate(spans)])
-    firsts = shared.groupBy("k", "rank").agg(F.min("pos").alias("first"))
-    deepest = shared.join(firsts, ["k", "rank"]).where("first < pos").groupBy("pos").agg(F.max(F.struct("k", "first")).alias("x"))
-    deepest = cut(deepest.select("pos", "x.k", "x.first"))
+    copies = reduce(DataFrame.union, [levels[s].where("first < pos").select(F.lit(k).alias("k"), "pos", "first") for k, s in enumerate(spans)])
+    # deeper classes are parts of the others, so their first places come no earlier
+    deepest = cut(copies.groupBy("pos").agg(F.max("k").alias("k"), F.max("first").alias("first")))
     # rows (first, n, pos): places that share n lines, told by the first place of all that do; that one is among them
     rows = deepest.where("false").select("first", F.lit(0).alias("n"), "pos")
     for j in reversed(range(len(spans) - 1)):
