@@ -5,7 +5,8 @@ Texts become words (``common.ALNUM``) with one blank between; the automaton runs
 place of every phrase, overlapping ones too. After an identifier tag the expression is read from the raw text to
 the end of its line, as far as it is well formed; WITH binds before AND, AND before OR.
 
-Operators are upper case, so prose that goes on after an identifier ("MIT and", "GPL-2.0 or later") ends the expression.
+Operators are upper case, or lower case where a listed operand follows ("mit or apache-2.0"), so prose that goes on after
+an identifier ("MIT and then") ends the expression. "or later" after a version of the GNU family is part of its identifier.
 Operands are looked up in the list of identifiers, those after WITH in that of exceptions; an operand that isn't
 listed gives the label "unlisted" (a LicenseRef one "licenseref") and stands in the column unlisted as written.
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -82,7 +83,7 @@ NOTICES = {
 TAG = "spdx license identifier"
 #: How surely a listed label after a tag is meant, and one that isn't listed.
 SURE_TAG, SURE_UNLISTED = 0.9, 0.5
-# Public identifiers, in lower case as letter case doesn't tell them apart.
+# Common public identifiers, in lower case as letter case doesn't tell them apart; scan_licenses takes more.
 IDENTIFIERS = frozenset("""
 0bsd aal afl-1.1 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 apsl-2.0 artistic-1.0 artistic-1.0-perl artistic-2.0 beerware blueoak-1.0.0
 bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1 bzip2-1.0.6 catosl-1.1
@@ -91,6 +92,8 @@ cc-by-nc-1.0 cc-by-nc-2.0 cc-by-nc-2.5 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nd-1.0 cc
 cc-by-nc-sa-2.0 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nc-nd-2.0 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0 cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cpal-1.0 cpl-1.0
 ecl-2.0 efl-2.0 elastic-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 fsfap ftl hpnd icu ijg ipl-1.0 isc json libpng libpng-2.0 lppl-1.3c mit mit-0 mit-cmu mit-modern-variant
 mpl-1.0 mpl-1.1 mpl-2.0 mpl-2.0-no-copyleft-exception ms-pl ms-rl mulanpsl-2.0 naist-2003 ncsa odbl-1.0 odc-by-1.0 ofl-1.0 ofl-1.1 oldap-2.8 openssl osl-1.0 osl-2.0 osl-3.0
+bsd-2-clause-views bsd-3-clause-attribution bsd-3-clause-lbnl bsd-3-clause-modification bsd-3-clause-open-mpi bsd-4-clause-uc bsd-protection bsd-source-code cc-pddc cdla-permissive-1.0 cdla-permissive-2.0
+cecill-1.0 cecill-2.0 cecill-b cecill-c curl hpnd-sell-variant imagemagick miros mit-advertising mit-enna mit-feh mit-festival mit-khronos-old mit-open-group mit-wu mitnfa ogl-uk-3.0 osl-1.1 osl-2.1 rpl-1.5 sissl spl-1.0
 pddl-1.0 php-3.0 php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sleepycat sspl-1.0 tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xnet zlib zpl-2.1
 """.split())
 # Families whose identifiers are made of a version and how later ones are meant.
@@ -106,11 +109,11 @@ openjdk-assembly-exception-1.0 openvpn-openssl-exception qt-gpl-exception-1.0 qt
 PERMISSIVE = frozenset(["0bsd", "apache-2.0", "blueoak-1.0.0", "bsd-2-clause", "bsd-3-clause", "bsl-1.0", "cc-by-4.0", "cc0-1.0", "isc", "mit", "mit-0", "ncsa", "postgresql", "python-2.0", "unlicense", "upl-1.0", "x11", "zlib"])
 
 
-def listed(name: str) -> bool:
-    """Whether an identifier in lower case is in the lists; a plus means that version or a later one."""
+def listed(name: str, more: frozenset[str] = frozenset()) -> bool:
+    """Whether an identifier in lower case is in the lists or among more; a plus means that version or a later one."""
     bare = name.removesuffix("+")
     family, _, rest = bare.partition("-")
-    return bare in IDENTIFIERS or any(rest == v + later for v in GNU.get(family, ()) for later in LATER if not (later and bare != name))
+    return bare in IDENTIFIERS or bare in more or any(rest == v + later for v in GNU.get(family, ()) for later in LATER if not (later and bare != name))
 
 
 def sureness(words: int) -> float:
@@ -122,11 +125,20 @@ def sureness(words: int) -> float:
 
 _TOKEN = re.compile(r"\s*(\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
 _BINDS = {"OR": 1, "AND": 2, "WITH": 3}
+_OPERAND_NEXT = re.compile(r"[\s(]*([A-Za-z0-9][A-Za-z0-9.+:-]*)")
+_OR_LATER = re.compile(r"\s+or\s+(?:any\s+)?later(?:\s+versions?)?(?![A-Za-z0-9+:-])", re.I)
 
 
-def parse(line: str) -> list[str]:
-    """The longest well-formed expression that the line begins with, in postfix order (empty: none). Operators stay
-    upper case, operands become lower case."""
+def parse(line: str, more: frozenset[str] = frozenset()) -> list[str]:
+    """The longest well-formed expression that the line begins with, in postfix order (empty: none). Operators become
+    upper case, operands lower case; more are listed identifiers besides the fixed ones."""
+
+    def operator(token: str, end: int) -> str:
+        """The operator that a token in lower case stands for, if what follows it is listed; else the token."""
+        follows = _OPERAND_NEXT.match(line, end) if token.islower() and token.upper() in _BINDS else None
+        name = follows.group(1).rstrip(".").lower() if follows else ""
+        return token.upper() if name and (name in EXCEPTIONS if token == "with" else listed(name, more)) else token
+
     output, stack, depth, best = [], [], 0, []
     want_operand, at = True, 0
 
@@ -135,6 +147,7 @@ def parse(line: str) -> list[str]:
 
     while m := _TOKEN.match(line, at):
         at, token = m.end(), m.group(1)
+        token = token if want_operand else operator(token, at)
         if token in _BINDS:
             if want_operand:
                 break
@@ -157,20 +170,24 @@ def parse(line: str) -> list[str]:
         else:
             if not want_operand:
                 break
-            output.append(token.rstrip(".").lower())
+            name = token.rstrip(".").lower()
+            family, _, version = name.partition("-")
+            if version in GNU.get(family, ()) and (later := _OR_LATER.match(line, at)):
+                at, name = later.end(), f"{name}-or-later"
+            output.append(name)
             want_operand = False
         if not want_operand and not depth:
             best = drained()
     return best
 
 
-def evaluate(postfix: list[str], allowed: frozenset[str] = PERMISSIVE) -> tuple[set[str], bool, str, set[str]]:
+def evaluate(postfix: list[str], allowed: frozenset[str] = PERMISSIVE, more: frozenset[str] = frozenset()) -> tuple[set[str], bool, str, set[str]]:
     """Labels, whether the terms can be met within the allowed identifiers, the expression in full brackets, and the
     operands that no list has. Terms with an exception, or unlisted ones, are allowed as their identifier is."""
     stack: list[tuple[set[str], bool, str, set[str]]] = []
     for token in postfix:
         if token not in _BINDS:
-            label = token if listed(token) else "licenseref" if token.startswith(("licenseref-", "documentref-")) else "unlisted"
+            label = token if listed(token, more) else "licenseref" if token.startswith(("licenseref-", "documentref-")) else "unlisted"
             stack.append(({label}, token in allowed, token, {token} if label == "unlisted" else set()))
             continue
         b, a = stack.pop(), stack.pop()
@@ -199,7 +216,7 @@ _TABLE = ALNUM.tobytes()
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
-def scan(text: str) -> dict:
+def scan(text: str, more: frozenset[str] = frozenset()) -> dict:
     raw = text.encode()
     words = raw.translate(_TABLE).split()
     automaton, entries, vocabulary = _automaton()
@@ -220,7 +237,7 @@ def scan(text: str) -> dict:
         ends = [m.end() for m in _WORD.finditer(raw.translate(_TABLE))]
         for _, _, last, _ in tags:
             line = raw[ends[last - 1] :].split(b"\n", 1)[0].lstrip(b" \t:=\"'").decode("utf-8", "replace")
-            found, ok, shown, odd = evaluate(parse(line))
+            found, ok, shown, odd = evaluate(parse(line, more), more=more)
             if found:
                 expressions.append(shown)
                 allowed = ok if allowed is None else allowed and ok
@@ -242,9 +259,11 @@ _SCHEMA = [
 ]
 
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
+def scan_licenses(docs: DataFrame, identifiers: Iterable[str] = ()) -> DataFrame:
     """One row a document: word count, base places, labels, score, expressions in full brackets, whether all of them can
-    be met by permissive terms (null: no expression), unlisted operands, and every place found, in words from 0."""
+    be met by permissive terms (null: no expression), unlisted operands, and every place found, in words from 0. Identifiers
+    are listed ones besides the fixed list, such as a newer public list."""
+    more = frozenset(x.lower() for x in identifiers)
     bound_batches(docs.sparkSession)
     rows = fields(docs, "doc_id", "text")
 
@@ -252,7 +271,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for i in range(0, len(whole), 500):
                 batch = whole.slice(i, 500)
-                found = [scan(t or "") for t in batch.column("text").to_pylist()]
+                found = [scan(t or "", more) for t in batch.column("text").to_pylist()]
                 columns = [pa.array([f[name] for f in found], kind) for name, _, kind in _SCHEMA]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *[n for n, _, _ in _SCHEMA]])
 

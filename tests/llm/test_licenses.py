@@ -83,7 +83,7 @@ def test_expressions():
     shown = lambda line: licenses.evaluate(licenses.parse(line))[2]
     assert shown("MIT OR Apache-2.0 AND Zlib") == "(mit or (apache-2.0 and zlib))"
     assert shown("(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0 */") == "((mit or apache-2.0) and gpl-2.0-only with classpath-exception-2.0)"
-    assert shown("MIT and then some text") == "mit" and shown("MIT license") == "mit" and shown("GPL-2.0 or later") == "gpl-2.0"
+    assert shown("MIT and then some text") == "mit" and shown("MIT license") == "mit" and shown("GPL-2.0 or later") == "gpl-2.0-or-later"
     assert shown("MIT OR") == "mit" and shown("(MIT OR Zlib") == "" and shown(") MIT") == "" and shown("") == ""
     assert licenses.evaluate(licenses.parse("MIT AND GPL-3.0-only"))[1] is False
     assert licenses.evaluate(licenses.parse("MIT OR GPL-3.0-only"))[1] is True
@@ -98,3 +98,17 @@ def test_tags():
     assert licenses.scan("SPDX-License-Identifier: Whatever AND MIT")["labels"] == "mit,unlisted"
     assert licenses.scan("SPDX-License-Identifier: MIT and then some text")["labels"] == "mit"
     assert licenses.scan("released under the mit license")["labels"] == "mit"
+
+
+def test_lower_case_operators_and_later_versions(spark):
+    shown = lambda line, more=frozenset(): licenses.evaluate(licenses.parse(line, more), more=more)[2]
+    assert shown("mit or apache-2.0") == "(mit or apache-2.0)" and shown("mit and (zlib or isc), see below") == "(mit and (zlib or isc))"
+    assert shown("gpl-2.0 with classpath-exception-2.0 and mit") == "(gpl-2.0 with classpath-exception-2.0 and mit)"
+    assert shown("mit and more") == "mit" and shown("mit with care") == "mit" and shown("mit or") == "mit" and shown("or mit") == "or"
+    assert shown("mit or own-1.0") == "mit" and shown("mit or own-1.0", frozenset(["own-1.0"])) == "(mit or own-1.0)"
+    assert shown("GPL-3.0 or any later version OR MIT") == "(gpl-3.0-or-later or mit)" and shown("(LGPL-2.1 OR later) and MIT") == "(lgpl-2.1-or-later and mit)"
+    assert shown("GPL-2.0 or later-ish") == "gpl-2.0" and shown("GPL-2.0-only or later") == "gpl-2.0-only" and shown("MIT or later") == "mit"
+    assert all(map(licenses.listed, ["mit-feh", "mit-khronos-old", "bsd-3-clause-lbnl"])) and len(licenses.IDENTIFIERS) <= 200
+    docs = spark.createDataFrame([(1, "SPDX-License-Identifier: Own-1.0 or mit"), (2, None)], "doc_id long, text string")
+    labels = lambda **k: [r.labels for r in licenses.scan_licenses(docs, **k).orderBy("doc_id").collect()]
+    assert labels() == ["mit,unlisted", ""] and labels(identifiers=["Own-1.0"]) == ["mit,own-1.0", ""]
