@@ -8,7 +8,8 @@ leaves no half file, and any file system that Spark writes to will do::
 Ids are little-endian, 16 bits wide where the vocabulary allows and 32 otherwise; a gap is one id of zero
 bytes (the writer's record separator). Records stand in ascending key order. The index holds, for n records
 and m distinct keys: the keys, the byte offset and the token count of each record; the levels of a minimal
-perfect hash over the keys (each level a bit set; a key's slot is the number of set bits before its own);
+perfect hash over the keys (each level a bit set; a key's slot is the number of set bits before its own), with the
+number of set bits before each 64-bit word, so that nothing is counted when a shard is opened;
 and by slot a 32-bit fingerprint, the first record of that key and its number of records. A probe hashes
 the key, reads a bit or a few, compares one fingerprint: constant time, whatever the shard's size.
 
@@ -20,6 +21,7 @@ text; a lookup returns all of them. Extra columns are not read. An empty table g
 from __future__ import annotations
 
 import functools
+import json
 import re
 import struct
 import zlib
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from seatloom.llm.common import TwoGenerations, bound_batches, cut, fields, mix, partitions_for, scratch_path, tidy
 
-MAGIC = b"SLTOKEN1"
+MAGIC = b"SLTOKEN2"
 #: index offset, index length, records, distinct keys, null-key records, tokens, first key, last key, shard, id bytes
 FOOTER = struct.Struct("<QQQQQQqqII8s")
 SHARD_TEXT_BYTES = 48 << 20
@@ -47,10 +49,8 @@ _LETTERWISE = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library, each distinct white-space word encoded once.
-
-    Only for tokenizers that drop white space and have no token across it; ``check`` refuses others.
-    """
+    """Ids of whole texts by the tokenizers library, each distinct white-space word encoded once where the tokenizer's file
+    says that white space is dropped and no token stands across it; else texts go through the library whole."""
 
     def __init__(self, path: str, dtype: np.dtype):
         self.tok, self.dtype = load_tokenizer(path), dtype
@@ -96,11 +96,23 @@ def load_tokenizer(path: str):
     return tok
 
 
+#: Alternatives of a splitting pattern that match no white space: a literal, or a class without it, once or more.
+_NO_SPACE = re.compile(r"[A-Za-z'0-9]+|\[(?:\\p\{[LN][a-z]?\})+\]\+?|\[\^\\s(?:\\p\{[LN][a-z]?\})*\]\+?")
+
+
 def drops_white_space(tok) -> bool:
-    """Whether a text's ids are those of its white-space words, end to end, as far as samples show."""
-    samples = ["one two", "A-b c.D 12 x's", "ünï  cödé\n\tß é", "<|endoftext|> a", "…no 'll we"]
-    ids = lambda t: tok.encode(t, add_special_tokens=False).ids
-    return all(ids(s) == [i for w in s.split() for i in ids(w.lower())] for s in samples)
+    """Whether a text's ids are those of its white-space words in lower case, end to end, as the tokenizer's file has it: letters
+    composed, white space made one blank, letters lowered, and nothing kept but the matches of a pattern that has no white space."""
+    told = json.loads(tok.to_str())
+    steps = lambda entry, name: [] if entry is None else entry[name] if entry["type"] == "Sequence" else [entry]
+    normal, split = steps(told["normalizer"], "normalizers"), steps(told["pre_tokenizer"], "pretokenizers")
+    kinds = [x["type"] for x in normal]
+    lowers = kinds in (["NFC", "Lowercase"], ["NFC", "Replace", "Lowercase"]) and all(x["pattern"] == {"Regex": "\\s+"} and x["content"] == " " for x in normal if x["type"] == "Replace")
+    if not lowers or not split or split[0]["type"] != "Split" or told["post_processor"] is not None:
+        return False
+    parts = split[0]["behavior"] == "Removed" and split[0]["invert"] and all(_NO_SPACE.fullmatch(x) for x in split[0]["pattern"].get("Regex", " ").split("|"))
+    alone = all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in split[1:])
+    return bool(parts and alone and not told["model"].get("dropout"))
 
 
 @functools.lru_cache(4)
@@ -133,23 +145,31 @@ def build_levels(keys: np.ndarray) -> list[np.ndarray]:
     return levels
 
 
+def rank_words(levels: list[np.ndarray]) -> np.ndarray:
+    """For each 64-bit word of the levels, end to end, the number of set bits before it: stored beside them, so that opening
+    an index counts nothing and a probe counts within one word."""
+    words = np.concatenate([np.zeros(0, "<u8"), *levels])
+    return (np.cumsum(np.bitwise_count(words), dtype=np.int64) - np.bitwise_count(words)).astype("<u4")
+
+
 class PerfectHash:
     """Slots 0 to n - 1 of n distinct keys; other keys get a slot or -1, which the fingerprint then refutes."""
 
-    def __init__(self, levels: list[np.ndarray]):
-        self.bits = [np.unpackbits(x.view(np.uint8), bitorder="little").astype(bool) for x in levels]
-        self.before = [np.r_[0, np.cumsum(b)] for b in self.bits]
-        self.base = np.r_[0, np.cumsum([x[-1] for x in self.before])].astype(np.int64)
+    def __init__(self, levels: list[np.ndarray], ranks: np.ndarray):
+        self.levels, self.ranks = levels, ranks
 
     def slots(self, keys: np.ndarray) -> np.ndarray:
-        out, open_ = np.full(len(keys), -1, np.int64), np.arange(len(keys))
-        for level, bits in enumerate(self.bits):
+        out, open_, start = np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0
+        for level, words in enumerate(self.levels):
             if not len(open_):
                 break
-            at = (key_hash(keys[open_], level) % np.uint64(len(bits))).astype(np.int64)
-            hit = bits[at]
-            out[open_[hit]] = self.base[level] + self.before[level][at[hit]]
-            open_ = open_[~hit]
+            at = key_hash(keys[open_], level) % np.uint64(64 * len(words))
+            place, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+            word = words[place]
+            hit = (word & bit) != 0
+            below = np.bitwise_count(word & (bit - np.uint64(1)))
+            out[open_[hit]] = self.ranks[start + place[hit]].astype(np.int64) + below[hit]
+            open_, start = open_[~hit], start + len(words)
         return out
 
 
@@ -162,11 +182,12 @@ def shard_trailer(keys: list, offsets: list[int], tokens: list[int], width: int,
     own = np.array([0 if k is None else k for k in keys], "<i8")
     distinct, first, count = np.unique(own[n_null:], return_index=True, return_counts=True)
     levels = build_levels(distinct)
-    slot = PerfectHash(levels).slots(distinct)
+    ranks = rank_words(levels)
+    slot = PerfectHash(levels, ranks).slots(distinct)
     table = np.zeros(len(distinct), np.dtype([("fingerprint", "<u4"), ("first", "<u4"), ("count", "<u4")]))
     table["fingerprint"][slot], table["first"][slot], table["count"][slot] = fingerprints(distinct), first + n_null, count
     index = b"".join(
-        [own.tobytes(), np.array(offsets, "<u8").tobytes(), np.array(tokens, "<u4").tobytes(), struct.pack("<I", len(levels)), np.array([len(x) for x in levels], "<u4").tobytes(), *[x.tobytes() for x in levels], table.tobytes()]
+        [own.tobytes(), np.array(offsets, "<u8").tobytes(), np.array(tokens, "<u4").tobytes(), struct.pack("<I", len(levels)), np.array([len(x) for x in levels], "<u4").tobytes(), *[x.tobytes() for x in levels], ranks.tobytes(), table.tobytes()]
     )
     at = offsets[-1] + tokens[-1] * width + width
     low, high = (int(distinct[0]), int(distinct[-1])) if len(distinct) else (0, -1)
@@ -189,7 +210,7 @@ class Shard:
         self._at = at
         self.keys, self.offsets, self.tokens = take("<i8", n), take("<u8", n).astype(np.int64), take("<u4", n).astype(np.int64)
         sizes = take("<u4", int(take("<u4", 1)[0]))
-        self.hash = PerfectHash([take("<u8", int(s)) for s in sizes])
+        self.hash = PerfectHash([take("<u8", int(s)) for s in sizes], take("<u4", int(sizes.sum())))
         self.slots = take([("fingerprint", "<u4"), ("first", "<u4"), ("count", "<u4")], m)
 
     def _take(self, kind, count: int) -> np.ndarray:

@@ -55,11 +55,27 @@ def test_store_odd_rows(spark, tmp_path):
     assert token_store.encode_and_read(table(spark, []), WORD_BPE).count() == 0
 
 
+def test_lookup_without_shards(spark, tmp_path):
+    path = str(tmp_path / "none")
+    token_store.write(table(spark, []), path, WORD_BPE, 2)
+    assert token_store.lookup(spark, path, table(spark, [(1, "x")])).count() == 0 and token_store.records(spark, path).count() == 0
+
+
+def test_fast_path_is_read_from_the_file():
+    tok = token_store.load_tokenizer(WORD_BPE)
+    told = tok.to_str()
+    other = lambda a, b: token_store.drops_white_space(type(tok).from_str(told.replace(a, b)))
+    assert token_store.drops_white_space(tok) and not token_store.drops_white_space(token_store.load_tokenizer(BYTE_BPE))
+    assert told.count('"Removed"') == 1 and not other('"Removed"', '"Isolated"')
+    assert "|[\\\\p{N}]|" in told and not other("|[\\\\p{N}]|", "|[\\\\p{N}\\\\s]|") and not other("|[\\\\p{N}]|", "| ?[\\\\p{N}]|")
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 64, 65, 5000])
 def test_perfect_hash(n):
     r = np.random.default_rng(n)
     keys = np.unique(r.integers(-(1 << 60), 1 << 60, n))
-    h = token_store.PerfectHash(token_store.build_levels(keys))
+    levels = token_store.build_levels(keys)
+    h = token_store.PerfectHash(levels, token_store.rank_words(levels))
     assert sorted(h.slots(keys)) == list(range(len(keys)))
 
 
