@@ -44,3 +44,18 @@ def test_as_bloc_conditions_say(spark):
             if r[f"{b.code}_votes"]:
                 want[r.seat_id, b.code] = (r[f"{b.code}_votes"], r[f"{b.code}_ratio"])
     assert got == want
+
+
+def test_texts_meet_only_keywords_beside_their_blanks(spark, monkeypatch):
+    """Keywords of one blank or more: no three-character piece of a text is made, pairs of words that hold no keyword's blank
+    bring nothing to verify, and texts of one task are searched by several."""
+    monkeypatch.setattr(keywords, "_piece_hits", None)
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcd") for _ in range(r.randrange(6)))
+    texts = [(i % 90 if i % 9 else None, r.choice(["", " "]) + " ".join(word() for _ in range(r.randrange(30)))) for i in range(200)]
+    table = [(f"c{i % 20}", " ".join(word() for _ in range(r.choice([2, 2, 3, 4])))) for i in range(150)] + [("blank", " "), ("blanks", "  "), ("ends", "ab "), ("begins", " ab")]
+    rows = spark.createDataFrame(texts, "id int, text string").coalesce(1)
+    for some in (table, [x for x in table if x[1].count(" ") == 1]):
+        got = keywords.text_codes(rows, spark.createDataFrame(some, "code string, keyword string"))
+        assert sorted(map(tuple, got.collect()), key=repr) == brute(texts, some)
+        assert "hashpartitioning(id#" in got._jdf.queryExecution().executedPlan().toString()
