@@ -7,11 +7,12 @@ part of the sequence and stay.
 
 1. Every line gets a position, a number that grows along the corpus and by one along a document. Only lines that occur
    twice or more go on. Their suffixes end before the next line that occurs once, and with their document.
-2. Suffix array by distributed prefix doubling: a suffix's rank is one more than the number of suffixes before it by
-   their first 2^k lines. Ranks for 2^(k + 1) lines come from the pair of ranks at a position and 2^k lines on: pairs are
-   counted (pre-aggregated before they are shuffled), the counts summed up in order inside each old rank, in buckets, so
-   that one line that a third of all documents hold is spread. Suffixes whose rank is theirs alone, or that have ended, are
-   settled and leave; the doubling ends when all have (``suffix_ranks``).
+2. Suffix array by distributed prefix doubling, four doublings a round: a suffix's rank is one more than the number of
+   suffixes before it by their first 16^k lines. Ranks for 16^(k + 1) lines come from the sixteen ranks at a position and
+   every 16^k lines on, which stand in its document: such keys are counted (pre-aggregated before they are shuffled), the
+   counts summed up in order inside each old rank, in buckets, so that one line that a third of all documents hold is
+   spread. The first two, four and eight ranks of a key give the classes of the doublings between. Suffixes whose rank is theirs
+   alone, or that have ended, are settled and leave; the doubling ends when all have (``suffix_ranks``).
 3. A class of suffixes that share their first n lines and no more is an interval of the array, n its longest common prefix.
    A suffix's deepest interval that it isn't the first place of is the longest run from there on that occurs earlier, and
    that interval's first place is the first copy. The doubling gives each suffix's deepest such class by 2^k lines; n is
@@ -47,6 +48,8 @@ MIN_WORDS = 5
 PART_BYTES = 64 << 20
 #: Buckets in which the pairs of one old rank are summed up, and those of the first ranks.
 SPREAD, FIRST_SPREAD = 64, 4096
+#: Ranks that one round of the doubling puts together, a power of two, and the suffixes whose keys a task makes at a time.
+WIDTH, KEYS = 16, 1 << 16
 _LINES = "array<struct<line:int,words:int,h1:bigint,h2:bigint>>"
 
 
@@ -99,7 +102,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- repeated lines and their first ranks
 
 
-def _by_document(run: Callable[[pa.Table], pa.RecordBatch]):
+def _by_document(run: Callable[[pa.Table], Iterator[pa.RecordBatch]]):
     """A function over whole documents' rows as one over batches of rows in order of documents."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,15 +112,15 @@ def _by_document(run: Callable[[pa.Table], pa.RecordBatch]):
                 continue
             doc = batch.column("doc").to_numpy()
             if held and held[-1].column("doc")[-1].as_py() != doc[0]:
-                yield run(pa.Table.from_batches(held).combine_chunks())
+                yield from run(pa.Table.from_batches(held).combine_chunks())
                 held = []
             last = int(np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])[-1])
             if last:
-                yield run(pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks())
+                yield from run(pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks())
                 held = []
             held.append(batch.slice(last))
         if held:
-            yield run(pa.Table.from_batches(held).combine_chunks())
+            yield from run(pa.Table.from_batches(held).combine_chunks())
 
     return tidy(go)
 
@@ -138,12 +141,12 @@ def repeated_lines(owners: DataFrame) -> DataFrame:
     rows = lines.join(kinds, ["h1", "h2"]).select("doc", "pos", "line", "words", "rank", "first")
     rows = rows.repartition("doc").sortWithinPartitions("doc", "pos")
 
-    def run(table: pa.Table) -> pa.RecordBatch:
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
         columns = _columns(table, "doc", "pos", "line", "words", "rank", "first")
         pos = columns[1].to_numpy()
         new = np.r_[True, np.diff(pos) != 1]
         stop = np.r_[np.flatnonzero(new)[1:], len(pos)][np.cumsum(new) - 1]
-        return pa.RecordBatch.from_arrays([*columns, pa.array((stop - np.arange(len(pos))).astype(np.int32))], ["doc", "pos", "line", "words", "rank", "first", "more"])
+        yield pa.RecordBatch.from_arrays([*columns, pa.array((stop - np.arange(len(pos))).astype(np.int32))], ["doc", "pos", "line", "words", "rank", "first", "more"])
 
     return cut(rows.mapInArrow(_by_document(run), "doc long, pos long, line int, words int, rank long, first long, more int"))
 
@@ -151,36 +154,66 @@ def repeated_lines(owners: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- suffix ranks
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of numbers as bytes that are in order as the rows are."""
+    data, (n, width) = rows.astype(">i8").tobytes(), rows.shape
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(8 * width)), pa.py_buffer(data)])
+
+
+def _keys(known: DataFrame, span: int, width: int, total: int) -> DataFrame:
+    """(doc, pos, more, width, rank, b, key), of known (doc, pos, more, rank, open) that has all suffixes, ranked by `span` lines: for
+    each open one the ranks at its place and every span lines on, `width` of them (0 after its end), and their first 2, 4, ...
+    where it has as many. b: a bucket, in order, by the second."""
+    names = ["doc", "pos", "more", "width", "rank", "b", "key"]
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        doc, pos, more, rank, going = (x.to_numpy(zero_copy_only=False) for x in _columns(table, "doc", "pos", "more", "rank", "open"))
+        ahead, where = np.arange(width) * span, np.flatnonzero(going)
+        for i in range(0, len(where), KEYS):
+            at = where[i : i + KEYS]
+            there = ahead < more[at, None]  # until then the rows that follow are the lines that follow
+            ranks = np.where(there, rank[np.where(there, at[:, None] + ahead, 0)], 0)
+            bucket = (ranks[:, 1] * SPREAD // (total + 1)).astype(np.int32)
+            n = width
+            while n > 1:
+                has = np.arange(len(at)) if n == width else np.flatnonzero(more[at] >= n * span)
+                own = at[has]
+                columns = [doc[own], pos[own], more[own], np.full(len(own), n, np.int32), rank[own], bucket[has]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), _binary(ranks[has, :n])], names)
+                n //= 2
+
+    known = known.repartition("doc").sortWithinPartitions("doc", "pos")
+    return cut(known.mapInArrow(_by_document(run), "doc long, pos long, more int, width int, rank long, b int, key binary"))
+
+
 def suffix_ranks(lines: DataFrame, most: int | None = None) -> tuple[DataFrame, dict[int, DataFrame]]:
     """(pos, rank) of all suffixes of repeated_lines() when they are settled (or ranked by `most` lines), and by number
-    of lines 1, 2, 4, ... the ranks (pos, rank, first) of those suffixes that share so many lines with another, and where the
-    first that does is."""
+    of lines 1, 2, 4, ... the classes (pos, rank, first) of those suffixes that share so many lines with another: a number that
+    tells the class, and where the first of it is."""
     total = lines.count()
     levels = {1: lines.select("pos", "rank", "first")}
-    settled, open_, span = [], lines.select("pos", "more", "rank"), 1
-    while (most is None or 2 * span <= most) and not open_.isEmpty():
-        known = open_.select("pos", "rank")
-        for part in settled:
-            known = known.union(part)
-        # a suffix that ends here comes before all that go on
-        t = open_.where(F.col("more") > span).join(known.select((F.col("pos") - span).alias("pos"), F.col("rank").alias("key")), "pos")
-        t = t.union(open_.where(F.col("more") == span).withColumn("key", F.lit(0).cast("long")))
-        pairs = t.groupBy("rank", "key").agg(F.count("*").alias("c"), F.min("pos").alias("first")).withColumn("b", F.floor(F.col("key") * SPREAD / F.lit(total + 1)).cast("int"))
+    settled, open_, span = [], lines.select("doc", "pos", "more", "rank"), 1
+    while not open_.isEmpty():
+        width = WIDTH if most is None else min(WIDTH, 1 << max(0, (most // span).bit_length() - 1))
+        if width < 2:
+            break
+        known = reduce(DataFrame.union, [x.withColumn("open", F.lit(False)) for x in settled], open_.withColumn("open", F.lit(True)))
+        t, own = _keys(known, span, width, total), ["width", "rank", "b", "key"]
+        classes = t.groupBy(*own).agg(F.count("*").alias("c"), F.min("pos").alias("first"))
         # of suffixes with one rank, those with a smaller key come before; keys stand in buckets by their order
-        pairs = pairs.withColumn("inner", F.sum("c").over(Window.partitionBy("rank", "b").orderBy("key")) - F.col("c"))
+        pairs = classes.where(F.col("width") == width).withColumn("inner", F.sum("c").over(Window.partitionBy("rank", "b").orderBy("key")) - F.col("c"))
         sums = pairs.groupBy("rank", "b").agg(F.sum("c").alias("t"))
         outer = sums.select("rank", "b", (F.sum("t").over(Window.partitionBy("rank").orderBy("b")) - F.col("t")).alias("outer"))
-        finer = pairs.join(outer, ["rank", "b"]).select("rank", "key", "c", "first", (F.col("rank") + F.col("inner") + F.col("outer")).alias("finer"))
-        t = cut(t.join(finer, ["rank", "key"]).select("pos", "more", F.col("finer").alias("rank"), "c", "first"))
-        span *= 2
-        levels[span] = t.where((F.col("c") > 1) & (F.col("more") >= span)).select("pos", "rank", "first")
-        going = (F.col("c") > 1) & (F.col("more") >= span)
-        settled.append(t.where(~going).select("pos", "rank"))
-        open_ = t.where(going).select("pos", "more", "rank")
-    ranks = open_.select("pos", "rank")
-    for part in settled:
-        ranks = ranks.union(part)
-    return ranks, levels
+        finer = pairs.join(outer, ["rank", "b"]).select(*own, "c", "first", (F.col("rank") + F.col("inner") + F.col("outer")).alias("finer"))
+        classes = finer.union(classes.where((F.col("width") < width) & (F.col("c") > 1)).select(*own, "c", "first", F.col("first").alias("finer")))
+        t = cut(t.join(classes, own).select("doc", "pos", "more", "width", F.col("finer").alias("rank"), "c", "first"))
+        shared = (F.col("c") > 1) & (F.col("more") >= F.col("width") * span)
+        for k in range(1, width.bit_length()):
+            levels[span << k] = t.where(shared & (F.col("width") == 1 << k)).select("pos", "rank", "first")
+        t, span = t.where(F.col("width") == width).select("doc", "pos", "more", "rank", shared.alias("going")), span * width
+        settled.append(t.where("not going").drop("going"))
+        open_ = t.where("going").drop("going")
+    return reduce(DataFrame.union, settled, open_).select("pos", "rank"), levels
 
 
 # ---------------------------------------------------------------- intervals and copies
@@ -193,6 +226,7 @@ def longest_copies(levels: dict[int, DataFrame]) -> DataFrame:
     copies = reduce(DataFrame.union, [levels[s].where("first < pos").select(F.lit(k).alias("k"), "pos", "first") for k, s in enumerate(spans)])
     # deeper classes are parts of the others, so their first places come no earlier
     deepest = cut(copies.groupBy("pos").agg(F.max("k").alias("k"), F.max("first").alias("first")))
+    spans = spans[: 1 + (deepest.agg(F.max("k")).first()[0] or 0)]  # of the last round's, those that no copy reaches have no part
     # rows (first, n, pos): places that share n lines, told by the first place of all that do; that one is among them
     rows = deepest.where("false").select("first", F.lit(0).alias("n"), "pos")
     for j in reversed(range(len(spans) - 1)):
@@ -212,7 +246,7 @@ def _marked(lines: DataFrame, min_words: int) -> DataFrame:
     found = longest_copies(suffix_ranks(lines)[1])
     rows = lines.select("doc", "pos", "line", "words").join(found, "pos", "left").repartition("doc").sortWithinPartitions("doc", "pos")
 
-    def run(table: pa.Table) -> pa.RecordBatch:
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
         pos, words, n = (x.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for x in _columns(table, "pos", "words", "n"))
         i, before = np.arange(len(pos)), np.r_[0, np.cumsum(words)]
         last = np.r_[0, np.where(np.diff(pos) == 1, n[:-1], 0)]  # the run from the line before
@@ -220,7 +254,7 @@ def _marked(lines: DataFrame, min_words: int) -> DataFrame:
         begins = (n > 0) & (last <= n) & (held >= min_words)
         depth = np.cumsum(np.bincount(i[begins], minlength=len(pos) + 1) - np.bincount((i + n)[begins], minlength=len(pos) + 1))[:-1]
         one = pa.RecordBatch.from_arrays([*_columns(table, "doc", "pos", "line", "n"), pa.array(held), *_columns(table, "first"), pa.array(begins)], ["doc", "pos", "line", "n", "n_words", "first", "begins"])
-        return one.filter(pa.array(depth > 0))
+        yield one.filter(pa.array(depth > 0))
 
     rows = rows.mapInArrow(_by_document(run), "doc long, pos long, line int, n int, n_words long, first long, begins boolean")
     told = [F.when(F.col("begins"), F.col(c)).alias(c) for c in ("n", "n_words", "first")]

@@ -131,3 +131,22 @@ def test_runs_by_brute_force(spark):
     assert runs(spark, docs) == brute_runs(docs, 5)
     assert runs(spark, docs[20:45], 1) == brute_runs(docs[20:45], 1)
     assert runs(spark, [(1, "once\nonly"), (2, "other")]) == [] and line_dedup.copied_runs(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_four_doublings_a_round(spark, monkeypatch):
+    """A run of 300 lines takes three rounds, each with one table of keys, and the bisection one table for each doubling that a
+    copy reaches; keys are made a few suffixes at a time."""
+    made, whole = [], line_dedup.cut
+    monkeypatch.setattr(line_dedup, "cut", lambda df: made.append(df.columns) or whole(df))
+    monkeypatch.setattr(line_dedup, "KEYS", 50)
+    r = random.Random(3)
+    text = "\n".join(r.choice(["a b c", "d e", "f g h i", "j"]) for _ in range(300))
+    docs = [(1, text), (2, "own line here\n" + text), (3, text[9:] + "\nmore of it")]
+    lines = line_dedup.repeated_lines(line_dedup.numbered(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)))
+    made.clear()
+    levels = line_dedup.suffix_ranks(lines)[1]
+    assert len(made) <= 6 and sorted(levels) == [1 << k for k in range(13)]
+    made.clear()
+    found = line_dedup.longest_copies(levels).collect()
+    assert len(made) <= 9 and max(x.n for x in found) == 300
+    assert line_dedup.suffix_ranks(lines, 6)[1].keys() == {1, 2, 4}
