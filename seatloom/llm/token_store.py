@@ -25,7 +25,9 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,56 +35,143 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import TwoGenerations, bound_batches, cut, fields, mix, partitions_for, scratch_path, tidy
+from seatloom.llm.common import bound_batches, cut, fields, mix, partitions_for, scratch_path, tidy
 
 MAGIC = b"SLTOKEN2"
 #: index offset, index length, records, distinct keys, null-key records, tokens, first key, last key, shard, id bytes
 FOOTER = struct.Struct("<QQQQQQqqII8s")
 SHARD_TEXT_BYTES = 48 << 20
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
 # ---------------------------------------------------------------- encoding
 
-#: Latin text for which the normaliser works letter by letter, so white space parts it into words that
-#: encode alike alone or in a text. Any other text goes through the library whole.
+#: Latin text for which the normaliser works letter by letter, so that its pretokens are found in Python by the file's
+#: pattern, with the letters and numbers of this range (lowered) spelt out. Any other text goes through the library whole.
 _LETTERWISE = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u024f]*")
+_LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u02af\u2c65\u2c66", "0-9\xb2\xb3\xb9\xbc-\xbe"
+#: Pretokens and texts that are taken at a time.
+CALL_WORDS, CALL_TEXTS = 4000, 100
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library, each distinct white-space word encoded once where the tokenizer's file
-    says that white space is dropped and no token stands across it; else texts go through the library whole."""
+    """Ids of whole texts by the tokenizers library. Where the tokenizer's file says that white space is dropped and no token
+    stands across it, each distinct pretoken is encoded once, many in a call, by the file's model alone; else texts go through
+    the library whole."""
 
     def __init__(self, path: str, dtype: np.dtype):
         self.tok, self.dtype = load_tokenizer(path), dtype
-        self.by_word = drops_white_space(self.tok)
+        self.model = PretokenModel.of(self.tok)
         self.added = [t.content.lower() for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache = TwoGenerations(CACHE_WORDS)
+        self.words, self.pretokens = IdTable(self._of_words, dtype), IdTable(self._of_pretokens, dtype)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _of_pretokens(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [self.model.ids(pretokens[i : i + CALL_WORDS], self.dtype) for i in range(0, len(pretokens), CALL_WORDS)]
+        return np.concatenate([ids for ids, _ in made]), np.concatenate([sizes for _, sizes in made])
+
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = list(map(self.model.parts, words))
+        ids, sizes = self.pretokens.take(list(chain.from_iterable(parts)))
+        return ids, _sums(sizes, list(map(len, parts)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         # added strings are found before letters are lowered, so texts that may hold one aren't parted
         lower = [t.lower() for t in texts]
-        whole = [i for i, t in enumerate(texts) if not (self.by_word and _LETTERWISE.fullmatch(t)) or any(a in lower[i] for a in self.added)]
+        whole = [i for i, t in enumerate(texts) if not (self.model and _LETTERWISE.fullmatch(t)) or any(a in lower[i] for a in self.added)]
         out: list[bytes] = [b""] * len(texts)
         for i in range(0, len(whole), 64):
             for k, ids in zip(whole[i : i + 64], self._library([texts[k] for k in whole[i : i + 64]]), strict=True):
                 out[k] = ids
-        rest = set(range(len(texts))) - set(whole)
-        lists = {i: lower[i].split() for i in rest}
-        known, missing = self.cache.take(set().union(*lists.values()))
-        if missing:
-            fresh = dict(zip(missing, self._library(missing), strict=True))
-            self.cache.new.update(fresh)
-            known.update(fresh)
-        get = known.__getitem__
-        for i, words in lists.items():
-            out[i] = b"".join(map(get, words))
-        self.cache.settle()
+        rest = sorted(set(range(len(texts))) - set(whole))
+        for i in range(0, len(rest), CALL_TEXTS):
+            lists = [lower[k].split() for k in rest[i : i + CALL_TEXTS]]
+            ids, sizes = self.words.take(list(chain.from_iterable(lists)))
+            data, at = ids.tobytes(), 0
+            for k, size in zip(rest[i : i + CALL_TEXTS], _sums(sizes, list(map(len, lists))).tolist(), strict=True):
+                out[k] = data[at : at + size * self.dtype.itemsize]
+                at += size * self.dtype.itemsize
         return out
 
 
+class IdTable:
+    """Ids of strings. Each distinct string is numbered when it is met first, and its ids are made then and kept in an array;
+    all are forgotten when they are too many. make(strings) -> (ids end to end, how many of each)."""
+
+    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype: np.dtype, most: int = CACHE_WORDS):
+        self.make, self.dtype, self.most = make, dtype, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.ids, self.at = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def take(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these strings end to end, and how many each has."""
+        if len(self.number) >= self.most:
+            self.clear()
+        known = len(self.number)
+        n = np.fromiter(map(self.number.__getitem__, strings), np.int64, len(strings))
+        if len(self.number) > known:
+            ids, sizes = self.make(list(islice(reversed(self.number), len(self.number) - known))[::-1])
+            self.ids, self.at = np.concatenate([self.ids, ids]), np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+        begin, sizes = self.at[n], self.at[n + 1] - self.at[n]
+        done = np.cumsum(sizes)
+        return self.ids[np.repeat(begin - done + sizes, sizes) + np.arange(done[-1] if len(done) else 0)], sizes
+
+
+def _sums(values: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Sums of consecutive groups of these sizes."""
+    before, at = np.concatenate([[0], np.cumsum(values)]), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return before[at[1:]] - before[at[:-1]]
+
+
+class PretokenModel:
+    """The library's model for pretokens that are already in lower case: normaliser and pattern, which take more time than the
+    model, have nothing left to do. Every pretoken's last id, and no other, is of a piece with the file's end-of-word suffix,
+    so the ids of many in one call part there."""
+
+    def __init__(self, told: dict, type_):
+        pattern = told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.parts = re.compile(pattern.replace("\\p{L}", _LETTERS).replace("\\p{N}", _NUMBERS)).findall
+        suffix = told["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(1 + max(told["model"]["vocab"].values()), bool)
+        self.ends[[i for piece, i in told["model"]["vocab"].items() if piece.endswith(suffix)]] = True
+        self.tok = type_.from_str(json.dumps(told | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}}))
+
+    @classmethod
+    def of(cls, tok) -> PretokenModel | None:
+        """None where the file isn't of this kind."""
+        told = json.loads(tok.to_str())
+        model, suffix = told["model"], told["model"].get("end_of_word_suffix")
+        if not drops_white_space(tok) or told["pre_tokenizer"]["type"] != "Sequence" or model["type"] != "BPE" or not suffix or model.get("continuing_subword_prefix") or model.get("ignore_merges"):
+            return None
+        split, *rest = told["pre_tokenizer"]["pretokenizers"]
+        plain = set(re.findall(r"\\p\{\w+\}", split["pattern"]["Regex"])) <= {"\\p{L}", "\\p{N}"}
+        covered = all(c in model["vocab"] and c + suffix in model["vocab"] for b, c in _byte_letters().items() if b != 0x20)
+        return cls(told, type(tok)) if len(rest) == 1 and plain and covered else None
+
+    def ids(self, words: list[str], dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these pretokens end to end, and how many each has."""
+        text = " ".join(words)
+        if not text.isascii():  # the byte-level alphabet, which printable ASCII is its own part of
+            text = text.encode().decode("latin-1").translate(_byte_letters())
+        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            raise ValueError("a pretoken isn't covered by the tokenizer's pieces")
+        return ids, np.diff(stops, prepend=0)
+
+
+@functools.lru_cache(1)
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes at the byte level; a blank stays, as it parts the pretokens."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)} | {0x20: " "}
+
+
 @functools.lru_cache(4)
 def load_tokenizer(path: str):
     import os

@@ -70,6 +70,22 @@ def test_fast_path_is_read_from_the_file():
     assert "|[\\\\p{N}]|" in told and not other("|[\\\\p{N}]|", "|[\\\\p{N}\\\\s]|") and not other("|[\\\\p{N}]|", "| ?[\\\\p{N}]|")
 
 
+def test_pretokens_are_encoded_once_and_as_in_the_text():
+    """Words that differ in letters' case or in what stands beside them cost no further encoding, and every character of the
+    range that is parted in Python gives the library's ids."""
+    own, tok = token_store.WordEncoder(WORD_BPE, np.dtype("<u2")), token_store.load_tokenizer(WORD_BPE)
+    own.encode(["Thear, (thear) THEAR. thear", "thear's 1thear2"])
+    assert set(own.pretokens.number) == {"thear", ",", "(", ")", ".", "'s", "1", "2"}
+    assert token_store.PretokenModel.of(token_store.load_tokenizer(BYTE_BPE)) is None
+    letters = [c for c in map(chr, range(0x250)) if token_store._LETTERWISE.fullmatch(c)]
+    texts = [f"a{c}b {c} '{c}s {c}{c}7{c}. '{c}{d}" for c, d in zip(letters, letters[1:] + letters[:1], strict=True)]
+    texts += ["'s'S 'Re're's ''ve d'd'LL 'mm", "", " ", "x" * 5000, "9" * 300 + "!?" * 300, " ".join(f"w{i}q" for i in range(9000))]
+    for t, got in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u2").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+    own.words.most = own.pretokens.most = 3  # tables that are full forget, and nothing changes
+    assert [own.encode([t]) for t in texts[:50]] == [[x] for x in token_store.WordEncoder(WORD_BPE, np.dtype("<u2")).encode(texts[:50])]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 64, 65, 5000])
 def test_perfect_hash(n):
     r = np.random.default_rng(n)
