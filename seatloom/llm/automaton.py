@@ -108,12 +108,18 @@ class PrefixBpe:
 
     def last_tokens(self, word: Sequence) -> list:
         """last[e]: the last token of the prefix of length e (None for the empty one)."""
-        go, step, found, outputs, apart, fits = self.automaton.go, self.automaton.step, self.automaton.found, self.automaton.outputs, self.apart, self.fits
         last: list = [None]
-        node = 0
-        for e, c in enumerate(word, 1):
+        self._go_on(word, last, [0])
+        return last
+
+    def _go_on(self, word: Sequence, last: list, nodes: list[int]) -> None:
+        """Bring last and the automaton's nodes, which hold a prefix of the word, to the word's end."""
+        go, step, found, outputs, apart, fits = self.automaton.go, self.automaton.step, self.automaton.found, self.automaton.outputs, self.apart, self.fits
+        node, known = nodes[-1], len(nodes)
+        for e, c in enumerate(word[known - 1 :], known):
             to = go[node].get(c)
             node = step(node, c) if to is None else to
+            nodes.append(node)
             for length, token in found[node] or outputs(node):
                 before = last[e - length]
                 ok = apart[token].get(before)
@@ -122,7 +128,6 @@ class PrefixBpe:
                     break
             else:
                 last.append(-1)
-        return last
 
     def run(self, word: Sequence) -> tuple[list, list[int]]:
         """last[e] and count[e] for the prefixes of length 0 to len(word): one token more than where the last begins."""
@@ -141,8 +146,26 @@ class PrefixBpe:
         return n
 
     def tokens(self, word: Sequence) -> list[int]:
-        last, size = self.last_tokens(word), self.size
-        out, e = [], len(word)
+        return self._back(self.last_tokens(word), len(word))
+
+    def tokens_of_sorted(self, words: Sequence[Sequence]) -> list[list[int]]:
+        """Tokens of each word. The pass over a word begins where it parts from the word before it, so it is cheap for
+        words in order; the result doesn't depend on the order."""
+        out, last, nodes, before = [], [None], [0], ""
+        for word in words:
+            same = 0
+            for a, b in zip(before, word, strict=False):
+                if a != b:
+                    break
+                same += 1
+            del last[same + 1 :], nodes[same + 1 :]
+            self._go_on(word, last, nodes)
+            out.append(self._back(last, len(word)))
+            before = word
+        return out
+
+    def _back(self, last: list, e: int) -> list[int]:
+        size, out = self.size, []
         while e:
             out.append(last[e])
             e -= size[last[e]]

@@ -9,8 +9,10 @@ from __future__ import annotations
 import ctypes
 import re
 import threading
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -304,3 +306,35 @@ class TwoGenerations:
                 known.update(found)
                 missing = [k for k in missing if k not in found]
         return known, missing
+
+
+class IdTable:
+    """Ids of strings. Each distinct string is numbered when it is met first, and its ids are made then and kept in an array;
+    all are forgotten when they are too many. make(strings) -> (ids end to end, how many of each)."""
+
+    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype: np.dtype, most: int):
+        self.make, self.dtype, self.most = make, dtype, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.ids, self.at = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def take(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these strings end to end, and how many each has."""
+        if len(self.number) >= self.most:
+            self.clear()
+        known = len(self.number)
+        n = np.fromiter(map(self.number.__getitem__, strings), np.int64, len(strings))
+        if len(self.number) > known:
+            ids, sizes = self.make(list(islice(reversed(self.number), len(self.number) - known))[::-1])
+            self.ids, self.at = np.concatenate([self.ids, ids]), np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+        begin, sizes = self.at[n], self.at[n + 1] - self.at[n]
+        done = np.cumsum(sizes)
+        return self.ids[np.repeat(begin - done + sizes, sizes) + np.arange(done[-1] if len(done) else 0)], sizes
+
+
+def sums(values: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Sums of consecutive groups of these sizes."""
+    before, at = np.concatenate([[0], np.cumsum(values)]), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return before[at[1:]] - before[at[:-1]]

@@ -23,21 +23,22 @@ from __future__ import annotations
 
 import functools
 import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from seatloom.llm.automaton import AhoCorasick, PrefixBpe
-from seatloom.llm.common import TwoGenerations, bound_batches, fields, tidy
+from seatloom.llm.common import IdTable, bound_batches, fields, sums, tidy
 
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
 UNIGRAM, BPE = 1, 2  # model types
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 60_000
+#: Words and their stretches that are remembered. A stretch not remembered costs a pass, a word only its cutting.
+CACHE_WORDS, CACHE_PARTS = 120_000, 350_000
 
 
 class Pieces:
@@ -70,7 +71,10 @@ class Pieces:
         self.automaton = AhoCorasick(own) if self.kind == UNIGRAM else None
         self.lone = {p for p, _ in own if len(p) == 1}
         self.unknown_score = min(self.score.values()) - UNKNOWN_PENALTY
-        self.words, self.parts = TwoGenerations(CACHE_WORDS), TwoGenerations(CACHE_WORDS)
+        self.words, self.parts = IdTable(self._of_words, np.dtype("<i4"), CACHE_WORDS), IdTable(self._of_parts, np.dtype("<i4"), CACHE_PARTS)
+        self.shown = [s.replace(BLANK, " ") for s in self.surface]
+        self.special = np.zeros(len(self.surface), bool)  # ids that don't decode to their surface
+        self.special[[self.unknown, *self.byte_of, *self.hidden]] = True
 
     def _merge(self, text: str) -> list[str]:
         """BPE by its rule: merge the best-scored neighbours, leftmost first, until none make a piece."""
@@ -106,18 +110,18 @@ class Pieces:
             e = back[e][0]
         return path[::-1]
 
-    def _stretch(self, text: str) -> bytes:
-        ids: list[int] = []
+    def _ids(self, text: str, tokens: list[int] | None) -> list[int]:
+        """Ids of a stretch, for a BPE model from its tokens."""
         if self.kind == UNIGRAM:
             found = self._viterbi(text)
         else:
-            tokens = self.bpe.tokens(text)
             if -1 not in tokens:
-                return array("i", tokens).tobytes()
+                return tokens
             found, at = [], 0
             for p in tokens:
                 found.append((at, p))
                 at += len(self.surface[p]) if p != -1 else 1
+        ids: list[int] = []
         unknown_run = False
         for s, p in found:
             if p != -1:
@@ -127,19 +131,29 @@ class Pieces:
             elif not unknown_run:  # the library makes one unknown of neighbours
                 ids.append(self.unknown)
             unknown_run = p == -1
-        return np.array(ids, "<i4").tobytes()
+        return ids
+
+    def _of_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches end to end and how many each has. In order, stretches share the pass over what they begin with."""
+        order = sorted(range(len(parts)), key=parts.__getitem__)
+        tokens = self.bpe.tokens_of_sorted([parts[i] for i in order]) if self.kind == BPE else [None] * len(parts)
+        made: list[list[int]] = [[]] * len(parts)
+        for i, t in zip(order, tokens, strict=True):
+            made[i] = self._ids(parts[i], t)
+        return np.array(list(chain.from_iterable(made)), "<i4"), np.array(list(map(len, made)), np.int64)
+
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cuts = list(map(self._cuts, words))
+        ids, sizes = self.parts.take(list(chain.from_iterable(cuts)))
+        return ids, sums(sizes, list(map(len, cuts)))
 
     def _cuts(self, word: str) -> list[str]:
         """The stretches of a word between characters that stand side by side in no piece."""
-        if not self.byte_ids:
-            return [word]  # neighbours outside the vocabulary must stay together
-        out, at, joined = [], 0, self.joined
-        for i, pair in enumerate(zip(word, word[1:], strict=False), 1):
-            if pair not in joined:
-                out.append(word[at:i])
-                at = i
-        out.append(word[at:])
-        return out
+        joined = self.joined
+        if not self.byte_ids or joined.issuperset(zip(word, word[1:], strict=False)):
+            return [word]  # without byte pieces, neighbours outside the vocabulary must stay together
+        at = [0, *[i for i, pair in enumerate(zip(word, word[1:], strict=False), 1) if pair not in joined], len(word)]
+        return [word[a:b] for a, b in zip(at, at[1:], strict=False)]
 
     _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
@@ -156,25 +170,17 @@ class Pieces:
                 lists.append(self._CHUNK.findall(t.replace(" ", BLANK)))
             else:  # single blanks only: each word has one before it
                 lists.append([BLANK + w for w in t[1:].split(" ")])
-        known, missing = self.words.take(set().union(*lists))
-        if missing:
-            cuts = {w: self._cuts(w) for w in missing}
-            parts, fresh = self.parts.take({p for ps in cuts.values() for p in ps})
-            made = {p: self._stretch(p) for p in fresh}
-            parts |= made
-            self.parts.new.update(made)
-            made = {w: b"".join([parts[p] for p in ps]) for w, ps in cuts.items()}
-            known |= made
-            self.words.new.update(made)
-        get = known.__getitem__
-        out = [b"".join(map(get, ws)) for ws in lists]
-        self.words.settle()
-        self.parts.settle()
-        return out
+        ids, sizes = self.words.take(list(chain.from_iterable(lists)))
+        stops = (np.cumsum(sums(sizes, list(map(len, lists)))) * 4).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *stops], stops, strict=False)]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids: pieces end to end, runs of byte pieces as UTF-8, blanks for their mark."""
-        text, byte_of, surface = [], self.byte_of, self.surface
+        text, byte_of, surface = [], self.byte_of, self.shown
+        if not self.special[ids].any():
+            out = "".join(map(surface.__getitem__, ids.tolist()))
+            return out[1:] if self.prefix and out.startswith(" ") else out
         run = bytearray()
         for i in ids.tolist():
             if i in byte_of:

@@ -25,9 +25,8 @@ import json
 import re
 import struct
 import zlib
-from collections import defaultdict
-from collections.abc import Callable, Iterator
-from itertools import chain, count, islice
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seatloom.llm.common import bound_batches, cut, fields, mix, partitions_for, scratch_path, tidy
+from seatloom.llm.common import IdTable, bound_batches, cut, fields, mix, partitions_for, scratch_path, sums, tidy
 
 MAGIC = b"SLTOKEN2"
 #: index offset, index length, records, distinct keys, null-key records, tokens, first key, last key, shard, id bytes
@@ -62,7 +61,7 @@ class WordEncoder:
         self.tok, self.dtype = load_tokenizer(path), dtype
         self.model = PretokenModel.of(self.tok)
         self.added = [t.content.lower() for t in self.tok.get_added_tokens_decoder().values()]
-        self.words, self.pretokens = IdTable(self._of_words, dtype), IdTable(self._of_pretokens, dtype)
+        self.words, self.pretokens = IdTable(self._of_words, dtype, CACHE_WORDS), IdTable(self._of_pretokens, dtype, CACHE_WORDS)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,7 +73,7 @@ class WordEncoder:
     def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = list(map(self.model.parts, words))
         ids, sizes = self.pretokens.take(list(chain.from_iterable(parts)))
-        return ids, _sums(sizes, list(map(len, parts)))
+        return ids, sums(sizes, list(map(len, parts)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # added strings are found before letters are lowered, so texts that may hold one aren't parted
@@ -89,44 +88,12 @@ class WordEncoder:
             lists = [lower[k].split() for k in rest[i : i + CALL_TEXTS]]
             ids, sizes = self.words.take(list(chain.from_iterable(lists)))
             data, at = ids.tobytes(), 0
-            for k, size in zip(rest[i : i + CALL_TEXTS], _sums(sizes, list(map(len, lists))).tolist(), strict=True):
+            for k, size in zip(rest[i : i + CALL_TEXTS], sums(sizes, list(map(len, lists))).tolist(), strict=True):
                 out[k] = data[at : at + size * self.dtype.itemsize]
                 at += size * self.dtype.itemsize
         return out
 
 
-class IdTable:
-    """Ids of strings. Each distinct string is numbered when it is met first, and its ids are made then and kept in an array;
-    all are forgotten when they are too many. make(strings) -> (ids end to end, how many of each)."""
-
-    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype: np.dtype, most: int = CACHE_WORDS):
-        self.make, self.dtype, self.most = make, dtype, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = defaultdict(count().__next__)
-        self.ids, self.at = np.zeros(0, self.dtype), np.zeros(1, np.int64)
-
-    def take(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of these strings end to end, and how many each has."""
-        if len(self.number) >= self.most:
-            self.clear()
-        known = len(self.number)
-        n = np.fromiter(map(self.number.__getitem__, strings), np.int64, len(strings))
-        if len(self.number) > known:
-            ids, sizes = self.make(list(islice(reversed(self.number), len(self.number) - known))[::-1])
-            self.ids, self.at = np.concatenate([self.ids, ids]), np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        begin, sizes = self.at[n], self.at[n + 1] - self.at[n]
-        done = np.cumsum(sizes)
-        return self.ids[np.repeat(begin - done + sizes, sizes) + np.arange(done[-1] if len(done) else 0)], sizes
-
-
-def _sums(values: np.ndarray, sizes: list[int]) -> np.ndarray:
-    """Sums of consecutive groups of these sizes."""
-    before, at = np.concatenate([[0], np.cumsum(values)]), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    return before[at[1:]] - before[at[:-1]]
-
-
 class PretokenModel:
     """The library's model for pretokens that are already in lower case: normaliser and pattern, which take more time than the
     model, have nothing left to do. Every pretoken's last id, and no other, is of a piece with the file's end-of-word suffix,

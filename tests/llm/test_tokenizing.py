@@ -104,6 +104,24 @@ def test_piece_ids_are_the_library_s():
         assert own.decode(np.array(sp.encode(t), int)) == sp.decode(sp.encode(t)), t
 
 
+def test_pieces_share_the_pass_over_what_they_begin_with(monkeypatch):
+    """Stretches of one batch take a step of the automaton for each distinct prefix, not for each character; the ids are the
+    library's, also when full tables forget."""
+    import sentencepiece
+
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), pieces.Pieces(PIECES)
+    steps, outputs = [], own.bpe.automaton.outputs
+    monkeypatch.setattr(own.bpe.automaton, "outputs", lambda node: steps.append(node) or outputs(node))
+    monkeypatch.setattr(own.bpe.automaton, "found", [None] * (1 << 20))  # no output is remembered outside
+    words = ["anderbleinea" + x for x in ("", "n", "nd", "nds", "t", "ti", "tion")]
+    texts = [" ".join(words), " ".join(words[::-1])]
+    assert [np.frombuffer(b, "<i4").tolist() for b in own.encode(texts)] == [sp.encode(t) for t in texts]
+    assert len(steps) == len({w[:i] for w in words for i in range(1, len(w) + 1)}) + 1  # and the blank before
+    own.words.most = own.parts.most = 3
+    for t in some_texts(100):
+        assert np.frombuffer(own.encode([t])[0], "<i4").tolist() == sp.encode(t), t
+
+
 def test_unigram_viterbi_is_the_library_s():
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
